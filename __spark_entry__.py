@@ -286,12 +286,12 @@ def cluster_by_pair(spark, sf_dir):
 
 
 def top_next_words(spark, sf_dir):
-    best = ranking.top_next_words(_model(spark, sf_dir), 5)
+    best = ranking.top_next_words(_model(spark, sf_dir, undefined="drop"), 5)
     return _shown(best).select(*WORDS, "p", F.col("rank").cast("bigint").alias("rank"))
 
 
 def predict(spark, sf_dir):
-    model = plans.model_of(_kept(spark, sf_dir), wanted=_pairs(spark, sf_dir).distinct())
+    model = plans.model_of(_kept(spark, sf_dir), "drop", wanted=_pairs(spark, sf_dir).distinct())
     best = ranking.predict(model, _pairs(spark, sf_dir), 3)
     return _shown(best).select(*WORDS, "p", F.col("rank").cast("bigint").alias("rank"))
 

@@ -1,0 +1,117 @@
+"""Known inputs with known results."""
+
+from __future__ import annotations
+
+import math
+
+import pytest
+
+import brute
+from trigramma.plans.model import build_model, kept_rows, model_of
+from trigramma.operators.ranking import rank_model, top_next_words, with_position
+
+EDGE_LINES = [
+    "red fox runs\t1999\t5", "red fox runs\t2001\t7", "red fox hides\t2000\t6",
+    "red cat runs\t2000\t9", "big fox runs\t2000\t4", "big fox big\t2000\t1",
+    "odd odd odd\t2000\t2", "lone pair here\t2000\t1", "bad w0rd here\t2000\t50",
+    "the fox runs\t2000\t50", "red fox\t2000\t9", "red fox runs far\t2000\t3",
+    "red  fox runs\t2000\t8",
+]
+
+# trigram: place in documented order, place in legacy order, n1 n2 n3 c1 c2, p
+EDGE = {
+    "big fox runs": (1, 2, 28, 9, 1, 26, 2, 0.5988786746582795),
+    "big fox big": (2, 1, 6, 0, 0, 26, 2, 0.11538461538461539),
+    "lone pair here": (3, 3, 1, 0, 0, 1, 0, math.nan),
+    "odd odd odd": (4, 4, 6, 2, 0, 6, 2, 0.18735417388949432),
+    "red cat runs": (5, 7, 28, 4, 3, 9, 4, 0.799622580106151),
+    "red fox runs": (6, 6, 28, 9, 5, 26, 10, 0.5702298829961551),
+    "red fox hides": (7, 5, 6, 3, 2, 26, 10, 0.20568210303053674),
+}
+
+HEBREW_LINES = [
+    "בוקר טוב היום\t1998\t1200\t50\t30", "לילה טוב חבר\t2010\t300\t15\t10",
+    "מה שלומך היום\t2005\t800\t25\t20", "תודה רבה לך\t1999\t1500\t60\t40",
+    "כל טוב לך\t2020\t700\t35\t25", "ספר חשוב מאוד\t1995\t1000\t40\t35",
+    "חג שמח חבר\t2015\t450\t18\t12", "משפחה שמחה מאוד\t2000\t600\t22\t18",
+    "חבר טוב תמיד\t2012\t900\t30\t22", ") טוב )\t2012\t900\t30\t22",
+    "! טוב )\t2012\t900\t30\t22", "חג שמח לנו\t2015\t450\t18\t12",
+    "לילה טוב אדם\t2010\t300\t15\t10",
+]
+
+HEBREW = {
+    "בוקר טוב היום": (1200, 600, 400, 2400, 600, 0.6198337437898468),
+    "חבר טוב תמיד": (900, 450, 300, 2400, 450, 0.6087552755353411),
+    "חג שמח חבר": (1650, 225, 150, 450, 225, 0.6492929586037427),
+    "לילה טוב חבר": (1650, 150, 100, 2400, 150, 0.5919139178127855),
+    "משפחה שמחה מאוד": (1600, 300, 200, 600, 300, 0.6492975841557954),
+    "ספר חשוב מאוד": (1600, 500, 333, 1000, 500, 0.6495294372930798),
+    "תודה רבה לך": (1500, 750, 500, 1500, 750, 0.650002450845831),
+}
+
+
+def lines_of(spark, lines):
+    return spark.createDataFrame([(line,) for line in lines], "value string")
+
+
+def close(a, b):
+    return (math.isnan(a) and math.isnan(b)) or math.isclose(a, b, rel_tol=0, abs_tol=1e-12)
+
+
+def edge_model(spark):
+    return model_of(kept_rows(lines_of(spark, EDGE_LINES), ["the"], "a-z"))
+
+
+def test_edge_statistics(spark):
+    rows = edge_model(spark).collect()
+    assert {f"{r.w1} {r.w2} {r.w3}" for r in rows} == set(EDGE)
+    for r in rows:
+        _, _, n1, n2, n3, c1, c2, p = EDGE[f"{r.w1} {r.w2} {r.w3}"]
+        assert (r.n1, r.n2, r.n3, r.c0, r.c1, r.c2) == (n1, n2, n3, 13, c1, c2)
+        assert close(r.p, p)
+
+
+@pytest.mark.parametrize("order, place", [("documented", 0), ("legacy", 1)])
+def test_edge_order(spark, order, place):
+    ranked = build_model(lines_of(spark, EDGE_LINES), ["the"], "a-z", order=order)
+    expected = sorted(EDGE, key=lambda k: EDGE[k][place])
+    assert [f"{r.w1} {r.w2} {r.w3}" for r in ranked.collect()] == expected
+    numbered = {f"{r.w1} {r.w2} {r.w3}": r.position for r in with_position(ranked).collect()}
+    assert numbered == {k: v[place] for k, v in EDGE.items()}
+
+
+def test_hebrew_defaults(spark):
+    rows = model_of(kept_rows(lines_of(spark, HEBREW_LINES))).collect()
+    assert {f"{r.w1} {r.w2} {r.w3}" for r in rows} == set(HEBREW)
+    for r in rows:
+        n1, n2, n3, c1, c2, p = HEBREW[f"{r.w1} {r.w2} {r.w3}"]
+        assert (r.n1, r.n2, r.n3, r.c0, r.c1, r.c2) == (n1, n2, n3, 1983, c1, c2)
+        assert close(r.p, p)
+
+
+def test_brute_force_agrees_with_goldens():
+    edge = brute.model(brute.kept(EDGE_LINES, "a-z", {"the"}))
+    assert len(edge) == len(EDGE)
+    for key, values in edge.items():
+        assert close(values["p"], EDGE[" ".join(key)][-1])
+
+
+@pytest.mark.parametrize("undefined, rows, nulls", [("nan", 7, 0), ("null", 7, 1), ("drop", 6, 0)])
+def test_undefined(spark, undefined, rows, nulls):
+    model = model_of(kept_rows(lines_of(spark, EDGE_LINES), ["the"], "a-z"), undefined).collect()
+    assert len(model) == rows
+    assert sum(r.p is None for r in model) == nulls
+
+
+@pytest.mark.parametrize("undefined", ["nan", "null", "drop"])
+def test_top_next_words_ignores_undefined(spark, undefined):
+    model = model_of(kept_rows(lines_of(spark, EDGE_LINES), ["the"], "a-z"), undefined)
+    best = {(r.w1, r.w2): r.w3 for r in top_next_words(model, 1).collect()}
+    assert best == {("big", "fox"): "runs", ("odd", "odd"): "odd", ("red", "cat"): "runs", ("red", "fox"): "runs"}
+
+
+def test_small_total_gives_infinity(spark):
+    """A total below 1.5 rounds to no corpus at all; the last ratio is then infinite."""
+    row = model_of(kept_rows(lines_of(spark, ["a b a\t2000\t1"]), [], "a-z")).collect()[0]
+    assert row.c0 == 0 and math.isnan(row.p)
+    assert rank_model(edge_model(spark)).count() == 7

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from trigramma.functions.scalar import (
     HEBREW,
-    ngram_order,
-    ngram_words,
     only_letters,
     words_only_letters,
 )
@@ -38,8 +36,9 @@ def filter_alphabet(df: DataFrame, letters: str = HEBREW, column: str = "ngram")
 
 
 def filter_arity(df: DataFrame, n: int = 3, column: str = "ngram") -> DataFrame:
-    """Keep n-grams of at least ``n`` words."""
-    return df.where(ngram_order(ngram_words(F.col(column))) >= n)
+    """Keep n-grams of at least ``n`` words, that is with something after word ``n - 1``."""
+    text = F.rtrim(F.col(column))
+    return df.where(F.substring_index(text, " ", n - 1) != text)
 
 
 def filter_stopwords(

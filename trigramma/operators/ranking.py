@@ -67,15 +67,17 @@ def cluster_by_pair(model: DataFrame, partitions: int | None = None) -> DataFram
 def top_next_words(model: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` most probable third words of every pair, ``rank`` from 1.
 
-    Undefined probabilities are left out. The rank limit is applied in every
-    task before the shuffle, so a pair sends at most ``k`` rows per task.
+    Undefined probabilities (NaN or NULL) take the last ranks and are then left
+    out. The rank limit is applied in every task before the shuffle, so a pair
+    sends at most ``k`` rows per task. A model made with ``undefined="drop"``
+    sheds the undefined rows earlier, before its joins.
     """
-    best = Window.partitionBy("w1", "w2").orderBy(F.desc("p"), F.asc("w3"))
-    defined = F.nanvl("p", F.lit(None).cast("double")).isNotNull()
+    defined = F.nanvl("p", F.lit(None).cast("double"))
+    best = Window.partitionBy("w1", "w2").orderBy(defined.desc_nulls_last(), F.asc("w3"))
     return (
-        model.where(defined)
-        .withColumn("rank", F.row_number().over(best))
+        model.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
+        .where(defined.isNotNull())
     )
 
 

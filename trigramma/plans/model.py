@@ -7,8 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from trigramma.functions.scalar import HEBREW, interpolate
-from trigramma.operators.counts import trigram_sums
+from trigramma.functions.scalar import HEBREW, ieee_divide, interpolate
+from trigramma.functions.stopwords import HEBREW_STOPWORDS
+from trigramma.operators.counts import WORDS, pair_sums, trigram_sums, unigrams_of_pairs
 from trigramma.operators.filters import filter_alphabet, filter_arity, filter_stopwords
 from trigramma.operators.joins import trigram_statistics
 from trigramma.operators.ranking import rank_model
@@ -21,7 +22,7 @@ COUNTS = ("n1", "n2", "n3", "c0", "c1", "c2")
 
 def kept_rows(
     lines: DataFrame,
-    stop: DataFrame | Iterable[str] = (),
+    stop: DataFrame | Iterable[str] = HEBREW_STOPWORDS,
     letters: str = HEBREW,
     on_bad: str = "fail",
 ) -> DataFrame:
@@ -34,7 +35,7 @@ def kept_rows(
 
 
 def kept_text_rows(
-    texts: DataFrame, stop: DataFrame | Iterable[str] = (), letters: str = HEBREW
+    texts: DataFrame, stop: DataFrame | Iterable[str] = HEBREW_STOPWORDS, letters: str = HEBREW
 ) -> DataFrame:
     """Trigrams of a ``text`` column that pass the filters."""
     rows = trigrams_from_text(spread(texts.select("text")))
@@ -42,15 +43,21 @@ def kept_text_rows(
 
 
 def add_probability(statistics: DataFrame, undefined: str = "nan") -> DataFrame:
-    """Statistics with ``p``; an undefined value stays NaN, becomes NULL or is dropped."""
+    """Statistics with ``p``; an undefined value stays NaN, becomes NULL or is dropped.
+
+    ``p`` is undefined where one of its three ratios is. Dropping tests the
+    ratios one by one, so Catalyst can drop rows as soon as the two counts of a
+    ratio are joined.
+    """
+    if undefined not in ("nan", "null", "drop"):
+        raise ValueError(f"undefined is nan, null or drop, not {undefined!r}")
+    if undefined == "drop":
+        for n, c in (("n3", "c2"), ("n2", "c1"), ("n1", "c0")):
+            statistics = statistics.where(~F.isnan(ieee_divide(F.col(n), F.col(c))))
     model = statistics.withColumn("p", interpolate(*[F.col(c) for c in COUNTS]))
-    if undefined == "nan":
-        return model
     if undefined == "null":
-        return model.withColumn("p", F.when(~F.isnan("p"), F.col("p")))
-    if undefined == "drop":
-        return model.where(~F.isnan("p"))
-    raise ValueError(f"undefined is nan, null or drop, not {undefined!r}")
+        return model.withColumn("p", F.nanvl("p", F.lit(None).cast("double")))
+    return model
 
 
 def model_of(
@@ -82,7 +89,7 @@ def model_of(
 
 def build_model(
     lines: DataFrame,
-    stop: DataFrame | Iterable[str] = (),
+    stop: DataFrame | Iterable[str] = HEBREW_STOPWORDS,
     letters: str = HEBREW,
     order: str | None = "documented",
     on_bad: str = "fail",
@@ -102,21 +109,18 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def stage_row_counts(rows: DataFrame) -> DataFrame:
-    """Records each stage passes on, as ``stage, records``, from one pass over the counts.
+    """Records each stage passes on, as ``stage, records``, from one reading of the corpus.
 
     Every kept row makes seven records, three words, two pairs, a trigram and
     its share of the total; every distinct trigram asks for four statistics.
     """
-    from trigramma.operators.counts import pair_sums, unigrams_of_pairs
-
-    sums = rows.groupBy("w1", "w2", "w3").agg(
-        F.sum("cnt").alias("s"), F.count(F.lit(1)).alias("kept")
-    )
-    pairs = pair_sums(sums)
     one = F.count(F.lit(1))
-    words, couples = unigrams_of_pairs(pairs).agg(one), pairs.agg(one)
+    sums = rows.groupBy(*WORDS).agg(F.sum("cnt").alias("s"), one.alias("kept"))
+    sums = materialised(sums, "trigram_sums")
+    pairs = pair_sums(sums)
     totals = sums.agg(F.coalesce(F.sum("kept"), F.lit(0)).alias("kept"), one.alias("trigrams"))
-    totals = totals.withColumn("unigrams", words.scalar()).withColumn("bigrams", couples.scalar())
+    totals = totals.withColumn("unigrams", unigrams_of_pairs(pairs).agg(one).scalar())
+    totals = totals.withColumn("bigrams", pairs.agg(one).scalar())
     return totals.selectExpr(
         "stack(7, 'kept rows', kept, 'count records', 7 * kept, 'unigrams', unigrams,"
         " 'bigrams', bigrams, 'trigrams', trigrams,"

@@ -34,29 +34,35 @@ def parse_ngrams(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
     ``on_bad`` says what a line without a numeric third field does: ``fail``
     the job, whether or not a later filter would drop the line; ``drop`` it; or
     ``quarantine`` it, which keeps it with its text in ``bad_record``.
+
+    The two fields leave through ``inline``, below which Catalyst moves no later
+    filter, so a line is cut up once and its count is looked at first.
     """
-    fields = F.split("value", "\t")
-    cnt = F.get(fields, F.lit(2)).try_cast("double")
-    ngram = F.get(fields, F.lit(0)).alias("ngram")
-    if on_bad == "fail":
-        # A filter, not a projected check: Catalyst keeps the order of filters,
-        # but evaluates a projected column only for rows that later ones leave.
-        message = F.concat(F.lit("no numeric count in line: "), F.col("value"))
-        checked = F.when(cnt.isNull(), F.raise_error(message).cast("boolean")).otherwise(True)
-        return lines.where(checked).select(ngram, cnt.alias("cnt"))
-    if on_bad == "drop":
-        return lines.where(cnt.isNotNull()).select(ngram, cnt.alias("cnt"))
+    ngram = F.substring_index("value", "\t", 1)
+    cnt = F.split_part("value", F.lit("\t"), F.lit(3)).try_cast("double")
+    record = F.inline(F.array(F.struct(ngram.alias("ngram"), cnt.alias("cnt"))))
     if on_bad == "quarantine":
-        bad = F.when(cnt.isNull(), F.col("value")).alias("bad_record")
-        return lines.select(ngram, cnt.alias("cnt"), bad)
+        bad = F.when(F.col("cnt").isNull(), F.col("value")).alias("bad_record")
+        return lines.select("value", record).select("ngram", "cnt", bad)
+    if on_bad == "drop":
+        return lines.select(record).where(F.col("cnt").isNotNull())
+    if on_bad == "fail":
+        message = F.concat(F.lit("no numeric count for n-gram: "), F.col("ngram"))
+        stop = F.raise_error(message).cast("boolean")
+        return lines.select(record).where(F.when(F.col("cnt").isNull(), stop).otherwise(True))
     raise ValueError(f"on_bad is fail, drop or quarantine, not {on_bad!r}")
 
 
 def to_trigram(ngrams: DataFrame) -> DataFrame:
-    """``ngram`` to its first three words ``w1``, ``w2``, ``w3``; keeps the rest."""
-    words = ngram_words(F.col("ngram"))
-    first = [F.get(words, F.lit(i)).alias(f"w{i + 1}") for i in range(3)]
-    return ngrams.select(*first, *[c for c in ngrams.columns if c != "ngram"])
+    """``ngram`` to its first three words ``w1``, ``w2``, ``w3``; keeps the rest.
+
+    The word array goes through ``explode`` so that filters on the words use
+    the one array and do not split the n-gram again.
+    """
+    rest = [c for c in ngrams.columns if c != "ngram"]
+    split = ngrams.select(*rest, F.explode(F.array(ngram_words(F.col("ngram")))).alias("words"))
+    first = [F.get("words", F.lit(i)).alias(f"w{i + 1}") for i in range(3)]
+    return split.select(*first, *rest)
 
 
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
