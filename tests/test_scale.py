@@ -1,0 +1,156 @@
+"""What the plans must look like, and that hot keys are cut up."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from trigramma.operators import counts, joins, ranking
+from trigramma.operators.filters import filter_stopwords
+from trigramma.plans.model import kept_text_rows, model_of
+from trigramma.session import materialised
+
+SF = "/root/testdata/sf0.001"
+
+
+def run(df):
+    """The final adaptive plan, after the rows were computed."""
+    rows = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return rows, plan.split("\n+- == Initial Plan ==")[0]
+
+
+def merge_joins_only(conf):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+
+
+def split_small_partitions(conf):
+    merge_joins_only(conf)
+    conf(shuffle__partitions="8", adaptive__skewJoin__skewedPartitionThresholdInBytes="10KB",
+         adaptive__skewJoin__skewedPartitionFactor="2", adaptive__advisoryPartitionSizeInBytes="10KB",
+         adaptive__coalescePartitions__enabled="false")
+
+
+@pytest.fixture
+def hot(spark):
+    """Trigrams a third of which share one word or pair in each place."""
+    rows = spark.range(0, 60000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("a"), F.col("id"))).alias("w1"),
+        F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(F.concat(F.lit("b"), F.col("id") % 4001)).alias("w2"),
+        F.when(F.col("id") % 3 == 1, F.lit("hot")).otherwise(F.concat(F.lit("c"), F.col("id"))).alias("w3"),
+        F.lit(2.0).alias("cnt"),
+    )
+    return materialised(counts.trigram_sums(rows).repartition(16), "hot")
+
+
+@pytest.mark.parametrize("step, side", [
+    (joins.join_c1, counts.unigram_counts), (joins.join_n1, counts.unigram_counts),
+    (joins.join_c2, counts.bigram_counts), (joins.join_n2, counts.bigram_counts)])
+def test_single_joins_cut_up_hot_keys(spark, conf, hot, step, side):
+    split_small_partitions(conf)
+    rows, plan = run(step(counts.trigram_counts(hot).withColumnRenamed("n", "n3"), side(hot)))
+    assert "SortMergeJoin(skew=true)" in plan
+    assert len(rows) == hot.count()
+
+
+def test_statistics_cut_up_hot_keys_and_agree_with_the_plain_plan(spark, conf, hot):
+    plain = set(map(tuple, joins.trigram_statistics(hot).collect()))
+    split_small_partitions(conf)
+    rows, plan = run(joins.trigram_statistics(hot))
+    assert plan.count("SortMergeJoin(skew=true)") >= 2
+    assert set(map(tuple, rows)) == plain
+
+
+def test_lookup_of_pairs_and_stop_words_cut_up_hot_keys(spark, conf, hot):
+    split_small_partitions(conf)
+    pairs = hot.select("w1", "w2").distinct()
+    rows, plan = run(joins.lookup(hot, pairs, ["w1", "w2"], "left_semi"))
+    assert "SortMergeJoin(skew=true)" in plan and len(rows) == hot.count()
+    stop = spark.createDataFrame([("none",), ("c5",)], "word string")
+    rows, plan = run(filter_stopwords(hot, stop, max_literal=0))
+    assert "SortMergeJoin(skew=true)" in plan and len(rows) == hot.where("w3 <> 'c5'").count()
+
+
+def test_rank_limit_works_before_the_shuffle(spark, conf, hot):
+    merge_joins_only(conf)
+    model = hot.select("w1", "w2", "w3", (F.hash("w3") % 1000 / 1000.0).alias("p"))
+    rows, plan = run(ranking.top_next_words(model, 5))
+    assert re.search(r"WindowGroupLimit .* Partial", plan)
+    assert max(r["rank"] for r in rows) == 5
+
+
+def test_corpus_is_read_once_and_shuffles_are_shared(spark, conf):
+    merge_joins_only(conf)
+    texts = spark.read.parquet(f"{SF}/documents.parquet")
+    model = model_of(kept_text_rows(texts, contract.STOP, contract.LETTERS), "drop")
+    _, plan = run(ranking.top_next_words(model))
+    assert "documents.parquet" not in plan and "trigram_sums" in plan
+    assert plan.count("ReusedExchange") >= 2
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
+    # The trigrams are shuffled for the two joins and the ranks, the pairs for
+    # their sums, the word counts and the first join, the words twice.
+    shuffles = [line for line in plan.splitlines() if "+- Exchange hashpartitioning" in line]
+    assert len(shuffles) == 8
+
+
+def test_undefined_rows_go_before_the_second_join(spark, conf):
+    merge_joins_only(conf)
+    sums = contract._sums(spark, SF)
+    from trigramma.plans.model import add_probability
+
+    _, plan = run(add_probability(joins.trigram_statistics(sums), "drop"))
+    first = [line for line in plan.splitlines() if "SortMergeJoin [_key" in line and "w1" in line]
+    assert first and "isnan" in first[0]
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_no_query_crosses_rows(spark, name):
+    plan = contract.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_scans_read_the_text_column_only(spark):
+    rows = contract._kept(spark, SF)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"ReadSchema: (\S+)", plan) == ["struct<text:string>"]
+
+
+def test_filters_come_before_the_sums(spark):
+    plan = counts.trigram_sums(contract._kept(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    partial, filtered = plan.find("partial_sum"), plan.find("RLIKE")
+    assert 0 < partial < filtered
+
+
+def test_pairs_lie_together_and_hot_pairs_are_cut(spark, conf, hot):
+    model = hot.select("w1", "w2", "w3", F.rand(1).alias("p"))
+    conf(adaptive__advisoryPartitionSizeInBytes="64KB")
+    rows = ranking.cluster_by_pair(model, 8).select("w1", "w2", F.spark_partition_id().alias("part")).collect()
+    assert len(rows) == hot.count()
+    parts = {}
+    for r in rows:
+        parts.setdefault((r.w1, r.w2), set()).add(r.part)
+    assert [pair for pair, places in parts.items() if len(places) > 1] == [("hot", "hot")]
+    whole = ranking.cluster_by_pair(contract._model(spark, SF)).select("w1", "w2", F.spark_partition_id().alias("part"))
+    conf(adaptive__advisoryPartitionSizeInBytes="64MB")
+    assert whole.distinct().groupBy("w1", "w2").count().where("count > 1").count() == 0
+
+
+@pytest.mark.parametrize("order", ["documented", "legacy"])
+def test_positions_follow_the_order_over_many_partitions(spark, conf, hot, order):
+    conf(adaptive__coalescePartitions__enabled="false", shuffle__partitions="13")
+    model = hot.select("w1", "w2", "w3", (F.hash("w3") % 100 / 100.0).alias("p"))
+    numbered = ranking.with_position(ranking.rank_model(model, order))
+    rows = numbered.orderBy("position").collect()
+    assert [r.position for r in rows] == list(range(1, len(rows) + 1))
+    words = [(r.w1, r.w2) for r in rows]
+    if order == "documented":
+        assert words == sorted(words)
+        assert rows == sorted(rows, key=lambda r: (r.w1, r.w2, -r.p, r.w3))
+    else:
+        assert [w for w, _ in words] == sorted(w for w, _ in words)
+    with pytest.raises(ValueError):
+        ranking.rank_model(model, "random")

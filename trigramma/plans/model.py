@@ -45,16 +45,17 @@ def kept_text_rows(
 def add_probability(statistics: DataFrame, undefined: str = "nan") -> DataFrame:
     """Statistics with ``p``; an undefined value stays NaN, becomes NULL or is dropped.
 
-    ``p`` is undefined where one of its three ratios is. Dropping tests the
-    ratios one by one, so Catalyst can drop rows as soon as the two counts of a
-    ratio are joined.
+    Dropping tests the first ratio on its own as well: its two counts are known
+    after one join, and rare pairs, whose count is rounded down to 0, then go
+    before the second.
     """
     if undefined not in ("nan", "null", "drop"):
         raise ValueError(f"undefined is nan, null or drop, not {undefined!r}")
     if undefined == "drop":
-        for n, c in (("n3", "c2"), ("n2", "c1"), ("n1", "c0")):
-            statistics = statistics.where(~F.isnan(ieee_divide(F.col(n), F.col(c))))
+        statistics = statistics.where(~F.isnan(ieee_divide(F.col("n3"), F.col("c2"))))
     model = statistics.withColumn("p", interpolate(*[F.col(c) for c in COUNTS]))
+    if undefined == "drop":
+        return model.where(~F.isnan("p"))
     if undefined == "null":
         return model.withColumn("p", F.nanvl("p", F.lit(None).cast("double")))
     return model
