@@ -18,7 +18,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trigramma.functions.scalar import confidence, ieee_divide, ngram_words, phrase, split_phrase
+from trigramma.functions.scalar import (
+    confidence,
+    ieee_divide,
+    ngram_order,
+    ngram_words,
+    phrase,
+    split_phrase,
+)
 from trigramma.functions.sql import register_functions
 from trigramma.operators import counts, joins, ranking
 from trigramma.operators.filters import filter_alphabet, filter_arity, filter_stopwords
@@ -42,7 +49,8 @@ def _raw(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
 
 
 def _kept(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
-    return plans.kept_text_rows(_table(spark, sf_dir, table), STOP, LETTERS)
+    texts = readers.spread(_table(spark, sf_dir, table).select("text"))
+    return plans.kept_text_rows(texts, STOP, LETTERS)
 
 
 def _sums(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,6 +132,10 @@ def filter_arity_phrases(spark, sf_dir):
     return filter_arity(_phrases(spark, sf_dir))
 
 
+def ngram_orders(spark, sf_dir):
+    return _phrases(spark, sf_dir).withColumn("order", ngram_order(ngram_words(F.col("ngram"))))
+
+
 def filter_stopwords_list(spark, sf_dir):
     return filter_stopwords(_raw(spark, sf_dir, "doc_id"), STOP)
 
@@ -151,7 +163,7 @@ def expand_ngrams(spark, sf_dir):
 
 
 def ngram_counts(spark, sf_dir):
-    return counts.ngram_phrases(counts.ngram_counts(_sums(spark, sf_dir)))
+    return counts.ngram_phrases(counts.ngram_counts(_kept(spark, sf_dir)))
 
 
 def corpus_total(spark, sf_dir):
@@ -331,7 +343,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         parse_ngrams, parse_ngrams_drop, parse_ngrams_quarantine, trigrams_from_text,
-        filter_alphabet_phrases, filter_alphabet_words, filter_arity_phrases,
+        filter_alphabet_phrases, filter_alphabet_words, filter_arity_phrases, ngram_orders,
         filter_stopwords_list, filter_stopwords_table, to_trigram, phrase_round_trip,
         expand_ngrams, ngram_counts, corpus_total, unigram_counts, bigram_counts,
         trigram_counts, trigram_sums, stage_row_counts,
@@ -431,6 +443,7 @@ def oracle_sql() -> dict[str, str]:
             WHERE regexp_full_match(ngram, '[a-z]+( [a-z]+)* *')""",
         "filter_alphabet_words": f"{by_doc} SELECT doc_id, w1, w2, w3, cnt FROM raw WHERE {_good(stop=False)}",
         "filter_arity_phrases": f"WITH {_PHRASES_SQL} SELECT * FROM phrases WHERE {words} > 2",
+        "ngram_orders": f"""WITH {_PHRASES_SQL} SELECT *, {words}::INTEGER AS "order" FROM phrases""",
         "filter_stopwords_list": f"{by_doc} SELECT doc_id, w1, w2, w3, cnt FROM raw WHERE {_good(letters=False)}",
         "filter_stopwords_table": f"""{by_doc},
             stop AS (SELECT DISTINCT unnest(regexp_split_to_array(text, '\\s+')) AS word FROM benchmark)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trigramma.functions.scalar import floor_double, phrase, round_half_up
+from trigramma.session import materialised
 
 WORDS = ("w1", "w2", "w3")
 
@@ -113,10 +114,10 @@ def expand_ngrams(rows: DataFrame) -> DataFrame:
 def ngram_counts(rows: DataFrame) -> DataFrame:
     """Counts of all three orders in one table: ``ngram, order, n``.
 
-    Rows are summed to distinct trigrams once; pairs follow from those and
-    words from the pairs.
+    Rows are summed to distinct trigrams once, which are written; pairs follow
+    from those and words from the pairs.
     """
-    sums = rows if "s" in rows.columns else trigram_sums(rows)
+    sums = rows if "s" in rows.columns else materialised(trigram_sums(rows), "trigram_sums")
     pairs = pair_sums(sums)
     return (
         unigrams_of_pairs(pairs)

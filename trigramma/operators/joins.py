@@ -22,6 +22,7 @@ from trigramma.operators.counts import (
     unigram_counts,
     unigrams_of_pairs,
 )
+from trigramma.session import materialised
 
 
 def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -86,9 +87,10 @@ def trigram_statistics(rows: DataFrame, wanted: DataFrame | None = None) -> Data
     """``w1, w2, w3, n1, n2, n3, c0, c1, c2`` for every distinct trigram.
 
     ``wanted``, a table of pairs ``w1, w2``, limits the rows that come out (not
-    the corpus that is counted) before the joins are made.
+    the corpus that is counted) before the joins are made. The trigram sums are
+    used several times; where rows are given instead, their sums are written first.
     """
-    sums = rows if "s" in rows.columns else trigram_sums(rows)
+    sums = rows if "s" in rows.columns else materialised(trigram_sums(rows), "trigram_sums")
     pairs = pair_table(sums)
     first = pairs.select(
         F.col("a").alias("w1"), F.col("b").alias("w2"),

@@ -13,7 +13,7 @@ from trigramma.operators.counts import WORDS, pair_sums, trigram_sums, unigrams_
 from trigramma.operators.filters import filter_alphabet, filter_arity, filter_stopwords
 from trigramma.operators.joins import trigram_statistics
 from trigramma.operators.ranking import rank_model
-from trigramma.sources.readers import parse_ngrams, spread, to_trigram, trigrams_from_text
+from trigramma.sources.readers import parse_ngrams, to_trigram, trigrams_from_text
 from trigramma.session import materialised
 from trigramma.sources.writers import write_stage
 
@@ -38,7 +38,7 @@ def kept_text_rows(
     texts: DataFrame, stop: DataFrame | Iterable[str] = HEBREW_STOPWORDS, letters: str = HEBREW
 ) -> DataFrame:
     """Trigrams of a ``text`` column that pass the filters."""
-    rows = trigrams_from_text(spread(texts.select("text")))
+    rows = trigrams_from_text(texts.select("text"))
     return filter_stopwords(filter_alphabet(rows, letters), stop)
 
 
