@@ -297,15 +297,21 @@ def cluster_by_pair(spark, sf_dir):
     return _shown(ranking.cluster_by_pair(_model(spark, sf_dir).select(*WORDS, "p")))
 
 
-def top_next_words(spark, sf_dir):
-    best = ranking.top_next_words(_model(spark, sf_dir, undefined="drop"), 5)
+def _predicted(best):
     return _shown(best).select(*WORDS, "p", F.col("rank").cast("bigint").alias("rank"))
 
 
+def top_next_words(spark, sf_dir):
+    return _predicted(ranking.top_next_words(_model(spark, sf_dir, undefined="drop"), 5))
+
+
 def predict(spark, sf_dir):
-    model = plans.model_of(_kept(spark, sf_dir), "drop", wanted=_pairs(spark, sf_dir).distinct())
-    best = ranking.predict(model, _pairs(spark, sf_dir), 3)
-    return _shown(best).select(*WORDS, "p", F.col("rank").cast("bigint").alias("rank"))
+    model = _model(spark, sf_dir, undefined="drop")
+    return _predicted(ranking.predict(model, _pairs(spark, sf_dir), 3))
+
+
+def predict_from_rows(spark, sf_dir):
+    return _predicted(plans.predict_from_rows(_kept(spark, sf_dir), _pairs(spark, sf_dir), 3))
 
 
 # --- written tables and files -------------------------------------------------
@@ -351,7 +357,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         trigram_statistics, labelled_statistics, pivot_statistics,
         confidence_weights, ieee_division, sql_functions,
         trigram_probability, defined_probability, conversation_model, count_line_model,
-        rank_documented, rank_legacy, cluster_by_pair, top_next_words, predict,
+        rank_documented, rank_legacy, cluster_by_pair, top_next_words, predict, predict_from_rows,
         stage_round_trip, sequence_file_round_trip, text_round_trip,
     )
     return {query.__name__: query for query in listed}
@@ -501,13 +507,13 @@ def oracle_sql() -> dict[str, str]:
         "top_next_words": f"""{model}, best AS (SELECT w1, w2, w3, p,
             row_number() OVER (PARTITION BY w1, w2 ORDER BY p DESC, w3) AS rank FROM model WHERE NOT isnan(p))
             SELECT w1, w2, w3, round(p, 12) AS p, rank FROM best WHERE rank <= 5""",
-        "predict": f"""{model}, btok AS (SELECT regexp_split_to_array(text, '\\s+') AS t FROM benchmark),
+        **dict.fromkeys(("predict", "predict_from_rows"), f"""{model}, btok AS (SELECT regexp_split_to_array(text, '\\s+') AS t FROM benchmark),
             bpos AS (SELECT t, unnest(range(1, len(t) - 1)) AS i FROM btok),
             braw AS (SELECT t[i] AS w1, t[i+1] AS w2, t[i+2] AS w3 FROM bpos),
             asked AS (SELECT DISTINCT w1, w2 FROM braw WHERE {_good()}),
             best AS (SELECT w1, w2, w3, p, row_number() OVER (PARTITION BY w1, w2 ORDER BY p DESC, w3) AS rank
                      FROM model SEMI JOIN asked USING (w1, w2) WHERE NOT isnan(p))
-            SELECT w1, w2, w3, round(p, 12) AS p, rank FROM best WHERE rank <= 3""",
+            SELECT w1, w2, w3, round(p, 12) AS p, rank FROM best WHERE rank <= 3"""),
         "stage_round_trip": f"{stats} SELECT * FROM stats",
         "sequence_file_round_trip": f"""WITH {_tri_sql('conversations')}
             SELECT w1 || ' ' || w2 || ' ' || w3 AS ngram, 3.0::DOUBLE AS cnt FROM tri""",

@@ -100,7 +100,9 @@ def trigram_statistics(rows: DataFrame, wanted: DataFrame | None = None) -> Data
         F.col("a").alias("w2"), F.col("b").alias("w3"),
         F.col("pair_n").alias("n2"), F.col("word_n").alias("n1"),
     )
-    kept = sums if wanted is None else lookup(sums, wanted.select("w1", "w2"), ["w1", "w2"], "left_semi")
+    kept = sums
+    if wanted is not None:
+        kept = lookup(sums, wanted.select("w1", "w2").distinct(), ["w1", "w2"], "left_semi")
     joined = lookup(lookup(kept, first, ["w1", "w2"]), second, ["w2", "w3"])
     n3 = floor_double(F.col("s") / 3).alias("n3")
     return attach_total(

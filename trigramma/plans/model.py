@@ -12,7 +12,7 @@ from trigramma.functions.stopwords import HEBREW_STOPWORDS
 from trigramma.operators.counts import WORDS, pair_sums, trigram_sums, unigrams_of_pairs
 from trigramma.operators.filters import filter_alphabet, filter_arity, filter_stopwords
 from trigramma.operators.joins import trigram_statistics
-from trigramma.operators.ranking import rank_model
+from trigramma.operators.ranking import rank_model, top_next_words
 from trigramma.sources.readers import parse_ngrams, to_trigram, trigrams_from_text
 from trigramma.session import materialised
 from trigramma.sources.writers import write_stage
@@ -103,6 +103,15 @@ def build_model(
     return model if order is None else rank_model(model, order)
 
 
+def predict_from_rows(rows: DataFrame, pairs: DataFrame, k: int = 5) -> DataFrame:
+    """The best ``k`` next words of the given pairs, straight from kept rows.
+
+    The whole corpus is counted, but only trigrams of the pairs go into the
+    joins. To ask a finished model, use ``predict``.
+    """
+    return top_next_words(model_of(rows, "drop", wanted=pairs), k)
+
+
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """``df`` and its row count, filled in by the action that next runs it."""
     rows = Observation(name)

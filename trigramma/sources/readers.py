@@ -2,25 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trigramma.functions.scalar import ngram_words
 
-LINE = T.StructType([T.StructField("value", T.StringType())])
+# Lines handed from Python to Spark as one row.
+BATCH = 1000
 
 
 def read_ngram_seq(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a SequenceFile of (LongWritable, Text), a folder or a glob.
 
     Spark has no DataFrame reader for the format, so this is the one place
-    where rows pass through Python; everything after it is DataFrame code.
+    where rows pass through Python; they return in batches, and everything
+    after is DataFrame code.
     """
-    lines = spark.sparkContext.sequenceFile(
+
+    size = BATCH
+
+    # Defined here so that it travels with the task: executors need not have
+    # this package installed.
+    def batches(records: Iterator[tuple[int, str]]) -> Iterator[tuple[list[str]]]:
+        lines = (line for _, line in records)
+        while batch := list(islice(lines, size)):
+            yield (batch,)
+
+    records = spark.sparkContext.sequenceFile(
         path, "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text"
-    ).map(lambda record: (record[1],))
-    return spark.createDataFrame(lines, LINE, verifySchema=False)
+    )
+    batched = spark.createDataFrame(
+        records.mapPartitions(batches), "lines array<string>", verifySchema=False
+    )
+    return batched.select(F.explode("lines").alias("value"))
 
 
 def read_ngram_text(spark: SparkSession, path: str) -> DataFrame:
