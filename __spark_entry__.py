@@ -9,6 +9,7 @@ compared by value.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -33,6 +34,14 @@ from trigramma.plans import model as plans
 from trigramma.session import materialised, scratch_path
 from trigramma.sources import readers, writers
 
+# The text operators and their pipeline are an addition that may be absent.
+if importlib.util.find_spec("trigramma.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline as _pipeline
+    from trigramma.llm import oracle as _llm_oracle
+    from trigramma.llm import queries as _llm_queries
+else:
+    _pipeline = _llm_oracle = _llm_queries = None
+
 LETTERS = "a-z"
 STOP = ("the", "of", "and", "de", "der", "la")
 WORDS = ["w1", "w2", "w3"]
@@ -360,7 +369,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         rank_documented, rank_legacy, cluster_by_pair, top_next_words, predict, predict_from_rows,
         stage_round_trip, sequence_file_round_trip, text_round_trip,
     )
-    return {query.__name__: query for query in listed}
+    named = {query.__name__: query for query in listed}
+    if _llm_queries:
+        named |= _llm_queries.queries() | {"pipeline": _pipeline.run}
+    return named
 
 
 # --- the same in SQL ----------------------------------------------------------
@@ -419,6 +431,15 @@ _BAD_SQL = """clauses AS (SELECT role, unnest(regexp_split_to_array(text, '[.,\\
 
 
 def oracle_sql() -> dict[str, str]:
+    named = _own_sql()
+    if _llm_oracle:
+        named |= _llm_oracle.oracle_sql()
+        if _pipeline.ORACLE_SQL:
+            named["pipeline"] = _pipeline.ORACLE_SQL
+    return named
+
+
+def _own_sql() -> dict[str, str]:
     tri = f"WITH {_tri_sql()}"
     counted = f"{tri}, {_COUNTS_SQL}"
     stats = f"{counted}, {_STATS_SQL}"

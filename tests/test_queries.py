@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as contract
 from compare import difference, duck
 
 SF = "/root/testdata/sf0.001"
+# The text operators have tests of their own.
+NAMES = [name for name in contract.queries() if not re.match(r"op\d+_|pipeline$", name)]
 
 
 @pytest.fixture(scope="module")
@@ -16,10 +20,10 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(NAMES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_same_as_sql(spark, connection, name):
     found = contract.queries()[name](spark, SF).toPandas()
     assert len(found) > 0
