@@ -27,6 +27,57 @@ SELECT page_id, host, path, rule,
 FROM found JOIN listed USING (host)
 """
 
+DECONTAMINATE = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, w, least(len(w), 10) AS win FROM (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark)
+  WHERE len(w) > 0
+), bw AS (
+  SELECT DISTINCT item_id, win, array_to_string(w[i:i + win - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - win + 2)) AS i FROM b)
+), dw AS (
+  SELECT doc_id, i, win, array_to_string(w[i:i + win - 1], ' ') AS g FROM (
+    SELECT doc_id, w, win, unnest(range(1, len(w) - win + 2)) AS i
+    FROM d, (SELECT DISTINCT win FROM b))
+), hit AS (
+  SELECT doc_id, item_id, i, win FROM dw JOIN bw USING (win, g)
+), spot AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + win)) AS p FROM hit) GROUP BY doc_id
+), ids AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN spot USING (doc_id) LEFT JOIN ids USING (doc_id)
+"""
+
+JACCARD_JOIN = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d
+), n AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL
+), l AS MATERIALIZED (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+), r AS (
+  SELECT doc_id, doc_id AS c FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.c
+)
+SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(c) AS component_id,
+       (SELECT count(*) FROM l WHERE l.a = r.doc_id) AS n_links
+FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
 
 def oracle_sql():
-    return {"op10_url_filter": URL_FILTER}
+    return {"op2_jaccard_join": JACCARD_JOIN, "op3_decontaminate": DECONTAMINATE, "op10_url_filter": URL_FILTER}

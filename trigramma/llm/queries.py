@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trigramma.llm import url_filter
+from trigramma.llm import decontaminate, jaccard_join, quality, url_filter
 from trigramma.llm.common import table
 
 URL_RULES = [
@@ -14,9 +14,23 @@ URL_RULES = [
 ]
 
 
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_decontaminate(spark, sf_dir):
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op4_quality_rules(spark, sf_dir):
+    return quality.judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op10_url_filter(spark, sf_dir):
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
 def queries():
-    return {"op10_url_filter": op10_url_filter}
+    return {"op2_jaccard_join": op2_jaccard_join, "op3_decontaminate": op3_decontaminate, "op4_quality_rules": op4_quality_rules, "op10_url_filter": op10_url_filter}
