@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from trigramma.llm import decontaminate, jaccard_join, quality, url_filter
+from trigramma.llm import (
+    decontaminate,
+    html_text,
+    jaccard_join,
+    language_id,
+    quality,
+    toxicity,
+    url_filter,
+)
 from trigramma.llm.common import table
 
 URL_RULES = [
@@ -28,9 +36,27 @@ def op4_quality_rules(spark, sf_dir):
     return quality.judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op5_html_text(spark, sf_dir):
+    return html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op8_language_id(spark, sf_dir):
+    return language_id.predict_language(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+def op9_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    )
+
+
 def op10_url_filter(spark, sf_dir):
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
 def queries():
-    return {"op2_jaccard_join": op2_jaccard_join, "op3_decontaminate": op3_decontaminate, "op4_quality_rules": op4_quality_rules, "op10_url_filter": op10_url_filter}
+    listed = (
+        op2_jaccard_join, op3_decontaminate, op4_quality_rules, op5_html_text, op8_language_id, op9_toxicity,
+        op10_url_filter,
+    )
+    return {query.__name__: query for query in listed}
