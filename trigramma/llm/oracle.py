@@ -78,6 +78,61 @@ SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(c) AS component_id,
 FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
 
+LINE_DEDUP = r"""
+WITH l AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+), h AS (
+  SELECT *, list_transform(lines, lambda x: ('0x' || substr(md5(x), 1, 7))::BIGINT) AS h FROM l
+), c AS (
+  SELECT *, list_filter(range(1, len(h) + 1), lambda i: i = len(h)
+    OR (h[i] + 31 * CASE WHEN i > 1 THEN h[i - 1] ELSE 0 END) % 3 = 0) AS cuts FROM h
+), k AS (
+  SELECT doc_id, lines, k - 1 AS idx, CASE WHEN k > 1 THEN cuts[k - 1] + 1 ELSE 1 END AS a, cuts[k] AS b
+  FROM (SELECT *, unnest(range(1, len(cuts) + 1)) AS k FROM c)
+), t AS (
+  SELECT doc_id, idx, a, b, array_to_string(lines[a:b], chr(10)) AS chunk FROM k
+), f AS (
+  SELECT *, b > a AND regexp_matches(chunk, '\S') AND
+    row_number() OVER (PARTITION BY chunk, b > a ORDER BY doc_id, idx) > 1 AS again FROM t
+)
+SELECT d.doc_id, coalesce(count(*) FILTER (again), 0) AS n_removed_chunks,
+       coalesce(sum(b - a + 1) FILTER (again), 0)::BIGINT AS n_removed_lines,
+       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(string_agg(chunk, chr(10) ORDER BY idx) FILTER (NOT again), '') END AS text
+FROM documents d LEFT JOIN f ON d.doc_id = f.doc_id GROUP BY d.doc_id, d.text
+"""
+
+MIXING = r"""
+WITH RECURSIVE s AS (
+  SELECT source, CASE WHEN source = 'src0' THEN 3 ELSE 1 END AS w,
+         row_number() OVER (ORDER BY source NULLS FIRST) AS i FROM (SELECT DISTINCT source FROM documents)
+), cfg AS (
+  SELECT list(w ORDER BY i) AS w, sum(w)::BIGINT AS q FROM s
+), e(t, c, pick) AS (
+  SELECT 0::BIGINT, list_transform(w, lambda x: 0::BIGINT), NULL::BIGINT FROM cfg
+  UNION ALL
+  SELECT t + 1, list_transform(c, lambda x, k: CASE WHEN k = p THEN x + 1 ELSE x END), p FROM (
+    SELECT t, c, (list_min(list_transform(
+      list_filter(range(1, len(c) + 1), lambda k: c[k] * q < (t + 1) * w[k]),
+      lambda k: ((c[k] + 1) * q + w[k] - 1) // w[k] * 1000000 + k)) % 1000000)::BIGINT AS p
+    FROM e, cfg WHERE t < q)
+), turns AS (
+  SELECT pick AS i, t - 1 AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS turn FROM e WHERE pick IS NOT NULL
+), r AS (
+  SELECT d.doc_id, d.source, s.i, s.w,
+    row_number() OVER (PARTITION BY s.i ORDER BY md5(d.doc_id::VARCHAR), d.doc_id) - 1 AS n
+  FROM documents d JOIN s ON d.source IS NOT DISTINCT FROM s.source
+)
+SELECT doc_id, source, n // 64 AS mix_block, (n // 64) // r.w * q + slot AS mix_slot,
+       ((n // 64) // r.w * q + slot) * 64 + n % 64 AS mix_position
+FROM r JOIN turns ON r.i = turns.i AND (n // 64) % r.w = turn, cfg
+"""
+
 
 def oracle_sql():
-    return {"op2_jaccard_join": JACCARD_JOIN, "op3_decontaminate": DECONTAMINATE, "op10_url_filter": URL_FILTER}
+    return {
+        "op2_jaccard_join": JACCARD_JOIN,
+        "op3_decontaminate": DECONTAMINATE,
+        "op6_mixing": MIXING,
+        "op7_line_dedup": LINE_DEDUP,
+        "op10_url_filter": URL_FILTER,
+    }

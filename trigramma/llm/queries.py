@@ -7,12 +7,17 @@ from trigramma.llm import (
     html_text,
     jaccard_join,
     language_id,
+    line_dedup,
+    mixing,
     quality,
+    secret_scan,
     toxicity,
     url_filter,
 )
 from trigramma.llm.common import table
 
+# Target weights of the mix; all other sources weigh 1.
+TARGETS = {"src0": 3}
 URL_RULES = [
     url_filter.Rule("allow", "org", "/"),
     url_filter.Rule("block", "example.org", "/es/"),
@@ -22,6 +27,10 @@ URL_RULES = [
 ]
 
 
+def op1_secret_scan(spark, sf_dir):
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_jaccard_join(spark, sf_dir):
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -40,6 +49,14 @@ def op5_html_text(spark, sf_dir):
     return html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op6_mixing(spark, sf_dir):
+    return mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source"), TARGETS)
+
+
+def op7_line_dedup(spark, sf_dir):
+    return line_dedup.line_dedup_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_language_id(spark, sf_dir):
     return language_id.predict_language(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -56,7 +73,7 @@ def op10_url_filter(spark, sf_dir):
 
 def queries():
     listed = (
-        op2_jaccard_join, op3_decontaminate, op4_quality_rules, op5_html_text, op8_language_id, op9_toxicity,
+        op1_secret_scan, op2_jaccard_join, op3_decontaminate, op4_quality_rules, op5_html_text, op6_mixing, op7_line_dedup, op8_language_id, op9_toxicity,
         op10_url_filter,
     )
     return {query.__name__: query for query in listed}
