@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trigramma.operators.joins import lookup
 from trigramma.session import materialised
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -24,19 +25,30 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_rows(df: DataFrame, *names: str) -> DataFrame:
+    """The rows as one column ``row``, so that no name of theirs meets another, and some ``names``."""
+    return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"), *[df[n] for n in names])
+
+
+def rows_with(df: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose ``doc_id`` is (or, ``left_anti``, is not) among ``ids(doc_id)``; null is like null."""
+    listed = ids.select(F.col("doc_id").alias("id"))
+    rows = whole_rows(df, "doc_id")
+    return rows.join(listed, F.col("doc_id").eqNullSafe(F.col("id")), how).select("row.*")
+
+
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``node, root`` for every node of ``edges(a, b)``; the root is the smallest node.
 
     Alternating large-star and small-star steps. A step replaces every edge by one
     to the smallest neighbour, so the number of edges never grows past the input's
-    and a hub of any degree only meets its running minimum. Each step is written to
-    the shared folder. ``a`` and ``b`` are of one orderable type and not null.
+    and a hub of any degree only meets its minimum, in as many tasks as it takes. Each
+    step is written to the shared folder. ``a`` and ``b`` are of one orderable type and not null.
     """
     pairs = edges.select("a", "b").where("a <> b")
     pairs = materialised(
         pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc"
     )
-    # The label of a node: the smallest node seen so far.
     for _ in range(rounds):
         both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             pairs.select(F.col("b").alias("u"), F.col("a").alias("v"))
@@ -44,13 +56,13 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # Large star: larger neighbours of u move to u's minimum.
         large = (
-            both.join(low, "u").where("v > u")
+            lookup(both, low, ["u"]).where("v > u")
             .select(F.col("m").alias("a"), F.col("v").alias("b"))
             .where("a <> b").distinct()
         )
         # Small star: u and its smaller neighbours move to the smallest of them.
         small_low = large.groupBy("b").agg(F.min("a").alias("m"))
-        moved = large.join(small_low, "b")
+        moved = lookup(large, small_low, ["b"])
         step = (
             moved.select(F.col("m").alias("a"), F.col("a").alias("b"))
             .unionByName(moved.select(F.col("m").alias("a"), "b"))
@@ -64,7 +76,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if many.unionByName(chained).isEmpty():
             break
     else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
+        raise RuntimeError(f"components did not settle in {rounds} steps")
     return pairs.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
         pairs.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
     )

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trigramma.llm.common import ascii_lower
+from trigramma.llm.common import ascii_lower, rows_with
 from trigramma.session import materialised
 
 WINDOW = 10
@@ -150,4 +150,5 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without a word inside a benchmark window; rows without ``doc_id`` stay."""
     hits = find_hits(documents.select("doc_id", "text"), benchmark.select("item_id", "text"))
-    return documents.join(materialised(hits.select("doc_id").distinct(), "hits"), "doc_id", "left_anti")
+    found = hits.where("doc_id is not null").select("doc_id").distinct()
+    return rows_with(documents, materialised(found, "hits"), "left_anti")

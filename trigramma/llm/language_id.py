@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trigramma.llm.common import rows_with
 from trigramma.llm.texts import mixed, parts
 
 # Bounds of what is learned from: texts per language, characters of each.
@@ -348,7 +349,5 @@ def keep_determined(documents: DataFrame, least: float = 0.5) -> DataFrame:
     """
     docs = documents.select("doc_id", "text", "lang")
     found = label(docs, learn(docs))
-    good = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(
-        F.col("doc_id").alias("_kept_id")
-    ).distinct()
-    return documents.join(good, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    good = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+    return rows_with(documents, good.select("doc_id").distinct())

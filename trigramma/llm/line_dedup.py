@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trigramma.llm.common import whole_rows
+from trigramma.operators.joins import lookup
 from trigramma.session import materialised
 
 # Lines that decide on a boundary, and one boundary among how many lines.
@@ -76,12 +78,12 @@ def repeated_chunks(documents: DataFrame) -> DataFrame:
     counted = chunks.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     again = materialised(counted.where(~F.col("first").eqNullSafe(F.col("last"))).select("key", "first"), "chunk_keys")
     found = materialised(
-        chunks.join(again, "key").select("doc_id", "idx", "text", "key", place.eqNullSafe(F.col("first")).alias("kept")),
+        lookup(chunks, again, ["key"]).select("doc_id", "idx", "text", "key", place.eqNullSafe(F.col("first")).alias("kept")),
         "chunks",
     )
     # Rows that repeat a doc_id have the same places; of them one text is compared.
     firsts = found.where("kept").groupBy("key").agg(F.min("text").alias("original"))
-    same = found.where(~F.col("kept")).join(firsts, "key").where(F.col("text") == F.col("original"))
+    same = lookup(found.where(~F.col("kept")), firsts, ["key"]).where(F.col("text") == F.col("original"))
     return materialised(same.groupBy("doc_id").agg(F.collect_set("idx").alias("removed")), "removed")
 
 
@@ -91,21 +93,19 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     ``n_chars`` is counted anew where the table has it. Every document stays, one that repeats
     others whole with what is left of it, maybe an empty text; a null text stays null. Rows
     that repeat a ``doc_id`` are versions of one document: a chunk is taken out of all of them
-    or none. An empty table gives an empty result. The name ``_removed`` is taken.
+    or none. An empty table gives an empty result.
     """
-    removed = repeated_chunks(documents.select("doc_id", "text")).select(
-        F.col("doc_id").alias("_removed_id"), F.col("removed").alias("_removed")
-    )
-    joined = documents.join(removed, F.col("doc_id").eqNullSafe(F.col("_removed_id")), "left").drop("_removed_id")
-    left = joined.where("_removed is null").drop("_removed")
-    rest = [c for c in documents.columns if c != "text"]
-    changed = with_chunks(joined.where("_removed is not null"), *rest, "_removed")
-    kept = F.filter("chunks", lambda c: ~F.array_contains("_removed", c["idx"]))
+    removed = repeated_chunks(documents.select("doc_id", "text")).withColumnRenamed("doc_id", "id")
+    joined = whole_rows(documents, "doc_id", "text").join(removed, F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    left = joined.where("removed is null").select("row.*")
+    changed = with_chunks(joined.where("removed is not null"), "row", "removed")
+    kept = F.filter("chunks", lambda c: ~F.array_contains("removed", c["idx"]))
     text = F.array_join(F.transform(kept, lambda c: _text_of(c["first"], c["last"])), "\n")
-    changed = changed.select(*rest, text.alias("text"))
+    row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in documents.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return left.unionByName(changed.select(*left.columns))
+        row = row.withField("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
+    changed = changed.select("row", text.alias("text")).select(row.alias("row")).select("row.*")
+    return left.unionByName(changed)
 
 
 def line_dedup_report(documents: DataFrame) -> DataFrame:

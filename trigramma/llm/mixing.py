@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trigramma.llm.common import whole_rows
 from trigramma.session import materialised
 
 BLOCK = 64
@@ -69,26 +70,25 @@ def timetable(sources: DataFrame) -> DataFrame:
 
 
 def numbered_rows(documents: DataFrame) -> DataFrame:
-    """``documents`` with ``_rank``, from 0 within a source, in the order of a hash of the id.
+    """``row, source, rank``: every row, numbered from 0 within its source in the order of a hash.
 
     A source is numbered in 4096 parts side by side, each from where the part before
     ends, so that no task sees a large source whole.
     """
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    keyed = documents.withColumn("_key", key).withColumn("_part", F.substring(key, 1, DIGITS))
-    sizes = keyed.groupBy("source", "_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = materialised(
-        sizes.select(
-            F.col("source").alias("_source"), F.col("_part").alias("_at"),
-            F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"),
-        ),
-        "part_starts",
+    # A name that is never null, so that the join below and the numbering share a shuffle.
+    name = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    parts = {"key": key, "name": name, "part": F.substring(key, 1, DIGITS)}
+    sizes = documents.select("doc_id", "source").withColumns(parts).groupBy("name", "part").agg(
+        F.count(F.lit(1)).alias("size")
     )
-    inside = Window.partitionBy("source", "_part").orderBy("_key", "doc_id", F.xxhash64(*documents.columns))
-    ranked = keyed.withColumn("_inside", F.row_number().over(inside) - 1)
-    joined = ranked.join(starts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_part") == F.col("_at")))
-    return joined.withColumn("_rank", F.col("_start") + F.col("_inside")).select(*documents.columns, "_rank")
+    before = Window.partitionBy("name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start")
+    starts = materialised(sizes.select("name", "part", start), "part_starts")
+    inside = Window.partitionBy("name", "part").orderBy("key", "doc_id", F.xxhash64("row"))
+    keyed = whole_rows(documents, "doc_id", "source").withColumns(parts)
+    joined = keyed.join(starts.hint("merge"), ["name", "part"])
+    return joined.select("row", "source", (F.col("start") + F.row_number().over(inside) - 1).alias("rank"))
 
 
 def mix_sources(documents: DataFrame, targets: dict[str, int], default: int = 1, block: int = BLOCK) -> DataFrame:
@@ -101,32 +101,27 @@ def mix_sources(documents: DataFrame, targets: dict[str, int], default: int = 1,
 
     A null source is a source of its own; documents without an id sort first within theirs,
     repeated rows follow each other, and a null text is a text like any other. A target of 0 or
-    less is an error, as documents would have to go. An empty table gives an empty result.
+    less is an error, as documents would have to go. Columns of the three names are replaced. An empty table gives an empty result.
     """
     if min([default, *targets.values()]) < 1:
         raise ValueError("weights are whole numbers from 1 on")
     spark = documents.sparkSession
+    documents = documents.drop("mix_block", "mix_slot", "mix_position")
     named = spark.createDataFrame(sorted(targets.items()) or [("", 1)], "name string, target long")
-    sources = documents.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    sources = documents.select("source").distinct()
     weights = sources.join(named, F.col("source") == F.col("name"), "left").select(
         "source", F.coalesce("target", F.lit(default)).cast("long").alias("weight")
     )
-    turns = materialised(timetable(weights), "timetable").select(
-        F.col("source").alias("_turn_source"), F.col("weight").alias("_weight"), F.col("total").alias("_total"),
-        F.col("turn").alias("_turn"), F.col("slot").alias("_slot"),
-    )
+    turns = materialised(timetable(weights), "timetable").withColumnRenamed("source", "of")
     # Both are bounded by ROUND.
-    every = turns.select(F.col("_turn_source").alias("_source"), F.col("_weight").alias("_every")).distinct()
-    ranked = numbered_rows(documents).join(
-        F.broadcast(every), F.col("source").eqNullSafe(F.col("_source"))
-    )
-    number = F.floor(F.col("_rank") / block)
-    placed = ranked.withColumn("mix_block", number).join(
+    every = turns.select(F.col("of").alias("whose"), F.col("weight").alias("every")).distinct()
+    ranked = numbered_rows(documents).join(F.broadcast(every), F.col("source").eqNullSafe(F.col("whose")))
+    placed = ranked.withColumn("block", F.floor(F.col("rank") / block)).join(
         F.broadcast(turns),
-        F.col("source").eqNullSafe(F.col("_turn_source")) & (F.col("mix_block") % F.col("_every") == F.col("_turn")),
+        F.col("source").eqNullSafe(F.col("of")) & (F.col("block") % F.col("every") == F.col("turn")),
     )
-    slot = F.floor(F.col("mix_block") / F.col("_weight")) * F.col("_total") + F.col("_slot")
+    slot = F.floor(F.col("block") / F.col("weight")) * F.col("total") + F.col("slot")
     return placed.select(
-        *documents.columns, "mix_block", slot.alias("mix_slot"),
-        (slot * block + F.col("_rank") % block).alias("mix_position"),
+        "row.*", F.col("block").alias("mix_block"), slot.alias("mix_slot"),
+        (slot * block + F.col("rank") % block).alias("mix_position"),
     )

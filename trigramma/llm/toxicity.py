@@ -49,8 +49,8 @@ ADDRESS = frozenset("you your yours you're ur du dich dir dein deine euch tu toi
 LOOKALIKES = str.maketrans("013457@$", "oieastas")
 STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "@$") + "“”„«»‘’‚›‹…¿¡"
 
-# Means of the prior of the weights: constant, strongest window, matches, spelling
-# errors, quoted matches, matches near an address.
+# Means of the prior of the weights: constant, strongest window; matches and spelling
+# errors outside it; quoted matches, matches near an address.
 PRIOR = np.array([-3.0, 1.5, 1.5, 1.0, -0.5, 0.5])
 
 
@@ -224,8 +224,9 @@ class Matcher:
         if not hits:
             return out
         places = [i for i, t in enumerate(tokens) if t in hits]
-        strength = []
-        exact = wrong = quoted = addressed = 0.0
+        # For each match: its strength in its context, and what it adds elsewhere.
+        strength: list[float] = []
+        kinds: list[tuple[float, float, float, float]] = []
         for i in places:
             before = tokens[max(0, i - REACH) : i]
             after = tokens[i + 1 : i + 1 + REACH]
@@ -233,18 +234,24 @@ class Matcher:
             closed = any(c in QUOTES for t in after for c in t) or tokens[i][-1] in QUOTES
             reported = any(t.strip(STRIP) in REPORTING for t in before[-4:])
             framed = (opened and closed) or reported
+            addressed = any(t.strip(STRIP) in ADDRESS for t in before + after)
             weight, errors = hits[tokens[i]]
             strength.append(weight * (0.3 if framed else 1.0))
-            quoted += weight if framed else 0
-            exact += weight if not framed and not errors else 0
-            wrong += weight if not framed and errors else 0
-            addressed += any(t.strip(STRIP) in ADDRESS for t in before + after)
+            kinds.append((
+                weight * (not framed and not errors), weight * (not framed and errors > 0),
+                weight * framed, weight * addressed,
+            ))
+        windows = [_around(places, k) for k in range(len(places))]
         near = [
             sum(s * 0.9 ** abs(p - places[k]) for s, p in zip(strength[lo:hi], places[lo:hi]))
-            for k in range(len(places))
-            for lo, hi in [_around(places, k)]
+            for k, (lo, hi) in enumerate(windows)
         ]
-        out[1:] = math.log1p(max(near)), math.log1p(exact), math.log1p(wrong), math.log1p(quoted), math.log1p(addressed)
+        best = max(range(len(near)), key=near.__getitem__)
+        lo, hi = windows[best]
+        rest = kinds[:lo] + kinds[hi:]
+        exact, wrong = (sum(k[i] for k in rest) for i in (0, 1))
+        quoted, addressed = (sum(k[i] for k in kinds) for i in (2, 3))
+        out[1:] = math.log1p(near[best]), math.log1p(exact), math.log1p(wrong), math.log1p(quoted), math.log1p(addressed)
         return out
 
     def score(self, text: str | None) -> float:
@@ -284,8 +291,15 @@ def learn_lexicon(texts: list[str], toxic: list[int]) -> tuple[dict[str, Entry],
             ordinary |= words
     size = (sum(1 - y for y in toxic) or 1, sum(toxic) or 1)
     share = size[1] / sum(size)
+    longer: Counter[str] = Counter()
+    for (spelling, stem), found in seen[1].items():
+        if stem:
+            longer[spelling[:-1]] = max(longer[spelling[:-1]], found)
     able: dict[tuple[str, bool], float] = {}
     for key, found in seen[1].items():
+        # A stem that nearly always goes on with the same letter is only a part of one.
+        if key[1] and longer[key[0]] >= 0.95 * found:
+            continue
         clean = seen[0][key]
         ratio = ((found + 0.5) / (size[1] + 1)) / ((clean + 0.5) / (size[0] + 1))
         if ratio < (STEM_RATIO if key[1] else RATIO) or (key[1] and len(endings[key[0]]) < 4):
