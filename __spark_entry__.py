@@ -45,6 +45,8 @@ else:
 LETTERS = "a-z"
 STOP = ("the", "of", "and", "de", "der", "la")
 WORDS = ["w1", "w2", "w3"]
+# Each table of running text is one file here, which a single task would read.
+TASKS = 32
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,11 +56,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _raw(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """All trigrams of the documents, unfiltered."""
     texts = _table(spark, sf_dir, "documents").select("text", *keep)
-    return readers.trigrams_from_text(readers.spread(texts), "text", *keep)
+    return readers.trigrams_from_text(readers.spread(texts, TASKS), "text", *keep)
 
 
 def _kept(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
-    texts = readers.spread(_table(spark, sf_dir, table).select("text"))
+    texts = readers.spread(_table(spark, sf_dir, table).select("text"), TASKS)
     return plans.kept_text_rows(texts, STOP, LETTERS)
 
 
@@ -77,7 +79,7 @@ def _model(spark: SparkSession, sf_dir: str, table: str = "documents", undefined
 
 def _phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clauses of all conversations: n-grams of any number of words."""
-    talk = readers.spread(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    talk = readers.spread(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), TASKS)
     return talk.select("conv_id", "turn", F.explode(F.split("text", r"[.,\n]+ *")).alias("ngram"))
 
 
@@ -94,7 +96,7 @@ def _count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation clauses as lines; those of the assistant lack a number."""
-    talk = readers.spread(_table(spark, sf_dir, "conversations").select("role", "text"))
+    talk = readers.spread(_table(spark, sf_dir, "conversations").select("role", "text"), TASKS)
     clause = talk.select("role", F.explode(F.split("text", r"[.,\n]+ *")).alias("ngram"))
     third = F.when(F.col("role") == "assistant", F.lit("12x")).otherwise(F.lit("12"))
     return clause.select(F.concat_ws("\t", "ngram", F.lit("2000"), third).alias("value"))
@@ -152,7 +154,16 @@ def filter_stopwords_list(spark, sf_dir):
 def filter_stopwords_table(spark, sf_dir):
     words = F.explode(F.split("text", r"\s+")).alias("word")
     stop = _table(spark, sf_dir, "benchmark").select(words).distinct()
-    return filter_stopwords(_raw(spark, sf_dir, "doc_id"), stop, max_literal=0)
+    return filter_stopwords(_raw(spark, sf_dir, "doc_id"), stop)
+
+
+def filter_stopwords_file(spark, sf_dir):
+    """The words of the benchmark as a file: as they come, with blanks and carriage returns."""
+    path = scratch_path(spark, "stopwords")
+    words = F.explode(F.split("text", r"\s+")).alias("word")
+    lines = _table(spark, sf_dir, "benchmark").select(words).select(F.concat(F.lit("  "), "word", F.lit("\t\r")))
+    lines.write.text(path)
+    return filter_stopwords(_raw(spark, sf_dir, "doc_id"), readers.read_stopwords(spark, path))
 
 
 def to_trigram(spark, sf_dir):
@@ -175,6 +186,27 @@ def ngram_counts(spark, sf_dir):
     return counts.ngram_phrases(counts.ngram_counts(_kept(spark, sf_dir)))
 
 
+def odd_counts(spark, sf_dir):
+    """Counts that are no ordinary numbers, by what becomes of them in word and pair counts."""
+    rows = _raw(spark, sf_dir, "doc_id")
+    kept = filter_stopwords(filter_alphabet(rows, LETTERS), STOP)
+    odd = (
+        F.when(F.col("doc_id") % 50 == 1, "NaN").when(F.col("doc_id") % 50 == 2, "Infinity")
+        .when(F.col("doc_id") % 50 == 3, "3e19").otherwise("1")
+    )
+    lines = kept.select(F.concat_ws("\t", phrase(*map(F.col, WORDS)), F.lit("2000"), odd).alias("value"))
+    read = readers.to_trigram(readers.parse_ngrams(lines))
+    sums = materialised(counts.trigram_sums(read), "trigram_sums")
+    n = F.col("n")
+    shown = (
+        F.when(F.isnan(n), "nan").when(n == float("inf"), "inf").when(n >= 9e18, "large")
+        .otherwise(n.cast("bigint").cast("string"))
+    )
+    words = counts.unigram_counts(sums).select(F.col("w").alias("ngram"), shown.alias("n"))
+    pairs = counts.bigram_counts(sums).select(phrase(F.col("a"), F.col("b")).alias("ngram"), shown.alias("n"))
+    return words.unionByName(pairs)
+
+
 def corpus_total(spark, sf_dir):
     return counts.corpus_total(_kept(spark, sf_dir))
 
@@ -303,7 +335,12 @@ def rank_legacy(spark, sf_dir):
 
 
 def cluster_by_pair(spark, sf_dir):
-    return _shown(ranking.cluster_by_pair(_model(spark, sf_dir).select(*WORDS, "p")))
+    """Rows of every pair, and the number of partitions they lie in."""
+    clustered = ranking.cluster_by_pair(_model(spark, sf_dir).select(*WORDS, "p"))
+    placed = materialised(clustered.withColumn("part", F.spark_partition_id()), "clustered")
+    return placed.groupBy("w1", "w2").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("part").alias("n_partitions")
+    )
 
 
 def _predicted(best):
@@ -314,6 +351,28 @@ def top_next_words(spark, sf_dir):
     return _predicted(ranking.top_next_words(_model(spark, sf_dir, undefined="drop"), 5))
 
 
+def top_many_words(spark, sf_dir):
+    """Beyond the number of ranks that Spark limits before a shuffle by itself."""
+    return _predicted(ranking.top_next_words(_model(spark, sf_dir, undefined="drop"), 1001))
+
+
+def stage_then_predict(spark, sf_dir):
+    """A model staged once under a name, then asked."""
+    path = scratch_path(spark, "model")
+    writers.write_stage(_model(spark, sf_dir, undefined="drop"), path)
+    return _predicted(ranking.predict(readers.read_stage(spark, path), _pairs(spark, sf_dir), 3))
+
+
+def run_counts(spark, sf_dir):
+    """What a run itself counts; every tenth document's lines lack a number."""
+    rows = _raw(spark, sf_dir, "doc_id")
+    count = F.when(F.col("doc_id") % 10 == 3, "12x").otherwise("1")
+    lines = rows.select(F.concat_ws("\t", phrase(*map(F.col, WORDS)), F.lit("2000"), count).alias("value"))
+    seen = plans.RunCounts()
+    plans.build_model(lines, STOP, LETTERS, order=None, on_bad="drop", seen=seen)
+    return spark.createDataFrame(sorted(seen.get().items()), "stage string, records bigint")
+
+
 def predict(spark, sf_dir):
     model = _model(spark, sf_dir, undefined="drop")
     return _predicted(ranking.predict(model, _pairs(spark, sf_dir), 3))
@@ -359,14 +418,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         parse_ngrams, parse_ngrams_drop, parse_ngrams_quarantine, trigrams_from_text,
         filter_alphabet_phrases, filter_alphabet_words, filter_arity_phrases, ngram_orders,
-        filter_stopwords_list, filter_stopwords_table, to_trigram, phrase_round_trip,
+        filter_stopwords_list, filter_stopwords_table, filter_stopwords_file, to_trigram, phrase_round_trip,
         expand_ngrams, ngram_counts, corpus_total, unigram_counts, bigram_counts,
-        trigram_counts, trigram_sums, stage_row_counts,
+        trigram_counts, trigram_sums, stage_row_counts, odd_counts, run_counts,
         join_c1, join_n1, join_c2, join_n2, attach_total,
         trigram_statistics, labelled_statistics, pivot_statistics,
         confidence_weights, ieee_division, sql_functions,
         trigram_probability, defined_probability, conversation_model, count_line_model,
-        rank_documented, rank_legacy, cluster_by_pair, top_next_words, predict, predict_from_rows,
+        rank_documented, rank_legacy, cluster_by_pair, top_next_words, top_many_words,
+        predict, predict_from_rows, stage_then_predict,
         stage_round_trip, sequence_file_round_trip, text_round_trip,
     )
     named = {query.__name__: query for query in listed}
@@ -472,10 +532,10 @@ def _own_sql() -> dict[str, str]:
         "filter_arity_phrases": f"WITH {_PHRASES_SQL} SELECT * FROM phrases WHERE {words} > 2",
         "ngram_orders": f"""WITH {_PHRASES_SQL} SELECT *, {words}::INTEGER AS "order" FROM phrases""",
         "filter_stopwords_list": f"{by_doc} SELECT doc_id, w1, w2, w3, cnt FROM raw WHERE {_good(letters=False)}",
-        "filter_stopwords_table": f"""{by_doc},
+        **dict.fromkeys(("filter_stopwords_table", "filter_stopwords_file"), f"""{by_doc},
             stop AS (SELECT DISTINCT unnest(regexp_split_to_array(text, '\\s+')) AS word FROM benchmark)
             SELECT doc_id, w1, w2, w3, cnt FROM raw
-            ANTI JOIN stop s1 ON s1.word = w1 ANTI JOIN stop s2 ON s2.word = w2 ANTI JOIN stop s3 ON s3.word = w3""",
+            ANTI JOIN stop s1 ON s1.word = w1 ANTI JOIN stop s2 ON s2.word = w2 ANTI JOIN stop s3 ON s3.word = w3"""),
         "to_trigram": f"""WITH {_PHRASES_SQL},
             parts AS (SELECT conv_id, turn, string_split(rtrim(ngram, ' '), ' ') AS t FROM phrases)
             SELECT t[1] AS w1, t[2] AS w2, t[3] AS w3, conv_id, turn FROM parts WHERE len(t) > 2""",
@@ -524,11 +584,22 @@ def _own_sql() -> dict[str, str]:
         "count_line_model": f"{lines} SELECT w1, w2, w3, {_P} FROM model",
         "rank_documented": ranked("w1, w2, p DESC, w3"),
         "rank_legacy": ranked("w1, w2 DESC, p, w3"),
-        "cluster_by_pair": f"{model} SELECT w1, w2, w3, {_P} FROM model",
-        "top_next_words": f"""{model}, best AS (SELECT w1, w2, w3, p,
+        "cluster_by_pair": f"{model} SELECT w1, w2, count(*) AS n_rows, 1::BIGINT AS n_partitions FROM model GROUP BY w1, w2",
+        **{name: f"""{model}, best AS (SELECT w1, w2, w3, p,
             row_number() OVER (PARTITION BY w1, w2 ORDER BY p DESC, w3) AS rank FROM model WHERE NOT isnan(p))
-            SELECT w1, w2, w3, round(p, 12) AS p, rank FROM best WHERE rank <= 5""",
-        **dict.fromkeys(("predict", "predict_from_rows"), f"""{model}, btok AS (SELECT regexp_split_to_array(text, '\\s+') AS t FROM benchmark),
+            SELECT w1, w2, w3, round(p, 12) AS p, rank FROM best WHERE rank <= {k}"""
+           for name, k in (("top_next_words", 5), ("top_many_words", 1001))},
+        "odd_counts": f"""{by_doc}, tri AS (SELECT w1, w2, w3, CASE doc_id % 50 WHEN 1 THEN 'NaN'::DOUBLE
+                WHEN 2 THEN 'Infinity'::DOUBLE WHEN 3 THEN 3e19 ELSE 1 END AS cnt FROM raw WHERE {_good()}),
+            {_COUNTS_SQL}, every AS (SELECT w AS ngram, n FROM uni UNION ALL SELECT a || ' ' || b, n FROM bi)
+            SELECT ngram, CASE WHEN isnan(n) THEN 'nan' WHEN isinf(n) THEN 'inf' WHEN n >= 9e18 THEN 'large'
+                ELSE n::BIGINT::VARCHAR END AS n FROM every""",
+        "run_counts": f"""{by_doc}, good AS (SELECT * FROM raw WHERE doc_id % 10 <> 3 AND {_good()})
+            SELECT 'lines' AS stage, count(*) AS records FROM raw
+            UNION ALL SELECT 'bad lines', count(*) FROM raw WHERE doc_id % 10 = 3
+            UNION ALL SELECT 'kept rows', count(*) FROM good
+            UNION ALL SELECT 'trigrams', count(*) FROM (SELECT DISTINCT w1, w2, w3 FROM good)""",
+        **dict.fromkeys(("predict", "predict_from_rows", "stage_then_predict"), f"""{model}, btok AS (SELECT regexp_split_to_array(text, '\\s+') AS t FROM benchmark),
             bpos AS (SELECT t, unnest(range(1, len(t) - 1)) AS i FROM btok),
             braw AS (SELECT t[i] AS w1, t[i+1] AS w2, t[i+2] AS w3 FROM bpos),
             asked AS (SELECT DISTINCT w1, w2 FROM braw WHERE {_good()}),

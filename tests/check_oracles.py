@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -17,8 +18,9 @@ from trigramma.session import local_session
 
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(contract.queries())
-    spark = local_session("oracles")
+    names = sys.argv[2:] or list(contract.oracle_sql())
+    shared = tempfile.mkdtemp(prefix="oracles-")
+    spark = local_session("oracles", **{"spark.checkpoint.dir": f"file://{shared}"})
     connection, sql, bad = duck(sf_dir), contract.oracle_sql(), 0
     for name in names:
         start = time.perf_counter()

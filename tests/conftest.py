@@ -12,8 +12,9 @@ from trigramma.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", 8)
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = local_session("tests", 8, **{"spark.checkpoint.dir": f"file://{shared}"})
     yield session
     session.stop()
 

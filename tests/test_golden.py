@@ -7,6 +7,7 @@ import math
 import pytest
 
 import brute
+from trigramma.operators.filters import filter_stopwords
 from trigramma.plans.model import build_model, kept_rows, model_of
 from trigramma.operators.ranking import rank_model, top_next_words, with_position
 
@@ -29,6 +30,7 @@ EDGE = {
     "red fox hides": (7, 5, 6, 3, 2, 26, 10, 0.20568210303053674),
 }
 
+# Sample rows in the format of the corpus.
 HEBREW_LINES = [
     "בוקר טוב היום\t1998\t1200\t50\t30", "לילה טוב חבר\t2010\t300\t15\t10",
     "מה שלומך היום\t2005\t800\t25\t20", "תודה רבה לך\t1999\t1500\t60\t40",
@@ -110,8 +112,30 @@ def test_top_next_words_ignores_undefined(spark, undefined):
     assert best == {("big", "fox"): "runs", ("odd", "odd"): "odd", ("red", "cat"): "runs", ("red", "fox"): "runs"}
 
 
-def test_small_total_gives_infinity(spark):
-    """A total below 1.5 rounds to no corpus at all; the last ratio is then infinite."""
+def test_small_total_is_undefined_or_infinite(spark):
+    """A total below 1.5 rounds to no corpus at all."""
     row = model_of(kept_rows(lines_of(spark, ["a b a\t2000\t1"]), [], "a-z")).collect()[0]
     assert row.c0 == 0 and math.isnan(row.p)
-    assert rank_model(edge_model(spark)).count() == 7
+    for undefined in ("nan", "null", "drop"):
+        model = model_of(kept_rows(lines_of(spark, ["a a a\t2000\t1"]), [], "a-z"), undefined)
+        row = model.collect()[0]
+        assert (row.c0, row.c2, row.p) == (0, 1, math.inf)
+        assert top_next_words(model, 1).collect()[0].p == math.inf
+
+
+@pytest.mark.parametrize("count", ["NaN", "Infinity", "3e19", "-6"])
+def test_odd_counts_are_kept_as_doubles(spark, count):
+    value = float(count)
+    row = model_of(kept_rows(lines_of(spark, [f"a b c\t2000\t{count}"]), [], "a-z")).collect()[0]
+    for found, want in ((row.n1, value), (row.n2, value / 2), (row.n3, value / 3), (row.c1, value)):
+        assert found == want or (math.isnan(found) and math.isnan(want))
+
+
+def test_null_words_are_no_stop_words(spark):
+    rows = spark.createDataFrame([("a", "b", None), ("a", "b", "c"), ("x", "b", "c")], "w1 string, w2 string, w3 string")
+    words = ["x", "x", None]
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    for stop in (words, table):
+        assert {(r.w1, r.w3) for r in filter_stopwords(rows, stop).collect()} == {("a", None), ("a", "c")}
+    for stop in ([], table.limit(0)):
+        assert filter_stopwords(rows, stop).count() == 3

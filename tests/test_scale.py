@@ -70,7 +70,7 @@ def test_lookup_of_pairs_and_stop_words_cut_up_hot_keys(spark, conf, hot):
     rows, plan = run(joins.lookup(hot, pairs, ["w1", "w2"], "left_semi"))
     assert "SortMergeJoin(skew=true)" in plan and len(rows) == hot.count()
     stop = spark.createDataFrame([("none",), ("c5",)], "word string")
-    rows, plan = run(filter_stopwords(hot, stop, max_literal=0))
+    rows, plan = run(filter_stopwords(hot, stop))
     assert "SortMergeJoin(skew=true)" in plan and len(rows) == hot.where("w3 <> 'c5'").count()
 
 
@@ -125,18 +125,37 @@ def test_filters_come_before_the_sums(spark):
     assert 0 < partial < filtered
 
 
-def test_pairs_lie_together_and_hot_pairs_are_cut(spark, conf, hot):
-    model = hot.select("w1", "w2", "w3", F.rand(1).alias("p"))
-    conf(adaptive__advisoryPartitionSizeInBytes="64KB")
-    rows = ranking.cluster_by_pair(model, 8).select("w1", "w2", F.spark_partition_id().alias("part")).collect()
-    assert len(rows) == hot.count()
-    parts = {}
-    for r in rows:
-        parts.setdefault((r.w1, r.w2), set()).add(r.part)
-    assert [pair for pair, places in parts.items() if len(places) > 1] == [("hot", "hot")]
-    whole = ranking.cluster_by_pair(contract._model(spark, SF)).select("w1", "w2", F.spark_partition_id().alias("part"))
-    conf(adaptive__advisoryPartitionSizeInBytes="64MB")
-    assert whole.distinct().groupBy("w1", "w2").count().where("count > 1").count() == 0
+def test_pairs_lie_together_whatever_the_size_of_a_partition(spark, conf):
+    rows = spark.range(200_000).selectExpr(
+        "concat('a', id % 50) AS w1", "concat('b', id % 5000 div 50) AS w2", "concat('c', id) AS w3", "rand(1) AS p"
+    )
+    for size in ("64KB", "64MB"):
+        conf(adaptive__advisoryPartitionSizeInBytes=size)
+        for found in (ranking.cluster_by_pair(rows), ranking.cluster_by_pair(rows, 8)):
+            placed = found.select("w1", "w2", F.spark_partition_id().alias("part")).distinct().collect()
+            assert len(placed) == len({(r.w1, r.w2) for r in placed}) == 5000
+
+
+def test_rank_limit_holds_for_any_k(spark, conf):
+    """A third of the rows is one pair; no window gets more than parts times k rows of it."""
+    merge_joins_only(conf)
+    rows = spark.range(300_000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('a', id)) AS w1", "'b' AS w2", "concat('c', id) AS w3", "id / 300000 AS p"
+    )
+    found = ranking.top_next_words(rows, 1001)
+    best = found.where("w1 = 'hot'").orderBy("rank").collect()
+    assert [r["rank"] for r in best] == list(range(1, 1002))
+    assert [r.p for r in best] == sorted((r.p for r in best), reverse=True)
+    assert best[0].w3 == "c299997" and best[-1].w3 == "c296997"
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 2
+
+
+def test_trigrams_are_no_build_side(spark):
+    """At the default thresholds the sums are small files, and yet never sent to every task."""
+    model = joins.trigram_statistics(contract._sums(spark, "/root/testdata/sf0.01"))
+    _, plan = run(model)
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") >= 3
 
 
 @pytest.mark.parametrize("order", ["documented", "legacy"])

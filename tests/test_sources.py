@@ -12,7 +12,7 @@ from test_golden import EDGE_LINES, lines_of
 from trigramma.functions.scalar import split_phrase
 from trigramma.functions.stopwords import HEBREW_STOPWORDS
 from trigramma.operators import filters
-from trigramma.plans.model import build_model, kept_rows, model_of, observed
+from trigramma.plans.model import RunCounts, build_model, kept_rows, model_of
 from trigramma.session import scratch_path, shared_folder
 from trigramma.sources import readers, writers
 
@@ -55,13 +55,14 @@ def test_alphabet_filter_takes_very_long_rows(spark):
     assert filters.filter_alphabet(long, "a-z").count() == 1
 
 
-@pytest.mark.parametrize("limit", [0, 10_000])
-def test_stop_words_in_any_place(spark, limit):
+@pytest.mark.parametrize("as_table", [True, False])
+def test_stop_words_in_any_place(spark, as_table):
     rows = spark.createDataFrame(
         [("a", "b", "c", 1), ("x", "b", "c", 2), ("a", "x", "c", 3), ("a", "b", "x", 4), ("y", "y", "y", 5)],
         "w1 string, w2 string, w3 string, id int")
-    stop = spark.createDataFrame([("x",), ("y",), ("x",)], "word string")
-    left = filters.filter_stopwords(rows, stop, limit)
+    words = ["x", "y", "x"]
+    stop = spark.createDataFrame([(w,) for w in words], "word string") if as_table else words
+    left = filters.filter_stopwords(rows, stop)
     assert left.columns == rows.columns and [r.id for r in left.collect()] == [1]
     assert filters.filter_stopwords(rows, []).count() == 5
 
@@ -94,7 +95,8 @@ def test_text_in_and_out(spark, tmp_path):
     assert written[2] == "lone pair here\tNaN"
     assert float(written[0].split("\t")[1]) == pytest.approx(0.5988786746582795, abs=1e-12)
     writers.write_ranked_text(model, str(tmp_path / "one"), single_file=True)
-    assert len(list((tmp_path / "one").glob("part-*"))) == 1
+    parts = list((tmp_path / "one").glob("part-*"))
+    assert len(parts) == 1 and parts[0].read_text().splitlines() == written
     with pytest.raises(PySparkException):
         writers.write_ranked_text(model, str(out))
 
@@ -128,10 +130,25 @@ def test_phrases(spark):
     assert tuple(row) == ("a", "b", "c")
 
 
-def test_row_counts_come_with_the_run(spark):
-    rows, kept = observed(kept_rows(lines_of(spark, EDGE_LINES), ["the"], "a-z"), "kept rows")
-    rows.write.format("noop").mode("overwrite").save()
-    assert kept.get == {"rows": 9}
+@pytest.mark.parametrize("on_bad", ["drop", "quarantine", "fail"])
+def test_row_counts_come_with_the_run(spark, on_bad):
+    bad = [] if on_bad == "fail" else ["red fox hides\t2000\tsix"]
+    seen = RunCounts()
+    model = build_model(lines_of(spark, EDGE_LINES + bad), ["the"], "a-z", order=None, on_bad=on_bad, seen=seen)
+    assert seen.get() == {"lines": len(EDGE_LINES + bad), "bad lines": len(bad), "kept rows": 9, "trigrams": 7}
+    assert model.count() == 7
+
+
+def test_a_second_start_goes_on_from_finished_stages(spark, tmp_path):
+    rows = kept_rows(lines_of(spark, EDGE_LINES), ["the"], "a-z")
+    folder = str(tmp_path / "stages")
+    first = model_of(rows, "null", stage_dir=folder, stage_key="edge lines").collect()
+    before = sorted(p.name for p in (tmp_path / "stages" / "trigram_sums").iterdir())
+    again = model_of(rows, "null", stage_dir=folder, stage_key="edge lines").collect()
+    assert set(map(tuple, first)) == set(map(tuple, again))
+    assert before == sorted(p.name for p in (tmp_path / "stages" / "trigram_sums").iterdir())
+    with pytest.raises(ValueError):
+        model_of(rows, stage_dir=folder, stage_key="other lines")
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):

@@ -20,12 +20,16 @@ def ieee_divide(a: Column, b: Column) -> Column:
 
 
 def round_half_up(x: Column) -> Column:
-    """Nearest whole number, halves upwards, as a double."""
+    """Nearest whole number, halves upwards, as a double.
+
+    As a 64-bit integer would hold it: NaN is 0, and larger values are cut to its range.
+    """
     return F.floor(x + 0.5).cast("double")
 
 
 def floor_double(x: Column) -> Column:
-    return F.floor(x).cast("double")
+    """Floor of a double as a double; NaN, infinities and values too large for a fraction stay."""
+    return F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x)
 
 
 def confidence(n: Column) -> Column:

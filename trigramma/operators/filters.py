@@ -21,11 +21,6 @@ from trigramma.operators.counts import WORDS
 from trigramma.operators.joins import lookup
 
 
-# Stop lists up to this many words become literals of the plan; longer ones are
-# joined, and Spark chooses the join by their size.
-MAX_LITERAL_STOPWORDS = 10_000
-
-
 def filter_alphabet(df: DataFrame, letters: str = HEBREW, column: str = "ngram") -> DataFrame:
     """Keep rows of which every word is made of ``letters``."""
     if column in df.columns:
@@ -41,25 +36,21 @@ def filter_arity(df: DataFrame, n: int = 3, column: str = "ngram") -> DataFrame:
     return df.where(F.substring_index(text, " ", n - 1) != text)
 
 
-def filter_stopwords(
-    df: DataFrame, stop: DataFrame | Iterable[str], max_literal: int = MAX_LITERAL_STOPWORDS
-) -> DataFrame:
+def filter_stopwords(df: DataFrame, stop: DataFrame | Iterable[str]) -> DataFrame:
     """Drop rows with a stop word in any of the three positions.
 
-    ``stop`` is a list of words or a table with a ``word`` column. A table is
-    read up to ``max_literal`` words; a longer one is anti-joined per position.
+    ``stop`` is a list of words, which become literals of the plan, or a table with a
+    ``word`` column, which is anti-joined per position whatever its size. Either way a
+    NULL word is no stop word and NULL in ``stop`` stops nothing.
     """
     if isinstance(stop, DataFrame):
-        head = [row.word for row in stop.select("word").limit(max_literal + 1).collect()]
-        if len(head) > max_literal:
-            for word in WORDS:
-                listed = stop.select(F.col("word").alias(word)).distinct()
-                df = lookup(df, listed, [word], "left_anti")
-            return df
-        stop = head
+        for word in WORDS:
+            listed = stop.select(F.col("word").alias(word)).distinct()
+            df = lookup(df, listed, [word], "left_anti")
+        return df
     words = sorted({word for word in stop if word is not None})
     if not words:
         return df
     for word in WORDS:
-        df = df.where(~F.col(word).isin(words))
+        df = df.where(~F.coalesce(F.col(word).isin(words), F.lit(False)))
     return df

@@ -34,9 +34,16 @@ def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner")
     keep to one task. A hash of the key as leading join column makes Spark
     shuffle both sides; it also lets the sort compare one number instead of
     words that begin alike.
+
+    An inner join is asked to sort and merge: both sides grow with the corpus, and by the
+    size of its compressed files Spark would take the left one for small enough to send
+    to every task. Semi and anti joins only ever send their right side.
     """
     key = F.xxhash64(*on)
-    joined = left.withColumn("_key", key).join(right.withColumn("_key", key), ["_key", *on], how)
+    side = right.withColumn("_key", key)
+    if how == "inner":
+        side = side.hint("merge")
+    joined = left.withColumn("_key", key).join(side, ["_key", *on], how)
     added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in on]
     return joined.select(*left.columns, *added)
 

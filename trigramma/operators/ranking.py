@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trigramma.operators.joins import lookup
-from trigramma.session import checkpointed
+from trigramma.session import materialised
 
 
 def sort_columns(order: str = "documented") -> list[Column]:
@@ -32,17 +32,16 @@ def rank_model(model: DataFrame, order: str = "documented") -> DataFrame:
 def with_position(ranked: DataFrame, name: str = "position") -> DataFrame:
     """Number the rows of a sorted table from 1, without one task seeing them all.
 
-    The sorted partitions are fixed by a checkpoint. A row's number is its place
+    The sort is written once, each row with its partition and its place there. A row's number is its place
     in its partition plus the rows of the partitions before; only the
     partition sizes, one number each, meet in a single task.
     """
-    fixed = checkpointed(ranked)
-    row_id = F.monotonically_increasing_id()
-    partition = F.shiftright(F.col("row_id"), 33)
-    placed = fixed.withColumn("row_id", row_id).select(
+    row_id = F.monotonically_increasing_id().alias("_row_id")
+    fixed = materialised(ranked.select("*", row_id), "ranked")
+    placed = fixed.select(
         *ranked.columns,
-        partition.alias("part"),
-        F.col("row_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
+        F.shiftright(F.col("_row_id"), 33).alias("part"),
+        F.col("_row_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
     )
     sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -56,24 +55,36 @@ def with_position(ranked: DataFrame, name: str = "position") -> DataFrame:
 def cluster_by_pair(model: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows of a word pair together in one partition, sorted best word first.
 
-    A pair too large for one partition is cut over several, and small
-    partitions are merged, by the adaptive rebalance.
+    A pair is never cut, whatever the size of a partition ought to be; a pair with a
+    large share of the rows fills the one task it is in.
     """
     sizes = [] if partitions is None else [partitions]
-    together = model.hint("rebalance", *sizes, "w1", "w2")
-    return together.sortWithinPartitions(*sort_columns())
+    return model.repartition(*sizes, "w1", "w2").sortWithinPartitions(*sort_columns())
+
+
+# Ranks up to which Spark limits a window before its shuffle, by default.
+LIMITED = 1000
+PARTS = 64
 
 
 def top_next_words(model: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` most probable third words of every pair, ``rank`` from 1.
 
     Undefined probabilities (NaN or NULL) take the last ranks and are then left
-    out. The rank limit is applied in every task before the shuffle, so a pair
-    sends at most ``k`` rows per task. A model made with ``undefined="drop"``
-    sheds the undefined rows earlier, before its joins.
+    out; an infinite one is the first. The rank limit is applied in every task before
+    the shuffle, so a pair sends at most ``k`` rows per task. Spark does so for ``k`` up
+    to 1000; beyond, pairs are first cut into parts by their third word, which send at
+    most ``k`` rows each. A model made with ``undefined="drop"`` sheds the undefined
+    rows earlier, before its joins.
     """
     defined = F.nanvl("p", F.lit(None).cast("double"))
-    best = Window.partitionBy("w1", "w2").orderBy(defined.desc_nulls_last(), F.asc("w3"))
+    order = [defined.desc_nulls_last(), F.asc("w3")]
+    if k > LIMITED:
+        part = F.pmod(F.xxhash64("w3"), F.lit(PARTS))
+        parts = Window.partitionBy("w1", "w2", part).orderBy(*order)
+        ranked = model.withColumn("rank", F.row_number().over(parts))
+        model = ranked.where(F.col("rank") <= k).drop("rank")
+    best = Window.partitionBy("w1", "w2").orderBy(*order)
     return (
         model.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)

@@ -20,18 +20,49 @@ from trigramma.sources.writers import write_stage
 COUNTS = ("n1", "n2", "n3", "c0", "c1", "c2")
 
 
+class RunCounts:
+    """Records that a run passes on, counted by the run itself.
+
+    ``get`` waits for the run to have read its lines; ``lines, bad lines, kept rows,
+    trigrams``. Give a new one to every run.
+    """
+
+    def __init__(self):
+        self.names = ("lines", "bad lines", "kept rows", "trigrams")
+        self.seen = {name: Observation() for name in self.names}
+
+    def count(self, df: DataFrame, *names: str, bad: str | None = None) -> DataFrame:
+        for name in names:
+            which = F.count_if(F.col(bad).isNull()) if name == "bad lines" else F.count(F.lit(1))
+            df = df.observe(self.seen[name], which.alias("records"))
+        return df
+
+    def get(self) -> dict[str, int]:
+        return {name: self.seen[name].get["records"] for name in self.names}
+
+
 def kept_rows(
     lines: DataFrame,
     stop: DataFrame | Iterable[str] = HEBREW_STOPWORDS,
     letters: str = HEBREW,
     on_bad: str = "fail",
+    seen: RunCounts | None = None,
 ) -> DataFrame:
     """Count lines that pass all filters, as ``w1, w2, w3, cnt``."""
-    parsed = parse_ngrams(lines, on_bad)
-    if on_bad == "quarantine":
-        parsed = parsed.where(F.col("bad_record").isNull()).drop("bad_record")
+    if seen:
+        # Bad lines are counted before they go.
+        parsed = seen.count(
+            parse_ngrams(lines, "fail" if on_bad == "fail" else "quarantine"), "lines", "bad lines", bad="cnt"
+        )
+        if on_bad != "fail":
+            parsed = parsed.where(F.col("cnt").isNotNull()).drop("bad_record")
+    else:
+        parsed = parse_ngrams(lines, on_bad)
+        if on_bad == "quarantine":
+            parsed = parsed.where(F.col("bad_record").isNull()).drop("bad_record")
     words = to_trigram(filter_arity(filter_alphabet(parsed, letters)))
-    return filter_stopwords(words, stop)
+    rows = filter_stopwords(words, stop)
+    return seen.count(rows, "kept rows") if seen else rows
 
 
 def kept_text_rows(
@@ -66,6 +97,8 @@ def model_of(
     undefined: str = "nan",
     wanted: DataFrame | None = None,
     stage_dir: str | None = None,
+    stage_key: str | None = None,
+    seen: RunCounts | None = None,
 ) -> DataFrame:
     """Kept rows to ``w1, w2, w3``, their statistics and ``p``.
 
@@ -75,16 +108,20 @@ def model_of(
     planned with the real size of the table. The rest is one lazy plan.
 
     With ``stage_dir`` the sums and the statistics are kept there under their
-    own names.
+    own names. A second start with the same ``stage_key``, the caller's name for the input
+    and its filters, goes on from the stages that are complete; a start with another key,
+    or without one, fails where a stage exists.
     """
     sums = trigram_sums(rows)
+    if seen:
+        sums = seen.count(sums, "trigrams")
     if stage_dir:
-        sums = write_stage(sums, f"{stage_dir}/trigram_sums")
+        sums = write_stage(sums, f"{stage_dir}/trigram_sums", stage_key)
     else:
         sums = materialised(sums, "trigram_sums")
     statistics = trigram_statistics(sums, wanted)
     if stage_dir:
-        statistics = write_stage(statistics, f"{stage_dir}/trigram_statistics")
+        statistics = write_stage(statistics, f"{stage_dir}/trigram_statistics", stage_key)
     return add_probability(statistics, undefined)
 
 
@@ -96,10 +133,12 @@ def build_model(
     on_bad: str = "fail",
     undefined: str = "nan",
     stage_dir: str | None = None,
+    stage_key: str | None = None,
+    seen: RunCounts | None = None,
 ) -> DataFrame:
     """Count lines to the ranked table ``w1, w2, w3, p``; ``order=None`` leaves it unsorted."""
-    rows = kept_rows(lines, stop, letters, on_bad)
-    model = model_of(rows, undefined, stage_dir=stage_dir).select("w1", "w2", "w3", "p")
+    rows = kept_rows(lines, stop, letters, on_bad, seen)
+    model = model_of(rows, undefined, None, stage_dir, stage_key, seen).select("w1", "w2", "w3", "p")
     return model if order is None else rank_model(model, order)
 
 
@@ -112,12 +151,6 @@ def predict_from_rows(rows: DataFrame, pairs: DataFrame, k: int = 5) -> DataFram
     return top_next_words(model_of(rows, "drop", wanted=pairs), k)
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """``df`` and its row count, filled in by the action that next runs it."""
-    rows = Observation(name)
-    return df.observe(rows, F.count(F.lit(1)).alias("rows")), rows
-
-
 def stage_row_counts(rows: DataFrame) -> DataFrame:
     """Records each stage passes on, as ``stage, records``, from one reading of the corpus.
 

@@ -67,9 +67,3 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder and read from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -52,6 +52,9 @@ def parse_ngrams(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
     the job, whether or not a later filter would drop the line; ``drop`` it; or
     ``quarantine`` it, which keeps it with its text in ``bad_record``.
 
+    Anything that reads as a double is a count, also ``NaN``, ``Infinity``, negative and
+    very large ones; they take part in all sums as doubles do, and floors leave them be.
+
     The two fields leave through ``inline``, below which Catalyst moves no later
     filter, so a line is cut up once and its count is looked at first.
     """
@@ -93,16 +96,13 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with fewer splits than cores over all cores.
+def spread(scan: DataFrame, partitions: int) -> DataFrame:
+    """Deal the rows of a scan over ``partitions`` tasks.
 
-    For small inputs only, where one file or row group would leave a single
-    task to do the work. A scan with enough splits is returned as it is.
+    For an input of one file or row group, which would leave a single task to do the work;
+    the caller knows, since it costs a shuffle of all columns.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(4 * cores)
+    return scan.repartition(partitions)
 
 
 def trigrams_from_text(df: DataFrame, text: str | Column = "text", *keep: str) -> DataFrame:

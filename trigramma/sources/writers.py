@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trigramma.functions.scalar import phrase
+from trigramma.operators.ranking import sort_columns
 
 
-def write_stage(df: DataFrame, path: str) -> DataFrame:
-    """Write a stage as parquet and read it back; an existing path is an error."""
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def write_stage(df: DataFrame, path: str, key: str | None = None) -> DataFrame:
+    """Write a stage as parquet and read it back; an existing path is an error.
+
+    With ``key`` a complete stage written under the same key is read instead, and one that was
+    broken off is written again. The key lies beside the stage.
+    """
+    spark = df.sparkSession
+    if key is None:
+        df.write.mode("errorifexists").parquet(path)
+    elif not _complete(spark, path, key):
+        df.write.mode("overwrite").parquet(path)
+        spark.createDataFrame([(key,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.key")
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _complete(spark: SparkSession, path: str, key: str) -> bool:
+    """Whether a stage is there whole; an error if it belongs to another input."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.key/_SUCCESS")
+    if not there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there):
+        return False
+    found = spark.read.text(f"{path}.key").first()[0]
+    if found != key:
+        raise ValueError(f"{path} holds the stage of {found!r}, not of {key!r}")
+    return True
 
 
 def ranked_lines(model: DataFrame) -> DataFrame:
@@ -20,16 +41,17 @@ def ranked_lines(model: DataFrame) -> DataFrame:
     return model.select(F.concat_ws("\t", key, F.col("p").cast("string")).alias("value"))
 
 
-def write_ranked_text(model: DataFrame, path: str, single_file: bool = False) -> None:
+def write_ranked_text(
+    model: DataFrame, path: str, single_file: bool = False, order: str = "documented"
+) -> None:
     """Write a ranked model as text files whose names follow the order.
 
-    ``single_file`` sends everything through one task; it is meant for exports
-    known to be small.
+    ``single_file`` sends everything through one task, which sorts it in ``order``; it is
+    meant for exports known to be small.
     """
-    lines = ranked_lines(model)
     if single_file:
-        lines = lines.coalesce(1)
-    lines.write.mode("errorifexists").text(path)
+        model = model.repartition(1).sortWithinPartitions(*sort_columns(order))
+    ranked_lines(model).write.mode("errorifexists").text(path)
 
 
 def write_ngram_seq(lines: DataFrame, path: str) -> None:
