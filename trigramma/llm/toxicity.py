@@ -275,39 +275,57 @@ def learn_lexicon(texts: list[str], toxic: list[int]) -> tuple[dict[str, Entry],
     how much more. A stem has at least four endings, and a longer one weighs more than those
     it begins with, or is left out.
     """
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    endings: dict[str, set[str]] = defaultdict(set)
-    ordinary: set[str] = set()
-    for text, label in zip(texts, toxic):
-        words = {c for t in set(text.lower().split()) for c in [t.strip(STRIP)] if len(c) > 2 and c.isalpha()}
-        stems = {(w[:n], True) for w in words for n in range(4, min(len(w), 9))}
-        seen[label].update(stems | {(w, False) for w in words})
-        if label:
-            for w in words:
-                for n in range(4, min(len(w), 9)):
-                    if len(endings[w[:n]]) < 4:
-                        endings[w[:n]].add(w)
-        else:
-            ordinary |= words
     size = (sum(1 - y for y in toxic) or 1, sum(toxic) or 1)
     share = size[1] / sum(size)
+    # Fewer rows cannot be evidence enough. What is counted is kept small: first all of the
+    # toxic rows, then only what might become an entry.
+    least = EVIDENCE / -math.log(share) if share < 1 else 1
+
+    def rows(label: int) -> Iterator[set[str]]:
+        for text, y in zip(texts, toxic):
+            if y == label:
+                yield {c for t in set(text.lower().split()) if len(c := t.strip(STRIP)) > 2 and c.isalpha()}
+
+    def keys(words: set[str]) -> Iterator[str]:
+        """Words, and stems with a mark behind."""
+        yield from words
+        yield from {w[:n] + "*" for w in words for n in range(4, min(len(w), 9))}
+
+    counted: Counter[str] = Counter()
+    for words in rows(1):
+        counted.update(keys(words))
+    found = {key: n for key, n in counted.items() if n >= least}
     longer: Counter[str] = Counter()
-    for (spelling, stem), found in seen[1].items():
-        if stem:
-            longer[spelling[:-1]] = max(longer[spelling[:-1]], found)
+    for key, n in counted.items():
+        if key[-1] == "*":
+            longer[key[:-2] + "*"] = max(longer[key[:-2] + "*"], n)
+    # A stem that nearly always goes on with the same letter is only a part of one.
+    found = {key: n for key, n in found.items() if key[-1] != "*" or longer[key] < 0.95 * n}
+    del counted, longer
+    endings: dict[str, set[str]] = {key: set() for key in found if key[-1] == "*"}
+    for words in rows(1):
+        for word in words:
+            for n in range(4, min(len(word), 9)):
+                known = endings.get(word[:n] + "*")
+                if known is not None and len(known) < 4:
+                    known.add(word)
+    clean: Counter[str] = Counter()
+    ordinary: set[str] = set()
+    for words in rows(0):
+        clean.update(key for key in keys(words) if key in found)
+        ordinary |= words
     able: dict[tuple[str, bool], float] = {}
-    for key, found in seen[1].items():
-        # A stem that nearly always goes on with the same letter is only a part of one.
-        if key[1] and longer[key[0]] >= 0.95 * found:
-            continue
-        clean = seen[0][key]
-        ratio = ((found + 0.5) / (size[1] + 1)) / ((clean + 0.5) / (size[0] + 1))
-        if ratio < (STEM_RATIO if key[1] else RATIO) or (key[1] and len(endings[key[0]]) < 4):
+    for key, n in found.items():
+        stem = key[-1] == "*"
+        ratio = ((n + 0.5) / (size[1] + 1)) / ((clean[key] + 0.5) / (size[0] + 1))
+        if ratio < (STEM_RATIO if stem else RATIO) or (stem and len(endings[key]) < 4):
             continue
-        part = found / (found + clean)
-        evidence = found * math.log(part / share) + (clean * math.log((1 - part) / (1 - share)) if clean else 0)
+        part = n / (n + clean[key])
+        evidence = n * math.log(part / share)
+        if clean[key]:
+            evidence += clean[key] * math.log((1 - part) / (1 - share))
         if evidence >= EVIDENCE:
-            able[key] = min(math.log(ratio), 6.0)
+            able[key.rstrip("*"), stem] = min(math.log(ratio), 6.0)
     entries: dict[str, Entry] = {}
     # Stems before words, short before long.
     for (spelling, stem), weight in sorted(able.items(), key=lambda x: (not x[0][1], len(x[0][0]), x[0])):
