@@ -107,7 +107,8 @@ def mix_sources(documents: DataFrame, targets: dict[str, int], default: int = 1,
         raise ValueError("weights are whole numbers from 1 on")
     spark = documents.sparkSession
     documents = documents.drop("mix_block", "mix_slot", "mix_position")
-    named = spark.createDataFrame(sorted(targets.items()) or [("", 1)], "name string, target long")
+    wanted = [F.struct(F.lit(k).alias("name"), F.lit(w).cast("long").alias("target")) for k, w in sorted(targets.items())]
+    named = spark.range(1).select(F.inline(F.array(*wanted).cast("array<struct<name:string,target:bigint>>")))
     sources = documents.select("source").distinct()
     weights = sources.join(named, F.col("source") == F.col("name"), "left").select(
         "source", F.coalesce("target", F.lit(default)).cast("long").alias("weight")
