@@ -11,6 +11,7 @@ on what a document gathers gives its score.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,10 +27,9 @@ SAMPLE_CHARS = 20_000
 # Words on either side that are the context of a match.
 REACH = 8
 # An entry is this many times as frequent in toxic rows, beyond what chance explains (as a
-# logarithm of the likelihood ratio, for some hundred thousand words tried).
-RATIO = 8.0
-STEM_RATIO = 20.0
-EVIDENCE = 16.0
+# logarithm of the likelihood ratio, since some hundred thousand words are tried).
+RATIO = 20.0
+EVIDENCE = 12.0
 ENTRIES = 1_000
 # An entry that this many ordinary words resemble is matched without errors.
 NEIGHBOURS = 2
@@ -318,7 +318,7 @@ def learn_lexicon(texts: list[str], toxic: list[int]) -> tuple[dict[str, Entry],
     for key, n in found.items():
         stem = key[-1] == "*"
         ratio = ((n + 0.5) / (size[1] + 1)) / ((clean[key] + 0.5) / (size[0] + 1))
-        if ratio < (STEM_RATIO if stem else RATIO) or (stem and len(endings[key]) < 4):
+        if ratio < RATIO or (stem and len(endings[key]) < 4):
             continue
         part = n / (n + clean[key])
         evidence = n * math.log(part / share)
@@ -347,7 +347,12 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     """A model from labelled texts, in any order of the rows the same."""
     order = sorted(range(len(texts)), key=lambda i: (toxic[i], texts[i]))
     texts, toxic = [texts[i] for i in order], [toxic[i] for i in order]
-    entries, ordinary = learn_lexicon(texts, toxic)
+    # Copies repeat what is chance: of texts with the same smallest hash of a word one is learned from.
+    first: dict[tuple[int, int], int] = {}
+    for i, (text, label) in enumerate(zip(texts, toxic)):
+        least = min((zlib.crc32(w.encode("utf-8", "replace")) for w in set(text.lower().split())), default=0)
+        first.setdefault((label, least), i)
+    entries, ordinary = learn_lexicon([texts[i] for i in first.values()], [toxic[i] for i in first.values()])
     matcher = Matcher(Model(entries, ordinary, PRIOR))
     x = np.array([matcher.features(t) for t in texts]).reshape(-1, len(PRIOR))
     y = np.array(toxic, float)
