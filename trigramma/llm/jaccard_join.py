@@ -6,10 +6,11 @@
    inverted lists of its smallest ``n - T + t`` hashes must therefore hold every partner
    at least ``t`` times. Of these lists the ``n - T + 1`` shortest must hold it at least
    once: short lists decide who can meet whom, the long ones are left for probing.
-3. Classes that meet in short lists form clusters. A cluster is cut into tiles, and a
-   task gets two tiles: for each set of the one it merges the short lists of the other's
-   inverted index on a heap and probes the long ones by binary search (DivideSkip), and
-   keeps the sets that reach the required overlap.
+   Classes that meet in short lists form clusters. Most sets drop out with a small ``t``;
+   the others are sifted once more with a large one.
+3. A cluster is cut into tiles, and a task gets two tiles: for each set of the one it
+   merges the short lists of the other's inverted index on a heap and probes the long
+   ones by binary search (DivideSkip), and keeps the sets that reach the required overlap.
 
 Shingles of many documents (a licence, a menu) are long lists, so that they do not tie
 together documents that share nothing else; no list, cluster or document is cut short.
@@ -25,19 +26,23 @@ from math import log2
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trigramma.llm.common import connected_components
+from trigramma.llm.common import connected_components, rows_with
 from trigramma.llm.texts import chained, name_of, parts, raw, word_hashes
 from trigramma.session import materialised
 
 SHINGLE = 4
 PERCENT = 85
-# Share of a set's lists looked at beyond those that must be, to tell long from short.
+# Share of a set's lists looked at beyond those that must be, to tell long from short: for
+# all sets, and for those in clusters.
 SPARE = 0.05
+WIDER = 0.35
 # Sets of a tile.
 TILE = 256
+# Rows of names (some 60 bytes each) up to which the texts they ask for are not shuffled.
+FEW = 500_000
 # Weight of a probe against a step of the heap, in the choice of the number of long lists.
 MU = 0.01
 
@@ -46,7 +51,7 @@ def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> Iterator[np.nd
     """Sorted distinct hashes of the word shingles of each text.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased: what ``split``
-    and ``lower`` do on bytes. Texts are worked on a few megabytes at a time.
+    and ``lower`` do on bytes. Texts are worked on a megabyte at a time.
     """
     for part in parts(texts):
         words = [raw(t).lower().split() for t in part]
@@ -68,56 +73,39 @@ def least_overlap(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-def spare_lists(n: int) -> int:
-    """``t``: how often a partner must occur in the lists looked at."""
-    return 1 + int(SPARE * n)
-
-
 def looked_at(n: int) -> int:
-    return n - least_overlap(n) + spare_lists(n)
+    """How many lists of a set are looked at."""
+    return n - least_overlap(n) + 1 + int(SPARE * n)
 
 
-def short_lists(n: int) -> int:
-    """Of the lists looked at, how many are short.
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Name and size of every text's set, and the hashes of the lists to be looked at.
 
-    A partner has 85 % as many shingles at least, so its ``t`` may be smaller.
+    Of copies in one task only the first has them.
     """
-    return looked_at(n) - spare_lists(least_overlap(n)) + 1
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
-        sets = list(shingle_sets(batch["text"].to_pylist()))
-        names = [name_of(s) for s in sets]
+        names, sizes, heads = [], [], []
+        for s in shingle_sets(batch["text"].to_pylist()):
+            name = name_of(s)
+            heads.append(s[: 0 if name in seen else looked_at(len(s))].view(np.int64))
+            seen.add(name)
+            names.append(name)
+            sizes.append(len(s))
         yield pa.RecordBatch.from_arrays(
             [
-                batch["doc_id"],
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([n[0] for n in names], pa.int64()),
-                pa.array([n[1] for n in names], pa.int64()),
+                batch["doc_id"], pa.array(sizes, pa.int64()),
+                *[pa.array([n[i] for n in names], pa.int64()) for i in range(2)],
+                _lists(heads),
             ],
-            ["doc_id", "n", "s1", "s2"],
+            ["doc_id", "n", "s1", "s2", "heads"],
         )
 
 
-def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        seen: set[tuple[int, int]] = set()
-        hashes, owners = [], []
-        for s in shingle_sets(batch["text"].to_pylist()):
-            if not len(s) or (name := name_of(s)) in seen:
-                continue
-            seen.add(name)
-            hashes.append(s[: looked_at(len(s))].astype(np.int64))
-            owners.append((*name, len(s)))
-        sizes = np.array([len(h) for h in hashes], np.int64)
-        columns = np.array(owners, np.int64).reshape(-1, 3)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(hashes) if hashes else np.empty(0, np.int64))]
-            + [pa.array(np.repeat(columns[:, i], sizes)) for i in range(2)]
-            + [pa.array(np.repeat(columns[:, 2], sizes).astype(np.int32))],
-            ["hash", "s1", "s2", "n"],
-        )
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)])
+    values = np.concatenate(arrays) if arrays else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
 
 
 def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,8 +117,7 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], pa.bool_())
         names = [n for n in batch.schema.names if n != "text"]
         yield pa.RecordBatch.from_arrays(
-            [batch[n] for n in names] + [pa.array([s.tobytes() for s in sets], pa.binary())],
-            [*names, "shingles"],
+            [batch[n] for n in names] + [_lists([s.view(np.int64) for s in sets])], [*names, "shingles"]
         ).filter(right)
 
 
@@ -140,7 +127,7 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [name_of(s) for s in sets]
         yield pa.RecordBatch.from_arrays(
             [pa.array([n[i] for n in names], pa.int64()) for i in range(2)]
-            + [pa.array([s.tobytes() for s in sets], pa.binary())],
+            + [_lists([s.view(np.int64) for s in sets])],
             ["s1", "s2", "shingles"],
         )
 
@@ -156,26 +143,31 @@ class Index:
         self.places = places[order]
         self.hashes, self.starts = np.unique(hashes[order], return_index=True)
         self.ends = np.append(self.starts[1:], len(hashes))
+        # List and place as one ascending number, to probe many lists at once.
+        lists = np.repeat(np.arange(len(self.hashes)), self.ends - self.starts)
+        self.keys = lists * len(sets) + self.places
 
-    def lists(self, query: np.ndarray) -> list[np.ndarray]:
-        """The lists of a set's shingles, shortest first."""
+    def lists(self, query: np.ndarray) -> np.ndarray:
+        """The numbers of the lists of a set's shingles, shortest first."""
         at = np.searchsorted(self.hashes, query)
         at = at[at < len(self.hashes)] if len(at) and at[-1] >= len(self.hashes) else at
         at = at[self.hashes[at] == query[: len(at)]]
-        at = at[np.argsort(self.ends[at] - self.starts[at], kind="stable")]
-        return [self.places[self.starts[i] : self.ends[i]] for i in at]
+        return at[np.argsort(self.ends[at] - self.starts[at], kind="stable")]
+
+    def places_of(self, number: int) -> np.ndarray:
+        return self.places[self.starts[number] : self.ends[number]]
 
     def search(self, query: np.ndarray) -> list[int]:
         """Places of the sets whose similarity to ``query`` is 85 % or more (DivideSkip)."""
         needed = least_overlap(len(query))
         lists = self.lists(query)
-        if len(lists) < needed or not lists:
+        if len(lists) < needed or not len(lists):
             return []
-        longest = len(lists[-1])
+        longest = self.ends[lists[-1]] - self.starts[lists[-1]]
         skipped = min(needed - 1, int(needed / (MU * log2(longest + 1) + 1)))
         short, long = lists[: len(lists) - skipped], lists[len(lists) - skipped :]
         places, counts = [], []
-        for place, run in groupby(heapq.merge(*[x.tolist() for x in short])):
+        for place, run in groupby(heapq.merge(*[self.places_of(i).tolist() for i in short])):
             count = sum(1 for _ in run)
             if count >= needed - skipped:
                 places.append(place)
@@ -183,40 +175,64 @@ class Index:
         at, count = np.array(places, np.int64), np.array(counts, np.int64)
         total = self.sizes[at] + len(query)
         goal = -(-PERCENT * total // (100 + PERCENT))
-        for left, probed in zip(range(len(long), 0, -1), long):
+        left = len(long)
+        while left and len(at):
+            # As many lists at a time as make a few thousand probes; then those that cannot
+            # reach their goal any more go.
+            some = long[len(long) - left :][: max(1, 4096 // len(at))]
+            if len(some) == 1:
+                probed = self.places_of(some[0])
+                found = np.searchsorted(probed, at)
+                count = count + (probed[np.minimum(found, len(probed) - 1)] == at)
+            else:
+                wanted = (some * len(self.sizes))[:, None] + at
+                found = np.searchsorted(self.keys, wanted)
+                count = count + (self.keys[np.minimum(found, len(self.keys) - 1)] == wanted).sum(axis=0)
+            left -= len(some)
             able = count + left >= goal
-            if not able.all():
-                at, count, total, goal = at[able], count[able], total[able], goal[able]
-            if not len(at):
-                break
-            found = np.searchsorted(probed, at)
-            count += probed[np.minimum(found, len(probed) - 1)] == at
+            at, count, total, goal = at[able], count[able], total[able], goal[able]
         return at[100 * count >= PERCENT * (total - count)].tolist()
 
 
 def _tile_links(frame: pd.DataFrame) -> pd.DataFrame:
     """Links between the two tiles of a task (or inside the one it has).
 
-    For every set its number of links, each counted with the documents of the other
-    class, and its smallest linked class or itself.
+    A row for every set with its number of links, each counted with the documents of the
+    other class; and rows of links that tie together all sets that the links tie together
+    (a spanning forest).
     """
-    sets = [np.frombuffer(b, np.uint64) for b in frame.shingles]
+    frame = frame.drop_duplicates(["s1", "s2"], ignore_index=True)
+    sets = [np.asarray(x, np.int64).view(np.uint64) for x in frame.shingles]
     names, copies = list(zip(frame.s1, frame.s2)), frame.copies.to_numpy()
     first = np.flatnonzero(frame.tile == frame.low)
     second = np.flatnonzero(frame.tile == frame.high)
-    index = Index([sets[i] for i in second])
+    counts = np.zeros(len(sets), np.int64)
+    above = list(range(len(sets)))
+
+    def top(i: int) -> int:
+        while above[i] != i:
+            above[i] = above[above[i]]
+            i = above[i]
+        return i
+
     rows: list[tuple] = []
-    for q in first:
+    index = Index([sets[i] for i in second]) if len(first) and len(second) else None
+    same = frame.low.iat[0] == frame.high.iat[0]
+    for q in first if index else ():
         for place in index.search(sets[q]):
-            p = second[place]
+            p = int(second[place])
             # Inside one tile either side finds the other.
-            if frame.low.iat[0] == frame.high.iat[0] and p <= q:
+            if same and p <= q:
                 continue
-            rows.append((*names[q], *names[p], int(copies[p])))
-            rows.append((*names[p], *names[q], int(copies[q])))
-    links = pd.DataFrame(rows, columns=["s1", "s2", "o1", "o2", "n_links"])
-    links = links.sort_values(["s1", "s2", "o1", "o2"], kind="stable")
-    return links.groupby(["s1", "s2"], as_index=False).agg({"o1": "first", "o2": "first", "n_links": "sum"})
+            counts[q] += copies[p]
+            counts[p] += copies[q]
+            if top(q) != top(p):
+                above[top(q)] = top(p)
+                rows.append((*names[q], *names[p], 0))
+    rows += [(*names[i], None, None, int(counts[i])) for i in np.flatnonzero(counts)]
+    # Nullable integers from the start: names do not fit a double.
+    columns = zip(*rows) if rows else [()] * 5
+    return pd.DataFrame({n: pd.array(c, "Int64") for n, c in zip(("s1", "s2", "o1", "o2", "n_links"), columns)})
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -231,9 +247,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     Extra columns are not read.
     """
     docs = documents.select("doc_id", "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
     sets = materialised(
-        docs.mapInArrow(_sets, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, s1 long, s2 long"),
-        "sets",
+        docs.mapInArrow(_sets, f"doc_id {kind}, n long, s1 long, s2 long, heads array<long>"), "sets"
     )
     linked = class_links(docs, sets)
     edges = linked.where("other is not null").select(F.col("name").alias("a"), F.col("other").alias("b"))
@@ -242,14 +258,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         "roots",
     )
     classes = _classes(sets).join(roots, ["s1", "s2"], "left").select(
-        "s1", "s2", "least", F.coalesce("r1", "s1").alias("r1"), F.coalesce("r2", "s2").alias("r2")
+        "s1", "s2", "least", "copies", F.coalesce("r1", "s1").alias("r1"), F.coalesce("r2", "s2").alias("r2")
     )
     smallest = classes.groupBy("r1", "r2").agg(F.min("least").alias("component_id"))
     degree = linked.groupBy("name").agg(F.sum("n_links").alias("n_links")).select("name.*", "n_links")
     facts = (
         classes.join(smallest, ["r1", "r2"]).join(degree, ["s1", "s2"], "left")
-        .join(_classes(sets).select("s1", "s2", "copies"), ["s1", "s2"])
-        .select("s1", "s2", "component_id", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+                .select("s1", "s2", "component_id", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
     with_words = sets.where("n > 0").join(materialised(facts, "classes"), ["s1", "s2"])
     return with_words.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links").unionByName(
@@ -259,78 +274,116 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
 
 
+def keep_one(documents: DataFrame) -> DataFrame:
+    """One document of every group of linked ones, with all its columns.
+
+    The smallest ``doc_id`` stays; of rows that repeat it, one. Documents without words or
+    without an id are linked with nothing that could take their place, and stay, unless a
+    document with an id stands for their group.
+    """
+    found = near_duplicates(documents)
+    stay = F.col("component_id").eqNullSafe(F.col("doc_id"))
+    kept = materialised(found.where(stay).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
+    single = rows_with(documents, kept.where("rows = 1 or doc_id is null"))
+    several = rows_with(documents, kept.where("rows > 1 and doc_id is not null"))
+    return single.unionByName(several.dropDuplicates(["doc_id"]))
+
+
 def _classes(sets: DataFrame) -> DataFrame:
     """Equal sets as one class; counted per task before the shuffle, however many copies there are."""
     return sets.where("n > 0").groupBy("s1", "s2").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")
+        F.min("doc_id").alias("least"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")
     )
 
 
-def class_links(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``name, other, n_links`` of classes: partial counts of links and one linked class each."""
-    postings = docs.select("text").mapInArrow(_postings, "hash long, s1 long, s2 long, n int")
-    name = F.struct("s1", "s2")
-    # Half of a name tells two sets of one list apart. A list counts if two different sets are in it. Copies in other tasks come again, and
-    # add to the length of their lists alone.
+def _shared(postings: DataFrame) -> DataFrame:
+    """``s1, hash, length`` of the postings in lists that two different sets are in.
+
+    Half of a name tells the sets of a list apart. Copies come once per task, and add to
+    the length of their lists alone.
+    """
     lists = (
         postings.groupBy("hash")
         .agg(F.min("s1").alias("low"), F.max("s1").alias("high"), F.count(F.lit(1)).alias("length"))
         .where("low <> high").select("hash", "length")
     )
-    shared = (
-        postings.join(lists, "hash").groupBy("s1", "s2", "n", "hash").agg(F.max("length").alias("length"))
-    )
-    shared = materialised(shared, "shared")
-    # Lists that only one set has are shorter than these, so they are the first to be short.
-    size = F.col("n")
-    needed = F.ceil(size * PERCENT / 100)
-    spare = lambda n: F.lit(1) + F.floor(n * SPARE)
-    shorts = size - needed + spare(size) - spare(needed) + 1
-    ordered = Window.partitionBy("s1", "s2").orderBy("length", "hash")
-    alone = Window.partitionBy("s1", "s2")
-    short = (
-        shared.withColumn("place", F.row_number().over(ordered))
-        .withColumn("all", F.count(F.lit(1)).over(alone))
-        .where(F.col("place") <= F.col("all") - (size - needed + spare(size)) + shorts)
-        .select("hash", name.alias("name"))
+    return postings.join(lists, "hash").groupBy("s1", "hash").agg(F.max("length").alias("length"))
+
+
+def _short(shared: DataFrame, classes: DataFrame, spare: float) -> DataFrame:
+    """``hash, name`` of the shared lists of each class that are short.
+
+    Of the lists looked at all but ``t - 1`` are short, with ``t = 1 + floor(spare n)``. A partner
+    has 85 % as many shingles at least, so its ``t`` is the one to go by. Lists that only one
+    set has are shorter than the shared ones: the longest are all shared, if so many are.
+    """
+    rows = shared.join(classes.select("s1", "s2", "n"), "s1")
+    ordered = Window.partitionBy("s1", "s2").orderBy(F.col("length").desc(), F.col("hash").desc())
+    left = F.floor(F.ceil(F.col("n") * PERCENT / 100) * spare)
+    return (
+        rows.withColumn("place", F.row_number().over(ordered)).where(F.col("place") > left)
+        .select("hash", F.struct("s1", "s2").alias("name"))
     )
+
+
+def _clusters(short: DataFrame) -> DataFrame:
+    """``s1, s2, root, size`` of the classes that meet in short lists."""
     short = materialised(short, "short")
     heads = short.groupBy("hash").agg(F.min("name").alias("head"), F.max("name").alias("last"))
     met = short.join(heads.where("head <> last"), "hash").where("name <> head")
-    clusters = materialised(
-        connected_components(met.select(F.col("head").alias("a"), F.col("name").alias("b"))), "clusters"
+    found = connected_components(met.select(F.col("head").alias("a"), F.col("name").alias("b")))
+    sizes = found.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    return materialised(found.join(sizes, "root").select("node.*", "root", "size"), "clusters")
+
+
+def class_links(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``name, other, n_links``: partial counts of links, and links that span the components."""
+    classes = materialised(_classes(sets), "classes")
+    first = _shared(sets.where("n > 0").select("s1", F.explode("heads").alias("hash")))
+    members = _members(docs, classes, _clusters(_short(first, classes, SPARE)))
+    n = F.size("shingles")
+    wide = F.slice("shingles", 1, (n - F.ceil(n * PERCENT / 100) + 1 + F.floor(n * WIDER)).cast("int"))
+    again = _shared(members.select("s1", F.explode(wide).alias("hash")))
+    clusters = _clusters(_short(again, classes, WIDER))
+    return _cluster_links(members.drop("root", "size").join(clusters, ["s1", "s2"]))
+
+
+def _members(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> DataFrame:
+    """``s1, s2, copies, root, size, shingles`` of all classes in clusters.
+
+    A class comes again for every row that repeats its ``doc_id`` and its text.
+    """
+    asked = materialised(
+        classes.join(clusters, ["s1", "s2"]).select("least", "s1", "s2", "copies", "root", "size"), "asked"
+    )
+    by_id = asked.where("least is not null").withColumnRenamed("least", "doc_id")
+    # Few names go to the texts, which then stay where they are; many meet them in a shuffle.
+    if asked.count() <= FEW:
+        by_id = F.broadcast(by_id)
+    kept = "s1 long, s2 long, copies long, root struct<s1:long,s2:long>, size long, shingles array<long>"
+    found = docs.join(by_id, "doc_id").select("text", "s1", "s2", "copies", "root", "size").mapInArrow(_arrays, kept)
+    # Classes of which no member has an id are looked up by name.
+    nameless = docs.where("doc_id is null").select("text").mapInArrow(
+        _named, "s1 long, s2 long, shingles array<long>"
     )
-    return _cluster_links(docs, sets, clusters)
+    unnamed = asked.where("least is null").drop("least")
+    rest = nameless.dropDuplicates(["s1", "s2"]).join(unnamed, ["s1", "s2"]).select(*found.columns)
+    return materialised(found.unionByName(rest), "members")
 
 
-def _cluster_links(docs: DataFrame, sets: DataFrame, clusters: DataFrame) -> DataFrame:
+def _cluster_links(members: DataFrame) -> DataFrame:
     """Every set of a cluster against every other, tile by tile."""
-    classes = _classes(sets).select(F.struct("s1", "s2").alias("node"), "least", "copies")
-    members = materialised(classes.join(clusters, "node"), "members")
-    sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
     # A tile is a residue of the name's hash, so that no task sees a whole cluster to number it.
-    tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    tiled = members.join(sizes, "root").withColumn("tile", tile)
-    asked = tiled.select(
-        "least", "node.s1", "node.s2", F.xxhash64("root").alias("r1"), F.col("root.s1").alias("r2"),
-        "tile", "tiles", "copies",
+    tiled = members.withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int")).withColumn(
+        "tile", F.pmod(F.xxhash64("s1", "s2"), F.col("tiles")).cast("int")
     )
-    kept = "s1 long, s2 long, r1 long, r2 long, tile int, tiles int, copies long, shingles binary"
-    by_id = docs.join(asked.withColumnRenamed("least", "doc_id"), "doc_id").drop("doc_id")
-    arrays = by_id.mapInArrow(_arrays, kept).dropDuplicates(["s1", "s2"])
-    # Classes of which no member has an id are looked up by name.
-    nameless = docs.where("doc_id is null").select("text").mapInArrow(_named, "s1 long, s2 long, shingles binary")
-    unidentified = nameless.dropDuplicates(["s1", "s2"]).join(asked.where("least is null").drop("least"), ["s1", "s2"])
-    arrays = arrays.unionByName(unidentified)
     others = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("with")
-    pairs = arrays.select("*", others).select(
-        "s1", "s2", "r1", "r2", "tile", "copies", "shingles",
+    pairs = tiled.select("*", others).select(
+        "s1", "s2", "root", "tile", "copies", "shingles",
         F.least("tile", "with").alias("low"), F.greatest("tile", "with").alias("high"),
     )
-    links = pairs.groupBy("r1", "r2", "low", "high").applyInPandas(
+    links = pairs.groupBy("root", "low", "high").applyInPandas(
         _tile_links, "s1 long, s2 long, o1 long, o2 long, n_links long"
     )
-    return materialised(
-        links.select(F.struct("s1", "s2").alias("name"), F.struct(F.col("o1").alias("s1"), F.col("o2").alias("s2")).alias("other"), "n_links"),
-        "links",
-    )
+    other = F.when(F.col("o1").isNotNull(), F.struct(F.col("o1").alias("s1"), F.col("o2").alias("s2"))).alias("other")
+    return materialised(links.select(F.struct("s1", "s2").alias("name"), other, "n_links"), "links")

@@ -1,4 +1,4 @@
-"""Texts inside tasks: cut into words and hashed with numpy, a few megabytes at a time."""
+"""Texts inside tasks: cut into words and hashed with numpy, a megabyte at a time."""
 
 from __future__ import annotations
 
@@ -20,7 +20,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def parts(texts: list[str | None], limit: int = 4_000_000) -> Iterator[list[str]]:
+def parts(texts: list[str | None], limit: int = 1_000_000) -> Iterator[list[str]]:
     """Runs of texts of about ``limit`` characters, or one longer text; null becomes empty."""
     part: list[str] = []
     held = 0
