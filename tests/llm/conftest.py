@@ -18,3 +18,9 @@ def odd(spark):
 @pytest.fixture(scope="session")
 def none(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(autouse=True)
+def few_partitions(conf):
+    """The tables here are tiny, and the plans long."""
+    conf(shuffle__partitions="2")
