@@ -30,9 +30,19 @@ def whole_rows(df: DataFrame, *names: str) -> DataFrame:
     return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"), *[df[n] for n in names])
 
 
+# Ids (some 50 bytes each in a task) up to which the rows they pick are not shuffled.
+FEW = 500_000
+
+
 def rows_with(df: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Rows whose ``doc_id`` is (or, ``left_anti``, is not) among ``ids(doc_id)``; null is like null."""
+    """Rows whose ``doc_id`` is (or, ``left_anti``, is not) among ``ids(doc_id)``; null is like null.
+
+    ``ids`` is a written table: it is counted, and goes to the rows if it is small; a larger one
+    meets them in a shuffle.
+    """
     listed = ids.select(F.col("doc_id").alias("id"))
+    if listed.count() <= FEW:
+        listed = F.broadcast(listed)
     rows = whole_rows(df, "doc_id")
     return rows.join(listed, F.col("doc_id").eqNullSafe(F.col("id")), how).select("row.*")
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from trigramma.llm.common import rows_with
 from trigramma.llm.texts import mixed, parts
+from trigramma.session import materialised
 
 # Bounds of what is learned from: texts per language, characters of each.
 SAMPLE_TEXTS = 300
@@ -350,4 +351,4 @@ def keep_determined(documents: DataFrame, least: float = 0.5) -> DataFrame:
     docs = documents.select("doc_id", "text", "lang")
     found = label(docs, learn(docs))
     good = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
-    return rows_with(documents, good.select("doc_id").distinct())
+    return rows_with(documents, materialised(good.select("doc_id").distinct(), "determined"))
