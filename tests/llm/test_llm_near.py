@@ -76,6 +76,29 @@ def test_links_of_near_copies_and_shared_passages(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_links_of_five_words_at_four_fifths(spark):
+    """Texts with edits on both sides of the threshold, each group against brute force."""
+    rnd = random.Random(8)
+    rows = []
+    for _ in range(40):
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(rnd.choice([3, 5, 60, 150]))]
+        for _ in range(3):
+            copy = list(words)
+            for _ in range(rnd.randrange(0, 1 + len(words) // 30)):
+                copy[rnd.randrange(len(copy))] = f"x{rnd.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    cut = [t.split() for _, t in rows]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in cut]
+    links = [{j for j, b in enumerate(sets) if i != j and 100 * len(a & b) >= 80 * len(a | b)} for i, a in enumerate(sets)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sorted(map(tuple, jaccard_join.near_duplicates(df, 5, 80).collect()))
+    assert found == [(i, len(sets[i]), min(reach(links, i)), len(links[i])) for i in range(len(rows))]
+    kept = {r.doc_id for r in jaccard_join.keep_one(df, 5, 80).collect()}
+    assert kept == {min(reach(links, i)) for i in range(len(rows))}
+    _, strict = brute_links([t for _, t in rows])
+    assert kept < {min(reach(strict, i)) for i in range(len(rows))}
+
+
 def test_chains_of_links_are_one_component(spark):
     """Each text is like the next one only; ids are dealt so that the smallest neighbours form pairs."""
     words = [f"w{i}" for i in range(200)]

@@ -2,7 +2,7 @@
 
 1. Every text becomes the set of its distinct shingles, as 64-bit hashes; equal sets
    are one class, named by a 128-bit hash, and only classes go on.
-2. A set of ``n`` shingles shares at least ``T = ceil(0.85 n)`` with any partner. The
+2. A set of ``n`` shingles shares at least ``T = ceil(percent n / 100)`` with any partner. The
    inverted lists of its smallest ``n - T + t`` hashes must therefore hold every partner
    at least ``t`` times. Of these lists the ``n - T + 1`` shortest must hold it at least
    once: short lists decide who can meet whom, the long ones are left for probing.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import partial
 from itertools import groupby
 from math import log2
 
@@ -33,6 +34,7 @@ from trigramma.llm.common import connected_components, rows_with
 from trigramma.llm.texts import chained, name_of, parts, raw, word_hashes
 from trigramma.session import materialised
 
+# Words of a shingle and similarity of a link, as op2_jaccard_join has them.
 SHINGLE = 4
 PERCENT = 85
 # Share of a set's lists looked at beyond those that must be, to tell long from short: for
@@ -68,17 +70,17 @@ def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> Iterator[np.nd
                 yield np.empty(0, np.uint64)
 
 
-def least_overlap(n: int) -> int:
+def least_overlap(n: int, percent: int = PERCENT) -> int:
     """Smallest overlap of a set of ``n`` with any partner."""
-    return -(-PERCENT * n // 100)
+    return -(-percent * n // 100)
 
 
-def looked_at(n: int) -> int:
+def looked_at(n: int, percent: int = PERCENT) -> int:
     """How many lists of a set are looked at."""
-    return n - least_overlap(n) + 1 + int(SPARE * n)
+    return n - least_overlap(n, percent) + 1 + int(SPARE * n)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Name and size of every text's set, and the hashes of the lists to be looked at.
 
     Of copies in one task only the first has them.
@@ -86,9 +88,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[tuple[int, int]] = set()
     for batch in batches:
         names, sizes, heads = [], [], []
-        for s in shingle_sets(batch["text"].to_pylist()):
+        for s in shingle_sets(batch["text"].to_pylist(), size):
             name = name_of(s)
-            heads.append(s[: 0 if name in seen else looked_at(len(s))].view(np.int64))
+            heads.append(s[: 0 if name in seen else looked_at(len(s), percent)].view(np.int64))
             seen.add(name)
             names.append(name)
             sizes.append(len(s))
@@ -108,9 +110,9 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
 
 
-def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _arrays(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = list(shingle_sets(batch["text"].to_pylist()))
+        sets = list(shingle_sets(batch["text"].to_pylist(), size))
         # A row repeating the doc_id may have another text.
         right = pa.array([
             name_of(s) == (a, b) for s, a, b in zip(sets, batch["s1"].to_pylist(), batch["s2"].to_pylist())
@@ -121,9 +123,9 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ).filter(right)
 
 
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _named(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [s for s in shingle_sets(batch["text"].to_pylist()) if len(s)]
+        sets = [s for s in shingle_sets(batch["text"].to_pylist(), size) if len(s)]
         names = [name_of(s) for s in sets]
         yield pa.RecordBatch.from_arrays(
             [pa.array([n[i] for n in names], pa.int64()) for i in range(2)]
@@ -157,9 +159,9 @@ class Index:
     def places_of(self, number: int) -> np.ndarray:
         return self.places[self.starts[number] : self.ends[number]]
 
-    def search(self, query: np.ndarray) -> list[int]:
-        """Places of the sets whose similarity to ``query`` is 85 % or more (DivideSkip)."""
-        needed = least_overlap(len(query))
+    def search(self, query: np.ndarray, percent: int = PERCENT) -> list[int]:
+        """Places of the sets whose similarity to ``query`` is ``percent`` or more (DivideSkip)."""
+        needed = least_overlap(len(query), percent)
         lists = self.lists(query)
         if len(lists) < needed or not len(lists):
             return []
@@ -174,7 +176,7 @@ class Index:
                 counts.append(count)
         at, count = np.array(places, np.int64), np.array(counts, np.int64)
         total = self.sizes[at] + len(query)
-        goal = -(-PERCENT * total // (100 + PERCENT))
+        goal = -(-percent * total // (100 + percent))
         left = len(long)
         while left and len(at):
             # As many lists at a time as make a few thousand probes; then those that cannot
@@ -191,10 +193,10 @@ class Index:
             left -= len(some)
             able = count + left >= goal
             at, count, total, goal = at[able], count[able], total[able], goal[able]
-        return at[100 * count >= PERCENT * (total - count)].tolist()
+        return at[100 * count >= percent * (total - count)].tolist()
 
 
-def _tile_links(frame: pd.DataFrame) -> pd.DataFrame:
+def _tile_links(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links between the two tiles of a task (or inside the one it has).
 
     A row for every set with its number of links, each counted with the documents of the
@@ -219,7 +221,7 @@ def _tile_links(frame: pd.DataFrame) -> pd.DataFrame:
     index = Index([sets[i] for i in second]) if len(first) and len(second) else None
     same = frame.low.iat[0] == frame.high.iat[0]
     for q in first if index else ():
-        for place in index.search(sets[q]):
+        for place in index.search(sets[q], percent):
             p = int(second[place])
             # Inside one tile either side finds the other.
             if same and p <= q:
@@ -235,9 +237,10 @@ def _tile_links(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({n: pd.array(c, "Int64") for n, c in zip(("s1", "s2", "o1", "o2", "n_links"), columns)})
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
+def near_duplicates(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` for every row of ``documents(doc_id, text)``.
 
+    Texts are linked whose sets of shingles of ``size`` words are ``percent`` or more alike.
     ``component_id`` is the smallest ``doc_id`` that links lead to, ``n_links`` the number
     of other rows linked directly. Null texts and texts without words are sets without
     shingles: linked with nothing, their component is their own ``doc_id``. Rows that
@@ -249,9 +252,12 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     docs = documents.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     sets = materialised(
-        docs.mapInArrow(_sets, f"doc_id {kind}, n long, s1 long, s2 long, heads array<long>"), "sets"
+        docs.mapInArrow(
+            partial(_sets, size=size, percent=percent), f"doc_id {kind}, n long, s1 long, s2 long, heads array<long>"
+        ),
+        "sets",
     )
-    linked = class_links(docs, sets)
+    linked = class_links(docs, sets, size, percent)
     edges = linked.where("other is not null").select(F.col("name").alias("a"), F.col("other").alias("b"))
     roots = materialised(
         connected_components(edges).select(F.col("node.*"), F.col("root.s1").alias("r1"), F.col("root.s2").alias("r2")),
@@ -274,14 +280,14 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
 
 
-def keep_one(documents: DataFrame) -> DataFrame:
+def keep_one(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One document of every group of linked ones, with all its columns.
 
     The smallest ``doc_id`` stays; of rows that repeat it, one. Documents without words or
     without an id are linked with nothing that could take their place, and stay, unless a
     document with an id stands for their group.
     """
-    found = near_duplicates(documents)
+    found = near_duplicates(documents, size, percent)
     stay = F.col("component_id").eqNullSafe(F.col("doc_id"))
     kept = materialised(found.where(stay).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
     single = rows_with(documents, kept.where("rows = 1 or doc_id is null"))
@@ -310,16 +316,16 @@ def _shared(postings: DataFrame) -> DataFrame:
     return postings.join(lists, "hash").groupBy("s1", "hash").agg(F.max("length").alias("length"))
 
 
-def _short(shared: DataFrame, classes: DataFrame, spare: float) -> DataFrame:
+def _short(shared: DataFrame, classes: DataFrame, spare: float, percent: int) -> DataFrame:
     """``hash, name`` of the shared lists of each class that are short.
 
     Of the lists looked at all but ``t - 1`` are short, with ``t = 1 + floor(spare n)``. A partner
-    has 85 % as many shingles at least, so its ``t`` is the one to go by. Lists that only one
+    has ``percent`` as many shingles at least, so its ``t`` is the one to go by. Lists that only one
     set has are shorter than the shared ones: the longest are all shared, if so many are.
     """
     rows = shared.join(classes.select("s1", "s2", "n"), "s1")
     ordered = Window.partitionBy("s1", "s2").orderBy(F.col("length").desc(), F.col("hash").desc())
-    left = F.floor(F.ceil(F.col("n") * PERCENT / 100) * spare)
+    left = F.floor(F.ceil(F.col("n") * percent / 100) * spare)
     return (
         rows.withColumn("place", F.row_number().over(ordered)).where(F.col("place") > left)
         .select("hash", F.struct("s1", "s2").alias("name"))
@@ -336,19 +342,19 @@ def _clusters(short: DataFrame) -> DataFrame:
     return materialised(found.join(sizes, "root").select("node.*", "root", "size"), "clusters")
 
 
-def class_links(docs: DataFrame, sets: DataFrame) -> DataFrame:
+def class_links(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """``name, other, n_links``: partial counts of links, and links that span the components."""
     classes = materialised(_classes(sets), "classes")
     first = _shared(sets.where("n > 0").select("s1", F.explode("heads").alias("hash")))
-    members = _members(docs, classes, _clusters(_short(first, classes, SPARE)))
+    members = _members(docs, classes, _clusters(_short(first, classes, SPARE, percent)), size)
     n = F.size("shingles")
-    wide = F.slice("shingles", 1, (n - F.ceil(n * PERCENT / 100) + 1 + F.floor(n * WIDER)).cast("int"))
+    wide = F.slice("shingles", 1, (n - F.ceil(n * percent / 100) + 1 + F.floor(n * WIDER)).cast("int"))
     again = _shared(members.select("s1", F.explode(wide).alias("hash")))
-    clusters = _clusters(_short(again, classes, WIDER))
-    return _cluster_links(members.drop("root", "size").join(clusters, ["s1", "s2"]))
+    clusters = _clusters(_short(again, classes, WIDER, percent))
+    return _cluster_links(members.drop("root", "size").join(clusters, ["s1", "s2"]), percent)
 
 
-def _members(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> DataFrame:
+def _members(docs: DataFrame, classes: DataFrame, clusters: DataFrame, size: int) -> DataFrame:
     """``s1, s2, copies, root, size, shingles`` of all classes in clusters.
 
     A class comes again for every row that repeats its ``doc_id`` and its text.
@@ -361,17 +367,19 @@ def _members(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> DataFr
     if asked.count() <= FEW:
         by_id = F.broadcast(by_id)
     kept = "s1 long, s2 long, copies long, root struct<s1:long,s2:long>, size long, shingles array<long>"
-    found = docs.join(by_id, "doc_id").select("text", "s1", "s2", "copies", "root", "size").mapInArrow(_arrays, kept)
+    found = docs.join(by_id, "doc_id").select("text", "s1", "s2", "copies", "root", "size").mapInArrow(
+        partial(_arrays, size=size), kept
+    )
     # Classes of which no member has an id are looked up by name.
     nameless = docs.where("doc_id is null").select("text").mapInArrow(
-        _named, "s1 long, s2 long, shingles array<long>"
+        partial(_named, size=size), "s1 long, s2 long, shingles array<long>"
     )
     unnamed = asked.where("least is null").drop("least")
     rest = nameless.dropDuplicates(["s1", "s2"]).join(unnamed, ["s1", "s2"]).select(*found.columns)
     return materialised(found.unionByName(rest), "members")
 
 
-def _cluster_links(members: DataFrame) -> DataFrame:
+def _cluster_links(members: DataFrame, percent: int) -> DataFrame:
     """Every set of a cluster against every other, tile by tile."""
     # A tile is a residue of the name's hash, so that no task sees a whole cluster to number it.
     tiled = members.withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int")).withColumn(
@@ -383,7 +391,7 @@ def _cluster_links(members: DataFrame) -> DataFrame:
         F.least("tile", "with").alias("low"), F.greatest("tile", "with").alias("high"),
     )
     links = pairs.groupBy("root", "low", "high").applyInPandas(
-        _tile_links, "s1 long, s2 long, o1 long, o2 long, n_links long"
+        lambda frame: _tile_links(frame, percent), "s1 long, s2 long, o1 long, o2 long, n_links long"
     )
     other = F.when(F.col("o1").isNotNull(), F.struct(F.col("o1").alias("s1"), F.col("o2").alias("s2"))).alias("other")
     return materialised(links.select(F.struct("s1", "s2").alias("name"), other, "n_links"), "links")
