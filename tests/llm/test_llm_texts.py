@@ -149,6 +149,13 @@ def test_forward_backward_against_brute_force():
     assert np.allclose(sums, [found[e - c : e].sum(axis=0) for e, c in zip(ends, counts)])
 
 
+def test_pictures_are_no_letters(spark):
+    texts = ["\U0001F600\U0001F680 \U0001F600", "ab\U0001F600c", "\U00010400\U00020000", "12"]
+    words = language_id.cut_words(texts, language_id._tables())
+    assert words.counts.tolist() == [0, 2, 1, 0]
+    assert len(words.letters) == 4 + 3 + 4
+
+
 def test_words_are_runs_of_letters():
     tables = language_id._tables()
     words = language_id.cut_words(["Hello, wörld 12 foo", "", "x", "1 2", "Été"], tables)

@@ -58,7 +58,10 @@ def cut_words(texts: list[str], tables: tuple[np.ndarray, np.ndarray]) -> Words:
     is_letter, lower = tables
     points = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
     plain = np.minimum(points, 65535)
-    letter = np.where(points < 65536, is_letter[plain], True)
+    letter = is_letter[plain]
+    if (far := points > 65535).any():
+        distinct, which = np.unique(points[far], return_inverse=True)
+        letter[far] = np.array([chr(p).isalpha() for p in distinct])[which]
     edge = np.diff(np.concatenate([[False], letter]).astype(np.int8), append=0)
     begin = np.flatnonzero(edge[: len(points)] == 1)
     # The end of a word is the last letter before a gap; the text ends with a line feed.
