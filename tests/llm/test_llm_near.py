@@ -182,6 +182,20 @@ def test_decontamination_against_brute_force(spark, odd):
     assert decontaminate.drop_contaminated(odd, bench.limit(0)).count() == len(ROWS)
 
 
+def test_rows_without_an_id_are_decontaminated_by_their_text(spark):
+    item = " ".join(f"g{i}" for i in range(12))
+    texts = [(None, f"a {item} b"), (None, "a b c"), (None, None), (1, item), (2, "a b"), (None, f"a {item} b")]
+    docs = spark.createDataFrame([(*r, "x") for r in texts], "doc_id bigint, text string, name string")
+    bench = spark.createDataFrame([(7, item)], "item_id int, text string")
+    found = {(r.doc_id, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in decontaminate.contamination(docs, bench).collect()}
+    assert found == {(None, 14, 12, 1, True), (None, 3, 0, 0, False), (None, 0, 0, 0, False), (1, 12, 12, 1, True), (2, 2, 0, 0, False)}
+    kept = decontaminate.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, kept.select("doc_id", "text").collect())) == [
+        "Row(doc_id=2, text='a b')", "Row(doc_id=None, text='a b c')", "Row(doc_id=None, text=None)"
+    ]
+
+
 def brute_dedup(rows):
     """The rule of the module in plain Python, rows by ascending id."""
     import hashlib

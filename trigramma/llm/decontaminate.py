@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trigramma.llm.common import ascii_lower, rows_with
+from trigramma.llm.common import ascii_lower, rows_with, whole_rows
 from trigramma.session import materialised
 
 WINDOW = 10
@@ -119,26 +119,34 @@ def find_hits(documents: DataFrame, items: DataFrame, window: int = WINDOW, k: i
     return lined.select("doc_id", "item_id", F.array_distinct(spots).alias("spots")).where(F.size("spots") > 0)
 
 
+def _key() -> Column:
+    """What tells documents apart: ``doc_id``, and where there is none the text."""
+    return F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.sha2("text", 256))
+
+
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``.
 
     Null and empty texts have no words, so nothing is hit. Rows that repeat a
     ``doc_id`` are versions of one document: each keeps its own ``n_words``, and a word
-    position hit in any version counts for all of them. Rows of the benchmark that
+    position hit in any version counts for all of them; rows without ``doc_id`` are judged by
+    their own text. Rows of the benchmark that
     repeat an item are one item; null items and items without words have no window. An
     empty table on either side leaves all documents clean. Extra columns are not read.
     """
-    docs = documents.select("doc_id", "text")
-    hits = find_hits(docs, benchmark.select("item_id", "text"))
+    docs = documents.select(_key().alias("key"), "doc_id", "text")
+    hits = find_hits(docs.select(F.col("key").alias("doc_id"), "text"), benchmark.select("item_id", "text"))
     spots = F.size(F.array_distinct(F.flatten(F.collect_list("spots")))).cast("long")
     ids = F.array_sort(F.collect_set(F.col("item_id").cast("string")))
-    per_doc = hits.groupBy("doc_id").agg(
+    per_doc = hits.groupBy(F.col("doc_id").alias("key")).agg(
         spots.alias("n_hit"),
         F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
     )
-    sizes = with_words(docs, "doc_id").select("doc_id", F.size("words").cast("long").alias("n_words"))
-    return sizes.join(materialised(per_doc, "hits"), "doc_id", "left").select(
+    sizes = with_words(docs.select(F.struct("key", "doc_id").alias("id"), "text"), "id").select(
+        "id.*", F.size("words").cast("long").alias("n_words")
+    )
+    return sizes.join(materialised(per_doc, "hits"), "key", "left").select(
         "doc_id", "n_words",
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).alias("n_items"),
@@ -148,7 +156,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without a word inside a benchmark window; rows without ``doc_id`` stay."""
-    hits = find_hits(documents.select("doc_id", "text"), benchmark.select("item_id", "text"))
-    found = hits.where("doc_id is not null").select("doc_id").distinct()
-    return rows_with(documents, materialised(found, "hits"), "left_anti")
+    """Documents without a word inside a benchmark window; see ``contamination`` for rows without ``doc_id``."""
+    docs = documents.select(_key().alias("doc_id"), "text")
+    found = materialised(find_hits(docs, benchmark.select("item_id", "text")).select("doc_id").distinct(), "hits")
+    rows = whole_rows(documents, "doc_id", "text").select("row", _key().alias("doc_id"))
+    return rows_with(rows, found, "left_anti").select("row.*")
