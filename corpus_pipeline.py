@@ -7,7 +7,8 @@ the columns of documents.
 1. Language: documents without a letter, or of which no language has half of the words, go.
 2. Lines: passages of several lines that occurred before are taken out; documents stay.
 3. Near duplicates: of every group linked by similarity the smallest ``doc_id`` stays.
-4. Benchmark: documents with a word inside a benchmark window go.
+4. Benchmark: documents with a word inside a benchmark window go; of those that stay, runs of
+   lines that still repeat are taken out whole.
 5. Mixing: what is left is put in the order of the target weights.
 
 Rows that repeat a ``doc_id`` are versions of one document; see the operators for the rest.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from trigramma.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing
 from trigramma.llm.common import table
 from trigramma.llm.queries import TARGETS
-from trigramma.session import scratch_path
+from trigramma.session import materialised, scratch_path
 
 
 def determined_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +38,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    clean = decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return line_dedup.dedup_passages(materialised(clean, "clean"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

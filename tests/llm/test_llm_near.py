@@ -240,3 +240,47 @@ def test_line_dedup_against_brute_force(spark, odd):
     assert {(r.doc_id, r.text) for r in line_dedup.dedup_lines(df).collect()} == {(r[0], r[3]) for r in brute_dedup(rows)}
     counted = spark.createDataFrame(wide([(*r, "en", "a") for r in rows]), SCHEMA)
     assert all(r.text is None or r.n_chars == len(r.text) for r in line_dedup.dedup_lines(counted).collect())
+
+
+def brute_runs(rows):
+    """Texts without the lines of any run that occurred before, every place against every one before it."""
+    lines = [(i, n) for i, (_, text) in enumerate(rows) for n in range(len((text or "").split("\n")))]
+    cut = [(text or "").split("\n") for _, text in rows]
+    gone = [set() for _ in rows]
+    for at, (i, n) in enumerate(lines):
+        for j, m in lines[:at]:
+            same = 0
+            while n + same < len(cut[i]) and m + same < len(cut[j]) and cut[i][n + same] == cut[j][m + same]:
+                same += 1
+            solid = [k for k in range(n, n + same) if cut[i][k].strip()]
+            if len(solid) > 1:
+                gone[i] |= set(range(solid[0], solid[-1] + 1))
+    return {
+        doc_id: text and "\n".join(x for k, x in enumerate(cut[i]) if k not in gone[i])
+        for i, (doc_id, text) in enumerate(rows)
+    }
+
+
+def test_passages_against_brute_force(spark, odd, none):
+    """Short passages in foreign lines, which the chunks of the module mostly leave."""
+    rnd = random.Random(4)
+    passages = [[f"passage {p} line {i}" if i % 4 != 2 else "" for i in range(k)] for p, k in enumerate((2, 2, 4, 5, 10))]
+    rows = [(1, None), (2, ""), (3, "x\n\n"), (4, "x\n\n"), (5, "r\nr\nr\nr"), (6, "\n\ny\n")]
+    for i in range(10, 40):
+        lines = [f"line {rnd.randrange(60)}" for _ in range(rnd.randrange(0, 10))]
+        for p in rnd.sample(passages, 2):
+            at, start = rnd.randrange(len(lines) + 1), rnd.randrange(len(p) - 1)
+            lines[at:at] = p[start : start + rnd.randrange(2, 11)]
+        rows.append((i, "\n".join(lines)))
+    df = spark.createDataFrame(wide([(*r, "en", "a") for r in rows]), SCHEMA)
+    found = line_dedup.dedup_passages(df)
+    assert found.columns == df.columns
+    got = {r.doc_id: r for r in found.collect()}
+    want = brute_runs(rows)
+    assert {i: r.text for i, r in got.items()} == want
+    assert all(r.text is None or r.n_chars == len(r.text) for r in got.values())
+    size = lambda texts: sum(len(t or "") for t in texts)
+    assert size(want.values()) < size(r[3] for r in brute_dedup(rows))
+    again = line_dedup.dedup_passages(odd)
+    assert again.columns == odd.columns and again.count() == len(ROWS)
+    assert line_dedup.dedup_passages(none).count() == 0

@@ -3,7 +3,9 @@
 A rolling hash over the hashes of neighbouring lines says where a chunk ends, so that a
 passage is cut at the same lines wherever it stands and whatever comes before it. Chunks
 of two and more lines that occur again are compared byte by byte with their first
-occurrence, and removed. Everything is DataFrame code.
+occurrence, and removed. Chunks at the ends of a passage take in lines around it, so this
+leaves most short passages; ``dedup_passages`` takes out all that repeats. Everything is
+DataFrame code.
 """
 
 from __future__ import annotations
@@ -126,3 +128,65 @@ def line_dedup_report(documents: DataFrame) -> DataFrame:
         "doc_id", (F.size("chunks") - F.size(kept)).cast("long").alias("n_removed_chunks"),
         (F.size("lines") - lines).cast("long").alias("n_removed_lines"), text.alias("text"),
     ))
+
+
+def _windows(texts: DataFrame, *keep: str) -> DataFrame:
+    """``keep, first, last, key``: every line that is not blank, to the next one that is not.
+
+    Any run of lines that has two and more of them, and begins and ends with one, is made of
+    such windows: it occurred before if, and only if, they did in a row.
+    """
+    lines = _once(texts.where("text is not null"), F.split("text", "\n"), "lines", *keep)
+    numbers = F.sequence(F.lit(1), F.size("lines"))
+    solid = _once(lines, F.filter(numbers, lambda i: F.get("lines", i - 1).rlike(r"\S")), "solid", *keep, "lines")
+    ends = F.transform(
+        F.slice("solid", 1, F.greatest(F.size("solid") - 1, F.lit(0))),
+        lambda first, k: F.struct(first.alias("first"), F.get("solid", k + 1).alias("last")),
+    )
+    # No two texts are known to share this hash, so no bytes are compared.
+    key = F.unhex(F.sha2(_text_of(F.col("first"), F.col("last")), 256)).alias("key")
+    return solid.select(*keep, "lines", F.inline(ends)).select(*keep, "first", "last", key)
+
+
+def repeated_windows(documents: DataFrame) -> DataFrame:
+    """``doc_id, version, removed``: the lines of each text in runs that occurred before.
+
+    Before is in a smaller ``doc_id`` (null is smallest), in a version of the same with a
+    smaller hash, or further up. Rows with the same id and text are one text.
+    """
+    texts = documents.select("doc_id", F.xxhash64("text").alias("version"), "text")
+    windows = _windows(texts, "doc_id", "version")
+    keys = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    found = materialised(lookup(windows, materialised(keys, "window_keys"), ["key"]), "windows")
+    place = F.struct("doc_id", "version", "first")
+    firsts = found.groupBy("key").agg(F.min(place).alias("place"))
+    again = lookup(found, materialised(firsts, "window_firsts"), ["key"]).where(~place.eqNullSafe(F.col("place")))
+    removed = F.array_distinct(F.flatten(F.collect_set(F.sequence("first", "last"))))
+    return materialised(again.groupBy("doc_id", "version").agg(removed.alias("removed")), "removed")
+
+
+def dedup_passages(documents: DataFrame) -> DataFrame:
+    """``documents`` with all its columns, every run of lines that occurred before taken out of ``text``.
+
+    A run has two and more lines that are not blank, and the blank ones between; its first
+    occurrence stays, and so does the first of every line. ``n_chars`` is counted anew where the table
+    has it. Every document stays, maybe with an empty text; a null text stays null. Versions
+    of one ``doc_id`` are texts of their own. An empty table gives an empty result.
+    """
+    removed = repeated_windows(documents.select("doc_id", "text")).select(
+        F.col("doc_id").alias("id"), F.col("version").alias("of"), "removed"
+    )
+    joined = whole_rows(documents, "doc_id", "text").withColumn("version", F.xxhash64("text")).join(
+        removed, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("version") == F.col("of")), "left"
+    )
+    left = joined.where("removed is null").select("row.*")
+    lines = _once(joined.where("removed is not null"), F.split("text", "\n"), "lines", "row", "removed")
+    kept = _once(
+        lines, F.array_except(F.sequence(F.lit(1), F.size("lines")), "removed"), "kept", "row", "lines"
+    )
+    text = F.array_join(F.transform("kept", lambda i: F.get("lines", i - 1)), "\n")
+    row = F.col("row").withField("text", F.col("text"))
+    if "n_chars" in documents.columns:
+        row = row.withField("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
+    changed = kept.select("row", text.alias("text")).select(row.alias("row")).select("row.*")
+    return left.unionByName(changed)
