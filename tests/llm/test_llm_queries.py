@@ -15,7 +15,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_there_is_a_query_for_each_operator():
     numbers = {int(re.match(r"op(\d+)_", name)[1]) for name in queries.queries()}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert set(oracle.oracle_sql()) <= set(queries.queries())
     assert {"pipeline", *queries.queries()} <= set(contract.queries())
 

@@ -6,7 +6,7 @@ columns of a table, whatever they are called, never meet their own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trigramma.operators.joins import lookup
@@ -90,3 +90,29 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return pairs.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
         pairs.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
     )
+
+
+def numbered(rows: DataFrame, group: str, order: list[str], name: str = "pos") -> DataFrame:
+    """Rows numbered from 0 within ``group`` by ``order``, however many rows a group has.
+
+    The rows are sorted over all tasks and written; a row's number is its place within its
+    partition's rows of the group plus the group's rows in the partitions before. Null comes first.
+    """
+    sort = [group, *order]
+    fixed = materialised(
+        rows.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("_at", F.monotonically_increasing_id()),
+        "numbered",
+    )
+    fixed = fixed.withColumn("_part", F.shiftright("_at", 33))
+    sizes = fixed.groupBy("_part", group).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sizes.select(
+        F.col("_part").alias("_p"), F.col(group).alias("_g"), F.sum("_size").over(before).alias("_carried")
+    ).where("_carried > 0")
+    inside = F.row_number().over(Window.partitionBy("_part", group).orderBy("_at"))
+    # A partition goes on with one group of those before at most: a row per partition, no more.
+    found = fixed.withColumn("_place", inside).join(
+        F.broadcast(carried), (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")), "left"
+    )
+    number = F.col("_place") - 1 + F.coalesce("_carried", F.lit(0))
+    return found.select(*rows.columns, number.cast("long").alias(name))

