@@ -9,7 +9,6 @@ compared by value.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -35,18 +34,16 @@ from trigramma.session import materialised, scratch_path
 from trigramma.sources import readers, writers
 
 # The text operators and their pipeline are an addition that may be absent.
-if importlib.util.find_spec("trigramma.llm") and importlib.util.find_spec("corpus_pipeline"):
+try:
     import corpus_pipeline as _pipeline
     from trigramma.llm import oracle as _llm_oracle
     from trigramma.llm import queries as _llm_queries
-else:
+except ImportError:
     _pipeline = _llm_oracle = _llm_queries = None
 
 LETTERS = "a-z"
 STOP = ("the", "of", "and", "de", "der", "la")
 WORDS = ["w1", "w2", "w3"]
-# Each table of running text is one file here, which a single task would read.
-TASKS = 32
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,11 +53,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _raw(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """All trigrams of the documents, unfiltered."""
     texts = _table(spark, sf_dir, "documents").select("text", *keep)
-    return readers.trigrams_from_text(readers.spread(texts, TASKS), "text", *keep)
+    return readers.trigrams_from_text(readers.spread(texts), "text", *keep)
 
 
 def _kept(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
-    texts = readers.spread(_table(spark, sf_dir, table).select("text"), TASKS)
+    texts = readers.spread(_table(spark, sf_dir, table).select("text"))
     return plans.kept_text_rows(texts, STOP, LETTERS)
 
 
@@ -79,7 +76,7 @@ def _model(spark: SparkSession, sf_dir: str, table: str = "documents", undefined
 
 def _phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clauses of all conversations: n-grams of any number of words."""
-    talk = readers.spread(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), TASKS)
+    talk = readers.spread(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
     return talk.select("conv_id", "turn", F.explode(F.split("text", r"[.,\n]+ *")).alias("ngram"))
 
 
@@ -96,7 +93,7 @@ def _count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation clauses as lines; those of the assistant lack a number."""
-    talk = readers.spread(_table(spark, sf_dir, "conversations").select("role", "text"), TASKS)
+    talk = readers.spread(_table(spark, sf_dir, "conversations").select("role", "text"))
     clause = talk.select("role", F.explode(F.split("text", r"[.,\n]+ *")).alias("ngram"))
     third = F.when(F.col("role") == "assistant", F.lit("12x")).otherwise(F.lit("12"))
     return clause.select(F.concat_ws("\t", "ngram", F.lit("2000"), third).alias("value"))
@@ -357,22 +354,49 @@ def top_many_words(spark, sf_dir):
 
 
 def stage_then_predict(spark, sf_dir):
-    """A model staged once under a name, then asked."""
-    path = scratch_path(spark, "model")
-    writers.write_stage(_model(spark, sf_dir, undefined="drop"), path)
-    return _predicted(ranking.predict(readers.read_stage(spark, path), _pairs(spark, sf_dir), 3))
+    """A model staged once under a name and laid out by pairs, then asked; only zones with a pair are read."""
+    path, pairs = scratch_path(spark, "model"), _pairs(spark, sf_dir)
+    writers.write_stage(_model(spark, sf_dir, undefined="drop"), path, by=["w1", "w2"])
+    return _predicted(ranking.predict(readers.read_zones(spark, path, pairs), pairs, 3))
 
 
-def run_counts(spark, sf_dir):
-    """What a run itself counts; every tenth document's lines lack a number."""
+def _lines_some_bad(spark, sf_dir):
+    """Count lines; every tenth document's lack a number."""
     rows = _raw(spark, sf_dir, "doc_id")
     count = F.when(F.col("doc_id") % 10 == 3, "12x").otherwise("1")
-    lines = rows.select(F.concat_ws("\t", phrase(*map(F.col, WORDS)), F.lit("2000"), count).alias("value"))
-    seen = plans.RunCounts()
-    plans.build_model(lines, STOP, LETTERS, order=None, on_bad="drop", seen=seen)
+    return rows.select(F.concat_ws("\t", phrase(*map(F.col, WORDS)), F.lit("2000"), count).alias("value"))
+
+
+def _counts_table(spark, seen):
     return spark.createDataFrame(sorted(seen.get().items()), "stage string, records bigint")
 
 
+def run_counts(spark, sf_dir):
+    """What a run itself counts."""
+    seen = plans.RunCounts()
+    plans.build_model(_lines_some_bad(spark, sf_dir), STOP, LETTERS, order=None, on_bad="drop", seen=seen)
+    return _counts_table(spark, seen)
+
+
+def run_counts_restart(spark, sf_dir):
+    """The counts of a run of which the second start finds all stages finished."""
+    folder = scratch_path(spark, "stages")
+    for _ in range(2):
+        seen = plans.RunCounts()
+        plans.build_model(
+            _lines_some_bad(spark, sf_dir), STOP, LETTERS, order=None, on_bad="drop", stage_dir=folder,
+            stage_key="documents, every tenth without numbers", seen=seen,
+        )
+    return _counts_table(spark, seen)
+
+
+def restarted_model(spark, sf_dir):
+    """A model of the second start with the same stages."""
+    folder = scratch_path(spark, "stages")
+    plans.model_of(_kept(spark, sf_dir), stage_dir=folder, stage_key="documents")
+    return _shown(plans.model_of(_kept(spark, sf_dir), stage_dir=folder, stage_key="documents"))
+
+
 def predict(spark, sf_dir):
     model = _model(spark, sf_dir, undefined="drop")
     return _predicted(ranking.predict(model, _pairs(spark, sf_dir), 3))
@@ -399,6 +423,29 @@ def sequence_file_round_trip(spark, sf_dir):
     return readers.parse_ngrams(readers.read_ngram_seq(spark, path))
 
 
+def sequence_file_model(spark, sf_dir):
+    """A model of a SequenceFile that is converted once and read twice."""
+    lines, stage = scratch_path(spark, "conversation-lines"), scratch_path(spark, "parsed")
+    rows = _kept(spark, sf_dir, "conversations")
+    writers.write_ngram_seq(
+        rows.select(F.concat_ws("\t", phrase(*map(F.col, WORDS)), F.lit("2000"), F.lit("1")).alias("value")), lines
+    )
+    readers.convert_ngram_seq(spark, lines, stage, "conversations")
+    parsed = readers.convert_ngram_seq(spark, lines, stage, "conversations")
+    return _shown(plans.model_of(plans.kept_ngrams(parsed, STOP, LETTERS))).select(*WORDS, "p")
+
+
+def model_text_files(spark, sf_dir):
+    """A ranked model as files, of a run that clears its tables."""
+    path = scratch_path(spark, "ranked")
+    plans.write_model_text(_count_lines(spark, sf_dir), path, STOP, LETTERS)
+    fields = F.split("value", "\t")
+    lines = readers.read_ngram_text(spark, path).select(
+        fields[0].alias("phrase"), fields[1].cast("double").alias("p")
+    )
+    return _shown(lines.select(*split_phrase(F.col("phrase")), "p"))
+
+
 def text_round_trip(spark, sf_dir):
     path = scratch_path(spark, "ranked")
     writers.write_ranked_text(ranking.rank_model(_model(spark, sf_dir)), path)
@@ -420,14 +467,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         filter_alphabet_phrases, filter_alphabet_words, filter_arity_phrases, ngram_orders,
         filter_stopwords_list, filter_stopwords_table, filter_stopwords_file, to_trigram, phrase_round_trip,
         expand_ngrams, ngram_counts, corpus_total, unigram_counts, bigram_counts,
-        trigram_counts, trigram_sums, stage_row_counts, odd_counts, run_counts,
+        trigram_counts, trigram_sums, stage_row_counts, odd_counts, run_counts, run_counts_restart,
         join_c1, join_n1, join_c2, join_n2, attach_total,
         trigram_statistics, labelled_statistics, pivot_statistics,
         confidence_weights, ieee_division, sql_functions,
         trigram_probability, defined_probability, conversation_model, count_line_model,
         rank_documented, rank_legacy, cluster_by_pair, top_next_words, top_many_words,
-        predict, predict_from_rows, stage_then_predict,
-        stage_round_trip, sequence_file_round_trip, text_round_trip,
+        predict, predict_from_rows, stage_then_predict, restarted_model,
+        stage_round_trip, sequence_file_round_trip, sequence_file_model, text_round_trip, model_text_files,
     )
     named = {query.__name__: query for query in listed}
     if _llm_queries:
@@ -578,10 +625,10 @@ def _own_sql() -> dict[str, str]:
             CASE WHEN isnan(n3 / c2) THEN -1.0::DOUBLE ELSE round(n3 / c2, 12) END AS ratio FROM stats""",
         "sql_functions": f"""{model} SELECT w1, w2, w3, round(k2, 12) AS k2, round(k3, 12) AS k3, {_P}
             FROM model""",
-        "trigram_probability": f"{model} SELECT w1, w2, w3, n1, n2, n3, c0, c1, c2, {_P} FROM model",
+        **dict.fromkeys(("trigram_probability", "restarted_model"), f"{model} SELECT w1, w2, w3, n1, n2, n3, c0, c1, c2, {_P} FROM model"),
         "defined_probability": f"{model} SELECT w1, w2, w3, round(p, 12) AS p FROM model WHERE NOT isnan(p)",
-        "conversation_model": f"{talk} SELECT w1, w2, w3, {_P} FROM model",
-        "count_line_model": f"{lines} SELECT w1, w2, w3, {_P} FROM model",
+        **dict.fromkeys(("conversation_model", "sequence_file_model"), f"{talk} SELECT w1, w2, w3, {_P} FROM model"),
+        **dict.fromkeys(("count_line_model", "model_text_files"), f"{lines} SELECT w1, w2, w3, {_P} FROM model"),
         "rank_documented": ranked("w1, w2, p DESC, w3"),
         "rank_legacy": ranked("w1, w2 DESC, p, w3"),
         "cluster_by_pair": f"{model} SELECT w1, w2, count(*) AS n_rows, 1::BIGINT AS n_partitions FROM model GROUP BY w1, w2",
@@ -594,11 +641,11 @@ def _own_sql() -> dict[str, str]:
             {_COUNTS_SQL}, every AS (SELECT w AS ngram, n FROM uni UNION ALL SELECT a || ' ' || b, n FROM bi)
             SELECT ngram, CASE WHEN isnan(n) THEN 'nan' WHEN isinf(n) THEN 'inf' WHEN n >= 9e18 THEN 'large'
                 ELSE n::BIGINT::VARCHAR END AS n FROM every""",
-        "run_counts": f"""{by_doc}, good AS (SELECT * FROM raw WHERE doc_id % 10 <> 3 AND {_good()})
+        **dict.fromkeys(("run_counts", "run_counts_restart"), f"""{by_doc}, good AS (SELECT * FROM raw WHERE doc_id % 10 <> 3 AND {_good()})
             SELECT 'lines' AS stage, count(*) AS records FROM raw
             UNION ALL SELECT 'bad lines', count(*) FROM raw WHERE doc_id % 10 = 3
             UNION ALL SELECT 'kept rows', count(*) FROM good
-            UNION ALL SELECT 'trigrams', count(*) FROM (SELECT DISTINCT w1, w2, w3 FROM good)""",
+            UNION ALL SELECT 'trigrams', count(*) FROM (SELECT DISTINCT w1, w2, w3 FROM good)"""),
         **dict.fromkeys(("predict", "predict_from_rows", "stage_then_predict"), f"""{model}, btok AS (SELECT regexp_split_to_array(text, '\\s+') AS t FROM benchmark),
             bpos AS (SELECT t, unnest(range(1, len(t) - 1)) AS i FROM btok),
             braw AS (SELECT t[i] AS w1, t[i+1] AS w2, t[i+2] AS w3 FROM bpos),

@@ -102,8 +102,11 @@ def test_undefined_rows_go_before_the_second_join(spark, conf):
     from trigramma.plans.model import add_probability
 
     _, plan = run(add_probability(joins.trigram_statistics(sums), "drop"))
-    first = [line for line in plan.splitlines() if "SortMergeJoin [_key" in line and "w1" in line]
-    assert first and "isnan" in first[0]
+    lines = plan.splitlines()
+    joins_at = [i for i, line in enumerate(lines) if "SortMergeJoin [_key" in line and ("w1" in line or "w3" in line)]
+    filters_at = [i for i, line in enumerate(lines) if "Filter" in line and "isnan" in line or "SortMergeJoin [_key" in line and "isnan" in line]
+    # The plan reads from the last step down: second join, filter, first join.
+    assert any(joins_at[0] < at <= joins_at[1] for at in filters_at)
 
 
 @pytest.mark.parametrize("name", list(contract.queries()))
@@ -152,10 +155,20 @@ def test_rank_limit_holds_for_any_k(spark, conf):
 
 
 def test_trigrams_are_no_build_side(spark):
-    """At the default thresholds the sums are small files, and yet never sent to every task."""
-    model = joins.trigram_statistics(contract._sums(spark, "/root/testdata/sf0.01"))
-    _, plan = run(model)
-    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") >= 3
+    """At the default thresholds the sums are small files, and yet never sent to every task; word tables are."""
+    _, plan = run(joins.trigram_statistics(contract._sums(spark, "/root/testdata/sf0.01")))
+    assert "BuildLeft" not in plan and "LeftOuter" in plan and "Inner" not in plan
+    assert re.search(r"BroadcastHashJoin.*LeftOuter, BuildRight", plan)
+
+
+def test_a_model_is_joined_once_to_be_sorted(spark, conf):
+    """Borders of the sort come from the written model: its plan has no join and no other shuffle."""
+    merge_joins_only(conf)
+    model = model_of(contract._kept(spark, SF))
+    for ranked in (ranking.rank_model(model), ranking.rank_model(model, "legacy")):
+        _, plan = run(ranked)
+        assert "Join" not in plan and plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1
+    assert "SortMergeJoin" in run(ranking.rank_model(model, written=True))[1]
 
 
 @pytest.mark.parametrize("order", ["documented", "legacy"])

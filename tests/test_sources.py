@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 import pytest
 from pyspark.errors import PySparkException
@@ -12,8 +13,9 @@ from test_golden import EDGE_LINES, lines_of
 from trigramma.functions.scalar import split_phrase
 from trigramma.functions.stopwords import HEBREW_STOPWORDS
 from trigramma.operators import filters
-from trigramma.plans.model import RunCounts, build_model, kept_rows, model_of
-from trigramma.session import scratch_path, shared_folder
+from trigramma.operators.ranking import predict
+from trigramma.plans.model import RunCounts, build_model, kept_ngrams, kept_rows, model_of, write_model_text
+from trigramma.session import discard, materialised, scratch_path, shared_folder
 from trigramma.sources import readers, writers
 
 
@@ -108,7 +110,7 @@ def test_stages_are_kept_under_their_names(spark, tmp_path):
     assert set(map(tuple, staged.collect())) == set(map(tuple, model_of(rows, "null").collect()))
     assert readers.read_stage(spark, folder + "/trigram_sums").count() == 7
     assert readers.read_stage(spark, folder + "/trigram_statistics").count() == 7
-    with pytest.raises(PySparkException):
+    with pytest.raises(FileExistsError):
         model_of(rows, stage_dir=folder)
 
 
@@ -171,3 +173,154 @@ def test_ieee_division(spark):
                   spark.sql("SELECT i, ieee_divide(a, b) AS q FROM pairs")):
         values = [r.q for r in found.orderBy("i").collect()]
         assert [repr(v) for v in values] == [repr(w) for w in wanted]
+
+
+def folders(path):
+    return sorted(p.name for p in path.iterdir()) if path.exists() else []
+
+
+def test_a_keyed_write_leaves_foreign_folders_alone(spark, tmp_path):
+    """A stage without a key, one of another key, plain Parquet, an empty folder: all stay."""
+    new = spark.range(3)
+    places = {name: str(tmp_path / name) for name in ("keyless", "other", "plain", "empty")}
+    writers.write_stage(spark.range(5), places["keyless"])
+    writers.write_stage(spark.range(5), places["other"], "other")
+    spark.range(5).write.parquet(places["plain"])
+    (tmp_path / "empty").mkdir()
+    for name, path in places.items():
+        for key in (None, "mine"):
+            with pytest.raises((ValueError, FileExistsError)):
+                writers.write_stage(new, path, key)
+        if name != "empty":
+            assert readers.read_stage(spark, path).count() == 5
+    assert folders(tmp_path) == sorted(places)
+
+
+def test_a_broken_off_write_leaves_no_stage(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "stage")
+    bad = spark.range(0, 100, 1, 4).select(F.when(F.col("id") > 90, F.raise_error("stop").cast("long")).otherwise(F.col("id")).alias("id"))
+    for key in (None, "k"):
+        with pytest.raises(PySparkException, match="stop"):
+            writers.write_stage(bad, path, key)
+        assert folders(tmp_path) == []
+    # Killed between writing and renaming: what lies there is no stage, and the next start clears it.
+    with monkeypatch.context() as patched:
+        patched.setattr(writers, "_put", lambda *args: (_ for _ in ()).throw(SystemExit))
+        patched.setattr(writers, "clear", lambda *args: None)
+        with pytest.raises(SystemExit):
+            writers.write_stage(spark.range(7), path, "k")
+    assert len(folders(tmp_path)) == 1 and folders(tmp_path)[0].startswith("stage.unfinished-")
+    with pytest.raises(PySparkException):
+        readers.read_stage(spark, path).count()
+    assert writers.write_stage(spark.range(9), path, "k").count() == 9
+    assert folders(tmp_path) == ["stage"]
+    assert writers.write_stage(bad, path, "k").count() == 9
+
+
+def test_an_empty_stage_is_a_stage(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    for _ in range(2):
+        found = writers.write_stage(spark.range(5).where("id > 9"), path, "none")
+        assert found.count() == 0 and found.columns == ["id"]
+
+
+def test_counts_survive_a_restart(spark, tmp_path):
+    lines = lines_of(spark, EDGE_LINES + ["red fox hides\t2000\tsix"])
+    wanted = {"lines": len(EDGE_LINES) + 1, "bad lines": 1, "kept rows": 9, "trigrams": 7}
+    for folder in (None, str(tmp_path / "stages")):
+        for _ in range(2):
+            seen = RunCounts()
+            build_model(lines, ["the"], "a-z", None, "drop", stage_dir=folder, stage_key=folder and "edge", seen=seen)
+            assert seen.get() == wanted
+    # A stage that was written without counting cannot tell.
+    plain = str(tmp_path / "plain")
+    build_model(lines, ["the"], "a-z", None, "drop", stage_dir=plain, stage_key="edge")
+    with pytest.raises(ValueError, match="without counting"):
+        build_model(lines, ["the"], "a-z", None, "drop", stage_dir=plain, stage_key="edge", seen=RunCounts())
+
+
+def read_files(df):
+    """Rows out of the scan, and files in it, by the metrics of the run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+    leaves = plan.collectLeaves()
+    seen = [leaves.apply(i) for i in range(leaves.size())]
+    scans = [leaf for leaf in seen if "Scan" in leaf.nodeName()]
+    value = lambda scan, name: int(scan.metrics().apply(name).value())
+    return sum(value(s, "numFiles") for s in scans), sum(value(s, "numOutputRows") for s in scans)
+
+
+def test_a_lookup_reads_the_zones_of_its_keys(spark, tmp_path, conf):
+    conf(adaptive__coalescePartitions__enabled="false", shuffle__partitions="16")
+    model = spark.range(20_000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('a', lpad(id % 500, 4, '0'))) AS w1", "concat('b', id % 7) AS w2", "concat('c', id) AS w3", "id / 20000 AS p")
+    path = str(tmp_path / "model")
+    writers.write_stage(model, path, "zones", by=["w1", "w2"])
+    assert set(map(tuple, readers.read_stage(spark, path).drop("zone").collect())) == set(map(tuple, model.collect()))
+    asked = spark.createDataFrame([("a0007", "b3"), ("a0008", "b1"), ("a0007", "b3"), ("none", "b1"), (None, "b1")], "w1 string, w2 string")
+    part = readers.read_zones(spark, path, asked)
+    assert part.columns == model.columns
+    files, rows = read_files(part)
+    assert 1 <= files <= 3 and rows < 5_000
+    whole = set(map(tuple, predict(model, asked, 3).collect()))
+    assert len(whole) == 6 and set(map(tuple, predict(part, asked, 3).collect())) == whole
+    # A hot pair lies in several zones, all of which are read.
+    hot = spark.createDataFrame([("hot", "b1")], "w1 string, w2 string")
+    files, _ = read_files(readers.read_zones(spark, path, hot))
+    assert files >= 2
+    assert set(map(tuple, predict(readers.read_zones(spark, path, hot), hot, 3).collect())) == set(map(tuple, predict(model, hot, 3).collect()))
+    assert readers.read_zones(spark, path, asked.limit(0)).count() == 0
+    # A stage without zones is read whole.
+    plain = str(tmp_path / "plain")
+    writers.write_stage(model, plain)
+    assert readers.read_zones(spark, plain, asked).count() == 20_000
+
+
+def test_sequence_files_are_converted_once(spark, tmp_path):
+    source, stage = str(tmp_path / "seq"), str(tmp_path / "parsed")
+    writers.write_ngram_seq(lines_of(spark, EDGE_LINES), source)
+    first = readers.convert_ngram_seq(spark, source, stage, "edge")
+    again = readers.convert_ngram_seq(spark, source, stage, "edge")
+    assert first.columns == ["ngram", "cnt"] and first.count() == again.count() == len(EDGE_LINES)
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Python" not in plan and "ExistingRDD" not in plan
+    assert model_of(kept_ngrams(again, ["the"], "a-z")).count() == 7
+
+
+def test_a_run_clears_its_tables(spark, tmp_path):
+    from urllib.parse import urlparse
+
+    shared = urlparse(shared_folder(spark)).path
+    before = sorted(os.listdir(shared))
+    write_model_text(lines_of(spark, EDGE_LINES), str(tmp_path / "out"), ["the"], "a-z")
+    assert sorted(os.listdir(shared)) == before
+    with pytest.raises(PySparkException):
+        write_model_text(lines_of(spark, ["a b c\t1\tx"]), str(tmp_path / "bad"), ["the"], "a-z")
+    assert sorted(os.listdir(shared)) == before
+    table = materialised(spark.range(3), "three")
+    assert len(os.listdir(shared)) == len(before) + 1
+    discard(table)
+    assert sorted(os.listdir(shared)) == before
+
+
+def test_small_scans_are_dealt_out_and_large_ones_left(spark, conf, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 1000, 1, 1).write.parquet(path)
+    assert "RoundRobinPartitioning(8)" in readers.spread(spark.read.parquet(path))._jdf.queryExecution().toString()
+    conf(files__maxPartitionBytes="100b")
+    assert "RoundRobin" not in readers.spread(spark.read.parquet(path))._jdf.queryExecution().toString()
+
+
+def test_formulas_are_the_same_in_columns_and_in_sql(spark):
+    from trigramma.functions.scalar import confidence, interpolate
+    from trigramma.functions.sql import definitions, register_functions
+
+    assert definitions()["confidence"] == (["n"], "((ln((n + 1)) + 1) / (ln((n + 1)) + 2))")
+    register_functions(spark)
+    rows = [(1.0, 2.0, 3.0, 13.0, 5.0, 4.0), (0.0, 0.0, 0.0, 13.0, 1.0, 0.0), (1.0, 0.0, 0.0, 0.0, 2.0, 3.0)]
+    names = ["n1", "n2", "n3", "c0", "c1", "c2"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names))
+    columns = df.select(confidence(F.col("n2")).alias("k"), interpolate(*map(F.col, names)).alias("p")).collect()
+    text = df.selectExpr("confidence(n2) AS k", f"interpolate({', '.join(names)}) AS p").collect()
+    assert [repr(tuple(r)) for r in columns] == [repr(tuple(r)) for r in text]

@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from trigramma.functions import formulas
+
 # Fixed value: the letters a Hebrew token may hold, as a character class body.
 HEBREW = "א-ת"
 
 
 def ieee_divide(a: Column, b: Column) -> Column:
     """Division of doubles with NaN and infinities in place of errors."""
-    return (
-        F.when(b != 0, F.try_divide(a, b))
-        .when(F.isnan(a) | (a == 0), F.lit(float("nan")))
-        .when(a > 0, F.lit(float("inf")))
-        .when(a < 0, F.lit(float("-inf")))
-    )
+    return formulas.ieee_divide(a, b, _case, F.try_divide, F.isnan, lambda text: F.lit(float(text)))
+
+
+def _case(*branches: tuple[Column, Column]) -> Column:
+    (condition, value), *rest = branches
+    found = F.when(condition, value)
+    for condition, value in rest:
+        found = found.when(condition, value)
+    return found
 
 
 def round_half_up(x: Column) -> Column:
@@ -34,19 +39,14 @@ def floor_double(x: Column) -> Column:
 
 def confidence(n: Column) -> Column:
     """Weight in [0.5, 1) that grows with the logarithm of a count."""
-    return (F.ln(n + 1) + 1) / (F.ln(n + 1) + 2)
+    return formulas.confidence(n, F.ln)
 
 
 def interpolate(
     n1: Column, n2: Column, n3: Column, c0: Column, c1: Column, c2: Column
 ) -> Column:
     """P(w3 | w1, w2): trigram, bigram and unigram ratios, weighted."""
-    k2, k3 = confidence(n2), confidence(n3)
-    return (
-        k3 * ieee_divide(n3, c2)
-        + (1 - k3) * k2 * ieee_divide(n2, c1)
-        + (1 - k3) * (1 - k2) * ieee_divide(n1, c0)
-    )
+    return formulas.interpolate(n1, n2, n3, c0, c1, c2, confidence, ieee_divide)
 
 
 def ngram_words(ngram: Column) -> Column:

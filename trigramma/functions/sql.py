@@ -1,32 +1,32 @@
-"""The two model formulas for SQL users, as functions Catalyst inlines."""
+"""The model's formulas for SQL users, as functions Catalyst inlines."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-CONFIDENCE = """
-CREATE OR REPLACE TEMPORARY FUNCTION confidence(n DOUBLE) RETURNS DOUBLE
-RETURN (ln(n + 1) + 1) / (ln(n + 1) + 2)
-"""
+from trigramma.functions import formulas
+from trigramma.functions.formulas import Sql, call
 
-IEEE_DIVIDE = """
-CREATE OR REPLACE TEMPORARY FUNCTION ieee_divide(a DOUBLE, b DOUBLE) RETURNS DOUBLE
-RETURN CASE WHEN b <> 0 THEN try_divide(a, b)
-            WHEN isnan(a) OR a = 0 THEN double('NaN')
-            WHEN a > 0 THEN double('Infinity')
-            WHEN a < 0 THEN double('-Infinity') END
-"""
 
-INTERPOLATE = """
-CREATE OR REPLACE TEMPORARY FUNCTION interpolate(
-    n1 DOUBLE, n2 DOUBLE, n3 DOUBLE, c0 DOUBLE, c1 DOUBLE, c2 DOUBLE) RETURNS DOUBLE
-RETURN confidence(n3) * ieee_divide(n3, c2)
-     + (1 - confidence(n3)) * confidence(n2) * ieee_divide(n2, c1)
-     + (1 - confidence(n3)) * (1 - confidence(n2)) * ieee_divide(n1, c0)
-"""
+def _case(*branches: tuple[Sql, Sql]) -> Sql:
+    return Sql("CASE " + " ".join(f"WHEN {condition} THEN {value}" for condition, value in branches) + " END")
+
+
+def definitions() -> dict[str, tuple[list[str], str]]:
+    """Name to arguments, all of them doubles, and body."""
+    counts = ["n1", "n2", "n3", "c0", "c1", "c2"]
+    number = lambda text: Sql(f"double('{text}')")
+    divide = formulas.ieee_divide(Sql("a"), Sql("b"), _case, call("try_divide"), call("isnan"), number)
+    mixed = formulas.interpolate(*map(Sql, counts), call("confidence"), call("ieee_divide"))
+    return {
+        "confidence": (["n"], str(formulas.confidence(Sql("n"), call("ln")))),
+        "ieee_divide": (["a", "b"], str(divide)),
+        "interpolate": (counts, str(mixed)),
+    }
 
 
 def register_functions(spark: SparkSession) -> None:
     """Create ``confidence``, ``ieee_divide`` and ``interpolate`` in the session."""
-    for statement in (CONFIDENCE, IEEE_DIVIDE, INTERPOLATE):
-        spark.sql(statement)
+    for name, (args, body) in definitions().items():
+        typed = ", ".join(f"{arg} DOUBLE" for arg in args)
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({typed}) RETURNS DOUBLE RETURN {body}")

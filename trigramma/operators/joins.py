@@ -37,7 +37,7 @@ def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner")
 
     An inner join is asked to sort and merge: both sides grow with the corpus, and by the
     size of its compressed files Spark would take the left one for small enough to send
-    to every task. Semi and anti joins only ever send their right side.
+    to every task. Left, semi and anti joins only ever send their right side.
     """
     key = F.xxhash64(*on)
     side = right.withColumn("_key", key)
@@ -48,28 +48,40 @@ def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner")
     return joined.select(*left.columns, *added)
 
 
+def with_counts(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``left`` with the counts of a table made from the same rows, so that each key is there.
+
+    As a left join, which Spark may only make by sending the right side, if that is small, or by
+    sorting and merging: the trigrams, whose files look small, are never the side that is sent. Rows
+    without a word have no counts and go.
+    """
+    for name in on:
+        left = left.where(F.col(name).isNotNull())
+    return lookup(left, right, on, "left")
+
+
 def join_c1(trigrams: DataFrame, unigrams: DataFrame) -> DataFrame:
     """``c1``: count of the second word."""
     side = unigrams.select(F.col("w").alias("w2"), F.col("n").alias("c1"))
-    return lookup(trigrams, side, ["w2"])
+    return with_counts(trigrams, side, ["w2"])
 
 
 def join_n1(trigrams: DataFrame, unigrams: DataFrame) -> DataFrame:
     """``n1``: count of the third word."""
     side = unigrams.select(F.col("w").alias("w3"), F.col("n").alias("n1"))
-    return lookup(trigrams, side, ["w3"])
+    return with_counts(trigrams, side, ["w3"])
 
 
 def join_c2(trigrams: DataFrame, bigrams: DataFrame) -> DataFrame:
     """``c2``: count of the first pair."""
     side = bigrams.select(F.col("a").alias("w1"), F.col("b").alias("w2"), F.col("n").alias("c2"))
-    return lookup(trigrams, side, ["w1", "w2"])
+    return with_counts(trigrams, side, ["w1", "w2"])
 
 
 def join_n2(trigrams: DataFrame, bigrams: DataFrame) -> DataFrame:
     """``n2``: count of the second pair."""
     side = bigrams.select(F.col("a").alias("w2"), F.col("b").alias("w3"), F.col("n").alias("n2"))
-    return lookup(trigrams, side, ["w2", "w3"])
+    return with_counts(trigrams, side, ["w2", "w3"])
 
 
 def attach_total(trigrams: DataFrame, total: DataFrame) -> DataFrame:
@@ -87,7 +99,7 @@ def pair_table(sums: DataFrame) -> DataFrame:
     pairs = pair_sums(sums)
     words = unigrams_of_pairs(pairs).select(F.col("w").alias("b"), F.col("n").alias("word_n"))
     counts = bigrams_of_pairs(pairs).withColumnRenamed("n", "pair_n")
-    return lookup(counts, words, ["b"])
+    return with_counts(counts, words, ["b"])
 
 
 def trigram_statistics(rows: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
@@ -110,7 +122,7 @@ def trigram_statistics(rows: DataFrame, wanted: DataFrame | None = None) -> Data
     kept = sums
     if wanted is not None:
         kept = lookup(sums, wanted.select("w1", "w2").distinct(), ["w1", "w2"], "left_semi")
-    joined = lookup(lookup(kept, first, ["w1", "w2"]), second, ["w2", "w3"])
+    joined = with_counts(with_counts(kept, first, ["w1", "w2"]), second, ["w2", "w3"])
     n3 = floor_double(F.col("s") / 3).alias("n3")
     return attach_total(
         joined.select(*WORDS, "n1", "n2", n3, "c1", "c2"), corpus_total(sums)

@@ -20,13 +20,18 @@ def sort_columns(order: str = "documented") -> list[Column]:
     raise ValueError(f"order is documented or legacy, not {order!r}")
 
 
-def rank_model(model: DataFrame, order: str = "documented") -> DataFrame:
+def rank_model(model: DataFrame, order: str = "documented", written: bool = False) -> DataFrame:
     """The model in a global order.
 
     A range partitioning on all four sort columns; as they are unique together,
-    the rows of one frequent pair may be cut over several partitions.
+    the rows of one frequent pair may be cut over several partitions. Spark samples the rows
+    for the borders before it sorts them, so the model is written first: the joins it comes from are made once. Borders
+    from counts that are known earlier would not do, for they say nothing of ``p`` and could not
+    cut a pair. ``written`` says that ``model`` is a table as it is.
     """
-    return model.orderBy(*sort_columns(order))
+    columns = sort_columns(order)
+    rows = model if written else materialised(model, "unranked")
+    return rows.orderBy(*columns)
 
 
 def with_position(ranked: DataFrame, name: str = "position") -> DataFrame:

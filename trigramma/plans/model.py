@@ -14,8 +14,8 @@ from trigramma.operators.filters import filter_alphabet, filter_arity, filter_st
 from trigramma.operators.joins import trigram_statistics
 from trigramma.operators.ranking import rank_model, top_next_words
 from trigramma.sources.readers import parse_ngrams, to_trigram, trigrams_from_text
-from trigramma.session import materialised
-from trigramma.sources.writers import write_stage
+from trigramma.session import materialised, run_folder
+from trigramma.sources.writers import stage_record, write_ranked_text, write_stage
 
 COUNTS = ("n1", "n2", "n3", "c0", "c1", "c2")
 
@@ -24,21 +24,35 @@ class RunCounts:
     """Records that a run passes on, counted by the run itself.
 
     ``get`` waits for the run to have read its lines; ``lines, bad lines, kept rows,
-    trigrams``. Give a new one to every run.
+    trigrams``. Give a new one to every run. A run that goes on from a finished stage reads no
+    lines; it has the counts that the stage was written with.
     """
 
     def __init__(self):
         self.names = ("lines", "bad lines", "kept rows", "trigrams")
         self.seen = {name: Observation() for name in self.names}
+        self.used: list[str] = []
+        self.kept: dict[str, int] | None = None
 
     def count(self, df: DataFrame, *names: str, bad: str | None = None) -> DataFrame:
         for name in names:
+            self.used.append(name)
             which = F.count_if(F.col(bad).isNull()) if name == "bad lines" else F.count(F.lit(1))
             df = df.observe(self.seen[name], which.alias("records"))
         return df
 
     def get(self) -> dict[str, int]:
-        return {name: self.seen[name].get["records"] for name in self.names}
+        if self.kept is None:
+            # Only what is counted somewhere in the plan will ever come.
+            self.kept = {name: self.seen[name].get["records"] for name in self.names if name in self.used}
+        return self.kept
+
+    def restore(self, kept: dict[str, int]) -> None:
+        """The counts of the run that wrote a stage, in place of those of a run that reads it."""
+        missing = [name for name in self.used if name not in kept]
+        if missing:
+            raise ValueError(f"the stage was written without counting {', '.join(missing)}")
+        self.kept = kept
 
 
 def kept_rows(
@@ -60,11 +74,17 @@ def kept_rows(
         parsed = parse_ngrams(lines, on_bad)
         if on_bad == "quarantine":
             parsed = parsed.where(F.col("bad_record").isNull()).drop("bad_record")
-    words = to_trigram(filter_arity(filter_alphabet(parsed, letters)))
-    rows = filter_stopwords(words, stop)
+    rows = kept_ngrams(parsed, stop, letters)
     return seen.count(rows, "kept rows") if seen else rows
 
 
+def kept_ngrams(
+    parsed: DataFrame, stop: DataFrame | Iterable[str] = HEBREW_STOPWORDS, letters: str = HEBREW
+) -> DataFrame:
+    """Parsed lines ``ngram, cnt`` that pass all filters, as ``w1, w2, w3, cnt``."""
+    return filter_stopwords(to_trigram(filter_arity(filter_alphabet(parsed, letters))), stop)
+
+
 def kept_text_rows(
     texts: DataFrame, stop: DataFrame | Iterable[str] = HEBREW_STOPWORDS, letters: str = HEBREW
 ) -> DataFrame:
@@ -109,14 +129,17 @@ def model_of(
 
     With ``stage_dir`` the sums and the statistics are kept there under their
     own names. A second start with the same ``stage_key``, the caller's name for the input
-    and its filters, goes on from the stages that are complete; a start with another key,
-    or without one, fails where a stage exists.
+    and its filters, goes on from the stages that are complete, and ``seen`` then has the counts of the
+    run that wrote them; a start with another key, or without one, fails where anything exists.
     """
     sums = trigram_sums(rows)
     if seen:
         sums = seen.count(sums, "trigrams")
     if stage_dir:
-        sums = write_stage(sums, f"{stage_dir}/trigram_sums", stage_key)
+        path = f"{stage_dir}/trigram_sums"
+        sums = write_stage(sums, path, stage_key, seen.get if seen else None)
+        if seen:
+            seen.restore(stage_record(sums.sparkSession, path)["facts"])
     else:
         sums = materialised(sums, "trigram_sums")
     statistics = trigram_statistics(sums, wanted)
@@ -142,6 +165,22 @@ def build_model(
     return model if order is None else rank_model(model, order)
 
 
+def write_model_text(
+    lines: DataFrame,
+    path: str,
+    stop: DataFrame | Iterable[str] = HEBREW_STOPWORDS,
+    letters: str = HEBREW,
+    order: str = "documented",
+    on_bad: str = "fail",
+    undefined: str = "nan",
+    seen: RunCounts | None = None,
+) -> None:
+    """Count lines to ranked text files in ``path``; the tables written on the way are gone afterwards."""
+    with run_folder(lines.sparkSession, "model"):
+        model = build_model(lines, stop, letters, order, on_bad, undefined, seen=seen)
+        write_ranked_text(model, path, order=order)
+
+
 def predict_from_rows(rows: DataFrame, pairs: DataFrame, k: int = 5) -> DataFrame:
     """The best ``k`` next words of the given pairs, straight from kept rows.
 

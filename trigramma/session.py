@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The folder of the run that is going on, below the shared one.
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
 # Settings the plans rely on. Every one of them is also the Spark default,
 # save the time zone; they are named here so that a session which switched
 # one off is easy to spot.
@@ -39,8 +47,8 @@ def local_session(app: str, cores: int | str = 8, **settings: str) -> SparkSessi
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, which all executors see.
 
-    Where it is unset, a local master gets a temporary folder; on a cluster a
-    machine-local folder would be wrong, so that is an error.
+    Where it is unset, a local master, of which all executors are this process, gets a temporary
+    folder, deleted when the process ends; on a cluster that would be wrong, so there it is an error.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
@@ -52,18 +60,56 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="trigramma-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, for a table written once."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder of the run, or of all runs, for a table written once."""
+    folder = _run_folder.get() or shared_folder(spark)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as parquet to the shared folder and read from there."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def hadoop(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and the path in its terms."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), there
+
+
+def clear(spark: SparkSession, path: str) -> None:
+    """Delete a folder of tables that nothing reads any more."""
+    files, there = hadoop(spark, path)
+    files.delete(there, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialised`` wrote, once the last plan that reads them has run."""
+    for table in tables:
+        clear(table.sparkSession, table._written_to)
+
+
+@contextmanager
+def run_folder(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """Tables written inside the block go to a folder of their own, which the end of the block deletes.
+
+    What the block makes must have been written elsewhere, or collected, by then: frames that read its
+    tables are of no use afterwards. Blocks may stand in one another.
+    """
+    path = scratch_path(spark, name)
+    before = _run_folder.set(path)
+    try:
+        yield path
+    finally:
+        _run_folder.reset(before)
+        clear(spark, path)

@@ -96,13 +96,68 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(scan: DataFrame, partitions: int) -> DataFrame:
-    """Deal the rows of a scan over ``partitions`` tasks.
+# Zones, at most, of which the borders are compared with every key that is asked for.
+ZONES = 100_000
 
-    For an input of one file or row group, which would leave a single task to do the work;
-    the caller knows, since it costs a shuffle of all columns.
+
+def read_zones(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
+    """The part of a stage laid out ``by`` some columns that may hold ``keys``.
+
+    ``keys`` has those columns. A first small job finds the zones whose borders take in a key, and
+    only their files are in the scan; within them the smallest and the largest key leave out row groups. Beyond
+    ``ZONES`` zones, or where nothing is known of them, all of the stage is read.
+    """
+    from trigramma.sources.writers import stage_record
+
+    record = stage_record(spark, path) or {}
+    stage = spark.read.parquet(path) if not record else spark.read.schema(record["schema"]).parquet(path)
+    by = record.get("by")
+    if not by:
+        return stage
+    borders = spark.read.parquet(f"{path}/_zones")
+    rows = stage.drop("zone")
+    # Keys become ranges of neighbours in the order of the zones: one row per zone and side, no pairs.
+    asked = keys.select(F.struct(*by).alias("low")).where(" AND ".join(f"low.`{c}` IS NOT NULL" for c in by)).distinct()
+    zones = borders.count()
+    if zones > ZONES:
+        return rows
+    listed = borders.select(F.array_sort(F.collect_list(F.struct("low", "high", "zone"))).alias("zones"))
+    found = asked.withColumn("zones", listed.scalar()).select(
+        "low",
+        F.explode(F.transform(
+            F.filter("zones", lambda z: (z["low"] <= F.col("low")) & (F.col("low") <= z["high"])), lambda z: z["zone"]
+        )).alias("zone"),
+    )
+    seen = found.agg(
+        F.collect_set("zone").alias("zones"), F.min(f"low.{by[0]}").alias("least"), F.max(f"low.{by[0]}").alias("most")
+    ).first()
+    return stage.where(F.col("zone").isin(seen.zones) & F.col(by[0]).between(seen.least, seen.most)).drop("zone")
+
+
+def convert_ngram_seq(spark: SparkSession, path: str, stage: str, key: str, on_bad: str = "fail") -> DataFrame:
+    """Parsed lines of a SequenceFile, ``ngram, cnt``, as a stage that is made once.
+
+    Lines pass through Python when the stage is written; whoever comes with the same ``key``, the
+    caller's name for the files and their state, reads the parsed columns.
     """
-    return scan.repartition(partitions)
+    from trigramma.sources.writers import write_stage
+
+    return write_stage(parse_ngrams(read_ngram_seq(spark, path), on_bad), stage, key)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a small scan over all cores.
+
+    An input of one file or row group would leave a single task to do the work. One that fills
+    a split per core (``spark.sql.files.maxPartitionBytes``) keeps its own splits and is not shuffled.
+    """
+    spark = scan.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    held = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return scan if int(str(held)) >= cores * split else scan.repartition(cores)
 
 
 def trigrams_from_text(df: DataFrame, text: str | Column = "text", *keep: str) -> DataFrame:
