@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trigramma.operators.joins import lookup
-from trigramma.session import materialised
+from trigramma.session import discard, materialised
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -47,6 +47,16 @@ def rows_with(df: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFram
     return rows.join(listed, F.col("doc_id").eqNullSafe(F.col("id")), how).select("row.*")
 
 
+def meet(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """Rows of ``left`` with those of ``right``, a written table unique on ``on``, whose key is not null.
+
+    A small table goes to the rows, which stay where they are; a larger one meets them in a shuffle.
+    """
+    if right.count() <= FEW:
+        return left.join(F.broadcast(right), on)
+    return lookup(left, right, [on])
+
+
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``node, root`` for every node of ``edges(a, b)``; the root is the smallest node.
 
@@ -82,7 +92,8 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         # Done when every node has one parent and no parent has one of its own.
         many = step.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("b")
         chained = step.join(step.select(F.col("b").alias("a")), "a", "left_semi").select("b")
-        pairs = step
+        done, pairs = pairs, step
+        discard(done)
         if many.unionByName(chained).isEmpty():
             break
     else:

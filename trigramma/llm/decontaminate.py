@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trigramma.llm.common import ascii_lower, rows_with, whole_rows
-from trigramma.session import materialised
+from trigramma.session import materialised, run_folder, scratch_path
 
 WINDOW = 10
 K = 5
@@ -158,6 +158,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without a word inside a benchmark window; see ``contamination`` for rows without ``doc_id``."""
     docs = documents.select(_key().alias("doc_id"), "text")
-    found = materialised(find_hits(docs, benchmark.select("item_id", "text")).select("doc_id").distinct(), "hits")
+    path = scratch_path(documents.sparkSession, "hits")
+    with run_folder(documents.sparkSession, "meetings"):
+        find_hits(docs, benchmark.select("item_id", "text")).select("doc_id").distinct().write.parquet(path)
+    found = documents.sparkSession.read.parquet(path)
     rows = whole_rows(documents, "doc_id", "text").select("row", _key().alias("doc_id"))
     return rows_with(rows, found, "left_anti").select("row.*")

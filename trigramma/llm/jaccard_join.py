@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from trigramma.llm.common import connected_components, rows_with
 from trigramma.llm.texts import chained, name_of, parts, raw, word_hashes
-from trigramma.session import materialised
+from trigramma.operators.joins import lookup
+from trigramma.session import materialised, run_folder, scratch_path
 
 # Words of a shingle and similarity of a link, as op2_jaccard_join has them.
 SHINGLE = 4
@@ -45,6 +46,8 @@ WIDER = 0.35
 TILE = 256
 # Rows of names (some 60 bytes each) up to which the texts they ask for are not shuffled.
 FEW = 500_000
+# Names that a task remembers, to leave out copies.
+NAMES = 100_000
 # Weight of a probe against a step of the heap, in the choice of the number of long lists.
 MU = 0.01
 
@@ -80,28 +83,34 @@ def looked_at(n: int, percent: int = PERCENT) -> int:
     return n - least_overlap(n, percent) + 1 + int(SPARE * n)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Name and size of every text's set, and the hashes of the lists to be looked at.
+def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Name and size of every text's set."""
+    for batch in batches:
+        sets = list(shingle_sets(batch["text"].to_pylist(), size))
+        names = [name_of(s) for s in sets]
+        yield pa.RecordBatch.from_arrays(
+            [batch["doc_id"], pa.array(map(len, sets), pa.int64()), *[pa.array([n[i] for n in names], pa.int64()) for i in range(2)]],
+            ["doc_id", "n", "s1", "s2"],
+        )
+
 
-    Of copies in one task only the first has them.
+def _heads(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Half a name of every set, and the hashes of the lists to be looked at.
+
+    Of copies that lie close together only the first has them.
     """
     seen: set[tuple[int, int]] = set()
     for batch in batches:
-        names, sizes, heads = [], [], []
+        names, heads = [], []
         for s in shingle_sets(batch["text"].to_pylist(), size):
             name = name_of(s)
-            heads.append(s[: 0 if name in seen else looked_at(len(s), percent)].view(np.int64))
+            if len(s) and name not in seen:
+                heads.append(s[: looked_at(len(s), percent)].view(np.int64))
+                names.append(name[0])
+            if len(seen) >= NAMES:
+                seen.clear()
             seen.add(name)
-            names.append(name)
-            sizes.append(len(s))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch["doc_id"], pa.array(sizes, pa.int64()),
-                *[pa.array([n[i] for n in names], pa.int64()) for i in range(2)],
-                _lists(heads),
-            ],
-            ["doc_id", "n", "s1", "s2", "heads"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), _lists(heads)], ["s1", "heads"])
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -250,13 +259,23 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, percent: int = PE
     Extra columns are not read.
     """
     docs = documents.select("doc_id", "text")
+    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sets = materialised(
-        docs.mapInArrow(
-            partial(_sets, size=size, percent=percent), f"doc_id {kind}, n long, s1 long, s2 long, heads array<long>"
-        ),
-        "sets",
+    sets = materialised(docs.mapInArrow(partial(_sets, size=size), f"doc_id {kind}, n long, s1 long, s2 long"), "sets")
+    path = scratch_path(spark, "classes")
+    # Whatever else is written on the way goes.
+    with run_folder(spark, "links"):
+        _facts(docs, sets, size, percent).write.parquet(path)
+    with_words = sets.where("n > 0").join(spark.read.parquet(path), ["s1", "s2"])
+    return with_words.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links").unionByName(
+        sets.where("n = 0").select(
+            "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")
+        )
     )
+
+
+def _facts(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
+    """``s1, s2, component_id, n_links`` of every class."""
     linked = class_links(docs, sets, size, percent)
     edges = linked.where("other is not null").select(F.col("name").alias("a"), F.col("other").alias("b"))
     roots = materialised(
@@ -268,15 +287,9 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, percent: int = PE
     )
     smallest = classes.groupBy("r1", "r2").agg(F.min("least").alias("component_id"))
     degree = linked.groupBy("name").agg(F.sum("n_links").alias("n_links")).select("name.*", "n_links")
-    facts = (
-        classes.join(smallest, ["r1", "r2"]).join(degree, ["s1", "s2"], "left")
-                .select("s1", "s2", "component_id", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    )
-    with_words = sets.where("n > 0").join(materialised(facts, "classes"), ["s1", "s2"])
-    return with_words.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links").unionByName(
-        sets.where("n = 0").select(
-            "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")
-        )
+    return (
+        lookup(classes, smallest, ["r1", "r2"]).join(degree, ["s1", "s2"], "left")
+        .select("s1", "s2", "component_id", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
 
 
@@ -285,11 +298,15 @@ def keep_one(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
 
     The smallest ``doc_id`` stays; of rows that repeat it, one. Documents without words or
     without an id are linked with nothing that could take their place, and stay, unless a
-    document with an id stands for their group.
+    document with an id stands for their group. An empty table gives an empty result.
     """
-    found = near_duplicates(documents, size, percent)
+    spark = documents.sparkSession
     stay = F.col("component_id").eqNullSafe(F.col("doc_id"))
-    kept = materialised(found.where(stay).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
+    path = scratch_path(spark, "kept")
+    with run_folder(spark, "near"):
+        found = near_duplicates(documents, size, percent).where(stay)
+        found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    kept = spark.read.parquet(path)
     single = rows_with(documents, kept.where("rows = 1 or doc_id is null"))
     several = rows_with(documents, kept.where("rows > 1 and doc_id is not null"))
     return single.unionByName(several.dropDuplicates(["doc_id"]))
@@ -339,13 +356,16 @@ def _clusters(short: DataFrame) -> DataFrame:
     met = short.join(heads.where("head <> last"), "hash").where("name <> head")
     found = connected_components(met.select(F.col("head").alias("a"), F.col("name").alias("b")))
     sizes = found.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    return materialised(found.join(sizes, "root").select("node.*", "root", "size"), "clusters")
+    # A large cluster is cut up, not met in one task.
+    return materialised(lookup(found, sizes, ["root"]).select("node.*", "root", "size"), "clusters")
 
 
 def class_links(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """``name, other, n_links``: partial counts of links, and links that span the components."""
     classes = materialised(_classes(sets), "classes")
-    first = _shared(sets.where("n > 0").select("s1", F.explode("heads").alias("hash")))
+    # Read twice, and made twice: written, the hashes would be nearly as large as the texts.
+    heads = docs.select("text").mapInArrow(partial(_heads, size=size, percent=percent), "s1 long, heads array<long>")
+    first = _shared(heads.select("s1", F.explode("heads").alias("hash")))
     members = _members(docs, classes, _clusters(_short(first, classes, SPARE, percent)), size)
     n = F.size("shingles")
     wide = F.slice("shingles", 1, (n - F.ceil(n * percent / 100) + 1 + F.floor(n * WIDER)).cast("int"))

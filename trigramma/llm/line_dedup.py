@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trigramma.llm.common import whole_rows
+from trigramma.llm.common import meet, rows_with, whole_rows
 from trigramma.operators.joins import lookup
-from trigramma.session import materialised
+from trigramma.session import materialised, run_folder, scratch_path
 
 # Lines that decide on a boundary, and one boundary among how many lines.
 ROLL = 2
@@ -80,7 +80,7 @@ def repeated_chunks(documents: DataFrame) -> DataFrame:
     counted = chunks.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     again = materialised(counted.where(~F.col("first").eqNullSafe(F.col("last"))).select("key", "first"), "chunk_keys")
     found = materialised(
-        lookup(chunks, again, ["key"]).select("doc_id", "idx", "text", "key", place.eqNullSafe(F.col("first")).alias("kept")),
+        meet(chunks, again, "key").select("doc_id", "idx", "text", "key", place.eqNullSafe(F.col("first")).alias("kept")),
         "chunks",
     )
     # Rows that repeat a doc_id have the same places; of them one text is compared.
@@ -89,6 +89,27 @@ def repeated_chunks(documents: DataFrame) -> DataFrame:
     return materialised(same.groupBy("doc_id").agg(F.collect_set("idx").alias("removed")), "removed")
 
 
+def _kept_table(documents: DataFrame, found) -> DataFrame:
+    """``found(doc_id, text)`` as a written table; what it writes on the way is gone."""
+    spark = documents.sparkSession
+    path = scratch_path(spark, "removed")
+    with run_folder(spark, "lines"):
+        found(documents.select("doc_id", "text")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _touched(documents: DataFrame, key: Column, removed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that stay as they are, and ``row, text, removed`` of the others.
+
+    Rows stay where they are, unless very many are touched; of those that are, only these are shuffled.
+    """
+    rows = whole_rows(documents, "doc_id", "text").select("row", "text", key.alias("doc_id"))
+    ids = removed.select(F.col("key").alias("doc_id"))
+    left = rows_with(rows, ids, "left_anti").select("row.*")
+    some = rows_with(rows, ids).withColumnRenamed("doc_id", "key")
+    return left, lookup(some, removed, ["key"]).select("row", "text", "removed")
+
+
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """``documents`` with all its columns, repeated chunks taken out of ``text``.
 
@@ -97,10 +118,10 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     that repeat a ``doc_id`` are versions of one document: a chunk is taken out of all of them
     or none. An empty table gives an empty result.
     """
-    removed = repeated_chunks(documents.select("doc_id", "text")).withColumnRenamed("doc_id", "id")
-    joined = whole_rows(documents, "doc_id", "text").join(removed, F.col("doc_id").eqNullSafe(F.col("id")), "left")
-    left = joined.where("removed is null").select("row.*")
-    changed = with_chunks(joined.where("removed is not null"), "row", "removed")
+    key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    removed = _kept_table(documents, lambda docs: repeated_chunks(docs).select(key.alias("key"), "removed"))
+    left, joined = _touched(documents, key, removed)
+    changed = with_chunks(joined, "row", "removed")
     kept = F.filter("chunks", lambda c: ~F.array_contains("removed", c["idx"]))
     text = F.array_join(F.transform(kept, lambda c: _text_of(c["first"], c["last"])), "\n")
     row = F.col("row").withField("text", F.col("text"))
@@ -173,14 +194,11 @@ def dedup_passages(documents: DataFrame) -> DataFrame:
     has it. Every document stays, maybe with an empty text; a null text stays null. Versions
     of one ``doc_id`` are texts of their own. An empty table gives an empty result.
     """
-    removed = repeated_windows(documents.select("doc_id", "text")).select(
-        F.col("doc_id").alias("id"), F.col("version").alias("of"), "removed"
-    )
-    joined = whole_rows(documents, "doc_id", "text").withColumn("version", F.xxhash64("text")).join(
-        removed, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("version") == F.col("of")), "left"
-    )
-    left = joined.where("removed is null").select("row.*")
-    lines = _once(joined.where("removed is not null"), F.split("text", "\n"), "lines", "row", "removed")
+    id_of = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    key = lambda version: F.concat_ws(":", version.cast("string"), id_of)
+    removed = _kept_table(documents, lambda docs: repeated_windows(docs).select(key(F.col("version")).alias("key"), "removed"))
+    left, joined = _touched(documents, key(F.xxhash64("text")), removed)
+    lines = _once(joined, F.split("text", "\n"), "lines", "row", "removed")
     kept = _once(
         lines, F.array_except(F.sequence(F.lit(1), F.size("lines")), "removed"), "kept", "row", "lines"
     )
