@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from trigramma.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing
 from trigramma.llm.common import table
 from trigramma.llm.queries import TARGETS
-from trigramma.session import materialised, scratch_path
+from trigramma.session import scratch_path
 
 
 def determined_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +38,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return line_dedup.dedup_passages(materialised(clean, "clean"))
+    return line_dedup.dedup_passages(decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark")))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
