@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from trigramma.functions.scalar import phrase
 from trigramma.operators.ranking import sort_columns
-from trigramma.session import clear, hadoop
+from trigramma.session import clear, discard, hadoop, materialised
 
 # What a stage is, in a file of its folder that Parquet readers pass over.
 RECORD = "_stage.json"
@@ -67,8 +67,11 @@ def _write(df: DataFrame, path: str, by: list[str] | None) -> str:
     spark = df.sparkSession
     # All columns take part, so that rows of one hot key may lie in several zones.
     order = [*by, *[c for c in df.columns if c not in by]]
-    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The borders are sampled, so what the rows come from would run twice.
+    rows = materialised(df, "unzoned")
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     sorted_rows.withColumn("zone", F.spark_partition_id()).write.partitionBy("zone").parquet(path)
+    discard(rows)
     zoned = spark.read.schema(f"{_ddl(df)}, zone int").parquet(path)
     borders = zoned.groupBy("zone").agg(F.min(F.struct(*by)).alias("low"), F.max(F.struct(*by)).alias("high"))
     borders.coalesce(1).write.parquet(f"{path}/_zones")
