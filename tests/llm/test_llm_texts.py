@@ -424,3 +424,45 @@ def test_random_tokens_are_told_from_words(spark):
         for span in filter(None, r.spans.split(",")):
             _, a, b = span.split(":")
             assert re.search(r"[0-9A-Z+/]", text[r.doc_id][int(a) : int(b)])
+
+
+def likelihood(evidence, counts, gold, moves):
+    """Log-likelihood of ``gold``, over all ways to label each text."""
+    from itertools import product
+
+    total, at = 0.0, 0
+    langs = range(len(moves))
+    for n in counts:
+        def weight(path):
+            start = sum(math.exp(moves[i][path[0]]) for i in langs)
+            steps = sum(moves[a][b] for a, b in zip(path, path[1:]))
+            return start * math.exp(steps + sum(evidence[at + k][y] for k, y in enumerate(path)))
+
+        if n:
+            total += math.log(weight(gold[at : at + n]) / sum(weight(p) for p in product(langs, repeat=n)))
+        at += n
+    return total
+
+
+def test_slopes_are_those_of_the_likelihood():
+    dice = np.random.default_rng(4)
+    counts = np.array([3, 1, 0, 6])
+    evidence, moves = dice.normal(size=(10, 3)), dice.normal(size=(3, 3))
+    gold = dice.integers(0, 3, 10)
+    words, pairs = language_id.slopes(evidence, counts, gold, moves)
+    for found, place in ((words, evidence), (pairs, moves)):
+        for at in np.ndindex(place.shape):
+            kept, values = place[at], []
+            for step in (1e-5, -1e-5):
+                place[at] = kept + step
+                values.append(likelihood(evidence, counts, gold, moves))
+            place[at] = kept
+            assert found[at] == pytest.approx((values[0] - values[1]) / 2e-5, abs=1e-6)
+
+
+def test_rows_without_id_are_kept_by_their_own_text(spark):
+    by = {"en": "the cat sat on the mat and looked at the dog", "fr": "le chat est sur la table et regarde le chien"}
+    rows = [(i, by[k] * 3, k) for i, k in enumerate(["en", "fr"] * 10)]
+    rows += [(None, by["en"] * 2, "en"), (None, "12 34 !!", "en"), (None, None, None)]
+    kept = language_id.keep_determined(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert [r.text for r in kept.collect() if r.doc_id is None] == [by["en"] * 2]

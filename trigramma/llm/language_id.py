@@ -6,7 +6,7 @@ transitions between languages are learned together, from labelled texts of which
 are strung together as code-switched text would be. Forward-backward then gives every
 word its probability of each language, and a document the language with the most words.
 
-The field is fitted on the driver from a bounded sample of labelled rows; every whole
+The field is fitted on the driver from whole texts of a bounded number of labelled rows; every whole
 text is labelled in the tasks, a batch at a time.
 """
 
@@ -21,13 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trigramma.llm.common import rows_with
+from trigramma.llm.common import rows_with, whole_rows
 from trigramma.llm.texts import mixed, parts
 from trigramma.session import materialised
 
-# Bounds of what is learned from: texts per language, characters of each.
-SAMPLE_TEXTS = 300
-SAMPLE_CHARS = 2_000
+# Bound of what is learned from: whole texts per language.
+SAMPLE_TEXTS = 150
 LEXICON = 400
 ORDERS = (2, 3, 4)
 # Weights of all n-grams and languages together, in bytes: what every task receives.
@@ -130,13 +129,15 @@ class Field:
 
 
 def marginal_sums(
-    evidence: np.ndarray, counts: np.ndarray, moves: np.ndarray, each: bool = False, kind: type = np.float64
-) -> np.ndarray:
+    evidence: np.ndarray, counts: np.ndarray, moves: np.ndarray, each: bool = False, kind: type = np.float64,
+    messages: bool = False,
+) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
     """Sum over the words of every text of their probabilities of each language.
 
     Forward-backward over blocks of words, all blocks of a batch side by side: first the
     product of each block's steps, then the messages between the blocks of a text, then the
-    words inside the blocks. With ``each`` the probabilities of every word instead.
+    words inside the blocks. With ``each`` the probabilities of every word instead; with ``messages`` what
+    comes to every word from before (its own evidence included) and from behind.
     """
     langs = moves.shape[0]
     step = np.exp(moves - moves.max()).astype(kind)
@@ -144,7 +145,8 @@ def marginal_sums(
     first = np.cumsum(lots) - lots
     total = int(lots.sum())
     if not total:
-        return np.zeros((len(counts), langs)) if not each else np.zeros((0, langs))
+        none = np.zeros((0, langs))
+        return (none, none) if messages else none if each else np.zeros((len(counts), langs))
     texts = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(texts)) - np.repeat(np.cumsum(counts) - counts, counts)
     row, column = first[texts] + place // BLOCK, place % BLOCK
@@ -179,7 +181,10 @@ def marginal_sums(
         forward[:, t] = ahead
     back = leave
     sums = np.zeros((total, langs))
+    behind = np.empty_like(forward) if messages else None
     for t in range(BLOCK - 1, -1, -1):
+        if messages:
+            behind[:, t] = back
         both = forward[:, t] * back
         both /= both.sum(axis=1, keepdims=True)
         both[~there[:, t]] = 0
@@ -188,6 +193,8 @@ def marginal_sums(
             forward[:, t] = both
         moved = (factor[:, t] * back) @ step.T
         back = np.where(there[:, t, None], moved / moved.sum(axis=1, keepdims=True), back)
+    if messages:
+        return forward[row, column], behind[row, column]
     if each:
         return forward[row, column]
     out = np.zeros((len(counts), langs))
@@ -195,6 +202,36 @@ def marginal_sums(
     return out
 
 
+def slopes(
+    evidence: np.ndarray, counts: np.ndarray, gold: np.ndarray, moves: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """How the log-likelihood of ``gold`` changes with every word's evidence, and with the moves.
+
+    What was seen less what is expected. Expected moves are the probabilities of pairs of neighbours, from the
+    messages before the first and behind the second. Before its first word a text is in any language,
+    as ``marginal_sums`` has it; that move is seen in part only, and counted by its probability.
+    """
+    before, behind = marginal_sums(evidence, counts, moves, messages=True)
+    seen = before * behind
+    error = -seen / seen.sum(axis=1, keepdims=True)
+    error[np.arange(len(gold)), gold] += 1
+    step = np.exp(moves - moves.max())
+    own = np.exp(np.maximum(evidence - evidence.max(axis=1, keepdims=True), -60)) * behind
+    ends = np.cumsum(counts)
+    inner = np.ones(len(gold), bool)
+    inner[ends[counts > 0] - 1] = False
+    at = np.flatnonzero(inner)
+    pairs = before[at, :, None] * step[None] * own[at + 1, None, :]
+    first = (ends - counts)[counts > 0]
+    opened = step[None] * own[first, None, :]
+    moved = np.zeros_like(moves)
+    for joint in (pairs, opened):
+        moved -= (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+    np.add.at(moved, (gold[at], gold[at + 1]), 1)
+    moved += (step / step.sum(axis=0)) * np.bincount(gold[first], minlength=len(moves))
+    return error, moved
+
+
 def fit(texts: list[str], labels: list[str], seed: int = 7, epochs: int = 8) -> Field:
     """A field from labelled texts, in any order of the rows the same."""
     langs = sorted(set(labels))
@@ -258,23 +295,13 @@ def fit(texts: list[str], labels: list[str], seed: int = 7, epochs: int = 8) ->
             for k, (found, owner) in enumerate(features):
                 for j in range(size):
                     evidence[:, j] += np.bincount(owner, field.grams[k][found, j], len(gold))
-            near = marginal_sums(evidence, counts, field.moves, each=True)
-            error = -near
-            error[np.arange(len(gold)), gold] += 1
-            # Expected moves, from the marginals of neighbours tied by their pair potentials.
-            inner = np.ones(len(gold), bool)
-            inner[np.cumsum(counts) - 1] = False
-            at = np.flatnonzero(inner)
-            joint = near[at, :, None] * np.exp(field.moves - field.moves.max())[None] * near[at + 1, None, :]
-            joint /= joint.sum(axis=(1, 2), keepdims=True)
-            moved = -joint.sum(axis=0)
-            np.add.at(moved, (gold[at], gold[at + 1]), 1)
-            slopes = [np.zeros_like(field.grams), np.zeros_like(field.lexical), moved / len(gold)]
+            error, moved = slopes(evidence, counts, gold, field.moves)
+            turns = [np.zeros_like(field.grams), np.zeros_like(field.lexical), moved / len(gold)]
             for j in range(size):
-                slopes[1][:, j] = np.bincount(lexical, error[:, j], len(field.lexical)) / len(gold)
+                turns[1][:, j] = np.bincount(lexical, error[:, j], len(field.lexical)) / len(gold)
                 for k, (found, owner) in enumerate(features):
-                    slopes[0][k, :, j] = np.bincount(found, error[owner, j], (1 << bits) + 1) / len(gold)
-            for weight, square, slope in zip((field.grams, field.lexical, field.moves), squares, slopes):
+                    turns[0][k, :, j] = np.bincount(found, error[owner, j], (1 << bits) + 1) / len(gold)
+            for weight, square, slope in zip((field.grams, field.lexical, field.moves), squares, turns):
                 square += slope**2
                 weight += (0.2 * slope / np.sqrt(square)).astype(weight.dtype)
     return field
@@ -287,13 +314,12 @@ def held_out(doc_id: Column) -> Column:
 def learn(documents: DataFrame) -> Field | None:
     """The field of the labelled rows of ``documents(doc_id, text, lang)``; None without any.
 
-    At most ``SAMPLE_TEXTS`` rows per language, those of the smallest hash of the id, and
-    ``SAMPLE_CHARS`` characters of each.
+    At most ``SAMPLE_TEXTS`` rows per language, those of the smallest hash of the id; their texts are whole.
     """
     rows = documents.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text"))
     chosen = (
-        rows.select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+        rows.select("doc_id", "lang", "text")
         .withColumn("rank", rank).where(F.col("rank") <= SAMPLE_TEXTS)
         .select("text", "lang").toArrow()
     )
@@ -348,10 +374,13 @@ def keep_determined(documents: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents of which most words are of one language; all their columns.
 
     A document is rejected if it has no letter, or if no language has ``least`` of its words.
-    Rows that repeat a ``doc_id`` stay if one of them does; rows without an id go by
-    themselves only if all such rows are rejected.
+    Null texts have none, so they go. Rows that repeat a ``doc_id`` stay if one of them does; rows without an id are
+    judged by their own text. An empty table gives an empty result.
     """
+    key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.sha2("text", 256))
     docs = documents.select("doc_id", "text", "lang")
-    found = label(docs, learn(docs))
+    found = label(docs.select(key.alias("doc_id"), "text"), learn(docs))
     good = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
-    return rows_with(documents, materialised(good.select("doc_id").distinct(), "determined"))
+    listed = materialised(good.select("doc_id").distinct(), "determined")
+    rows = whole_rows(documents, "doc_id", "text").select("row", key.alias("doc_id"))
+    return rows_with(rows, listed).select("row.*")
