@@ -196,54 +196,8 @@ def test_rows_without_an_id_are_decontaminated_by_their_text(spark):
     ]
 
 
-def brute_dedup(rows):
-    """The rule of the module in plain Python, rows by ascending id."""
-    import hashlib
-    import re
-
-    seen, out = set(), []
-    for doc_id, text in rows:
-        if text is None:
-            out.append((doc_id, 0, 0, None))
-            continue
-        lines = text.split("\n")
-        hashes = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
-        kept, chunks, gone, first = [], 0, 0, 0
-        for i, h in enumerate(hashes):
-            if i == len(lines) - 1 or (h + 31 * (hashes[i - 1] if i else 0)) % 3 == 0:
-                part = lines[first : i + 1]
-                chunk = "\n".join(part)
-                if len(part) > 1 and re.search(r"\S", chunk) and chunk in seen:
-                    chunks, gone = chunks + 1, gone + len(part)
-                else:
-                    seen.add(chunk)
-                    kept += part
-                first = i + 1
-        out.append((doc_id, chunks, gone, "\n".join(kept)))
-    return out
-
-
-def test_line_dedup_against_brute_force(spark, odd):
-    rnd = random.Random(2)
-    passage = [f"passage line {i}" for i in range(12)]
-    rows = [(i, None if i == 7 else "") for i in range(6, 8)]
-    for i in range(10, 60):
-        lines = [f"line {rnd.randrange(10**6)}" for _ in range(rnd.randrange(0, 12))]
-        at = rnd.randrange(len(lines) + 1)
-        rows.append((i, "\n".join(lines[:at] + passage[rnd.randrange(3) :] + ["", ""] + lines[at:])))
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    found = sorted(map(tuple, line_dedup.line_dedup_report(df).collect()))
-    assert found == brute_dedup(rows)
-    assert sum(r[2] for r in found) > 200
-    again = line_dedup.dedup_lines(odd)
-    assert again.columns == odd.columns and again.count() == len(ROWS)
-    assert {(r.doc_id, r.text) for r in line_dedup.dedup_lines(df).collect()} == {(r[0], r[3]) for r in brute_dedup(rows)}
-    counted = spark.createDataFrame(wide([(*r, "en", "a") for r in rows]), SCHEMA)
-    assert all(r.text is None or r.n_chars == len(r.text) for r in line_dedup.dedup_lines(counted).collect())
-
-
 def brute_runs(rows):
-    """Texts without the lines of any run that occurred before, every place against every one before it."""
+    """What is left of each text, and runs and lines that go: every place against every one before it."""
     lines = [(i, n) for i, (_, text) in enumerate(rows) for n in range(len((text or "").split("\n")))]
     cut = [(text or "").split("\n") for _, text in rows]
     gone = [set() for _ in rows]
@@ -255,14 +209,15 @@ def brute_runs(rows):
             solid = [k for k in range(n, n + same) if cut[i][k].strip()]
             if len(solid) > 1:
                 gone[i] |= set(range(solid[0], solid[-1] + 1))
-    return {
-        doc_id: text and "\n".join(x for k, x in enumerate(cut[i]) if k not in gone[i])
+    return sorted(
+        (doc_id, sum(k - 1 not in gone[i] for k in gone[i]), len(gone[i]),
+         text and "\n".join(x for k, x in enumerate(cut[i]) if k not in gone[i]))
         for i, (doc_id, text) in enumerate(rows)
-    }
+    )
 
 
-def test_passages_against_brute_force(spark, odd, none):
-    """Short passages in foreign lines, which the chunks of the module mostly leave."""
+def test_line_dedup_against_brute_force(spark, odd):
+    """Passages of two lines and more, whole and in parts, in foreign lines; blank lines; repeats inside a text."""
     rnd = random.Random(4)
     passages = [[f"passage {p} line {i}" if i % 4 != 2 else "" for i in range(k)] for p, k in enumerate((2, 2, 4, 5, 10))]
     rows = [(1, None), (2, ""), (3, "x\n\n"), (4, "x\n\n"), (5, "r\nr\nr\nr"), (6, "\n\ny\n")]
@@ -273,14 +228,27 @@ def test_passages_against_brute_force(spark, odd, none):
             lines[at:at] = p[start : start + rnd.randrange(2, 11)]
         rows.append((i, "\n".join(lines)))
     df = spark.createDataFrame(wide([(*r, "en", "a") for r in rows]), SCHEMA)
-    found = line_dedup.dedup_passages(df)
-    assert found.columns == df.columns
-    got = {r.doc_id: r for r in found.collect()}
     want = brute_runs(rows)
-    assert {i: r.text for i, r in got.items()} == want
-    assert all(r.text is None or r.n_chars == len(r.text) for r in got.values())
-    size = lambda texts: sum(len(t or "") for t in texts)
-    assert size(want.values()) < size(r[3] for r in brute_dedup(rows))
-    again = line_dedup.dedup_passages(odd)
+    assert sorted(map(tuple, line_dedup.line_dedup_report(df).collect())) == want
+    assert sum(w[1] for w in want) > 30 and sum(w[2] for w in want) > 100
+    found = line_dedup.dedup_lines(df)
+    assert found.columns == df.columns
+    got = found.collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(w[0], w[3]) for w in want]
+    assert all(r.text is None or r.n_chars == len(r.text) for r in got)
+    again = line_dedup.dedup_lines(odd)
     assert again.columns == odd.columns and again.count() == len(ROWS)
-    assert line_dedup.dedup_passages(none).count() == 0
+
+
+def test_lines_count_as_seen_by_their_bytes(spark, monkeypatch):
+    """Also where the rolling hash of all lines is the same."""
+    from pyspark.sql import functions as F
+
+    class Same:
+        def __getattr__(self, name):
+            return (lambda *columns: F.lit(7).cast("long")) if name == "xxhash64" else getattr(F, name)
+
+    rows = [(1, "a\nb\nc"), (2, "d\ne\nf"), (3, "a\nb\nx"), (4, "b\nc\nd\ne")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(line_dedup, "F", Same())
+    assert sorted(map(tuple, line_dedup.line_dedup_report(df).collect())) == brute_runs(rows)

@@ -1,11 +1,12 @@
 """Passages of several lines that repeat across documents, found by content-defined chunks.
 
-A rolling hash over the hashes of neighbouring lines says where a chunk ends, so that a
-passage is cut at the same lines wherever it stands and whatever comes before it. Chunks
-of two and more lines that occur again are compared byte by byte with their first
-occurrence, and removed. Chunks at the ends of a passage take in lines around it, so this
-leaves most short passages; ``dedup_passages`` takes out all that repeats. Everything is
-DataFrame code.
+A rolling hash runs over the hashes of every two neighbouring lines that are not blank. It does not depend on
+where a passage stands or on what is around it, so hashes that are met twice anywhere mark the
+shared lines, and the places where marks begin and end are the boundaries of chunks: each is the
+longest run of lines that occurred before, whatever its length from two lines on. (Boundaries
+set by the hash value alone, one in three lines, leave the ends of most passages in chunks
+with foreign lines; measured, they found half of the repeated lines.) Two lines
+count as seen before only if their bytes are. Everything is DataFrame code.
 """
 
 from __future__ import annotations
@@ -17,194 +18,119 @@ from trigramma.llm.common import meet, rows_with, whole_rows
 from trigramma.operators.joins import lookup
 from trigramma.session import materialised, run_folder, scratch_path
 
-# Lines that decide on a boundary, and one boundary among how many lines.
-ROLL = 2
-EVERY = 3
-BASE = 31
-
 
 def _once(df: DataFrame, value: Column, name: str, *keep: str) -> DataFrame:
     """``keep`` and ``value``, worked out once per row: nothing moves through a generator."""
     return df.select(*keep, F.explode(F.array(value)).alias(name))
 
 
-def with_chunks(texts: DataFrame, *keep: str) -> DataFrame:
-    """``keep, lines, chunks`` of ``texts(keep, text)``; chunks are ``(idx, first, last)`` lines from 1.
+def _text_of(first: Column, last: Column) -> Column:
+    return F.array_join(F.slice("lines", first, last - first + 1), "\n")
 
-    A null text has no lines and no chunks; an empty one is one empty line.
-    """
-    cut = F.coalesce(F.split("text", "\n"), F.array().cast("array<string>"))
-    lines = _once(texts, cut, "lines", *keep)
-    hashed = _once(
-        lines, F.transform("lines", lambda x: F.conv(F.substring(F.md5(x), 1, 7), 16, 10).cast("long")),
-        "hashes", *keep, "lines",
-    )
 
-    def ends(i: Column) -> Column:
-        rolled = F.lit(0)
-        for back in range(ROLL):
-            rolled = rolled + F.coalesce(F.get("hashes", i - 1 - back), F.lit(0)) * BASE**back
-        return (i == F.size("hashes")) | (rolled % EVERY == 0)
+def _windows(texts: DataFrame, *keep: str) -> DataFrame:
+    """``keep, lines, first, last, key``: every line that is not blank, to the next one that is not.
 
-    numbers = F.when(F.size("hashes") > 0, F.sequence(F.lit(1), F.size("hashes")))
-    cuts = _once(
-        hashed, F.coalesce(F.filter(numbers, ends), F.array().cast("array<int>")), "cuts", *keep, "lines"
+    Any run of lines that has two and more of them, and begins and ends with one, is made of
+    such windows: it occurred before if, and only if, they did in a row. ``key`` is the rolling
+    hash of the two lines; blank lines between do not enter it.
+    """
+    lines = _once(texts.where("text is not null"), F.split("text", "\n"), "lines", *keep)
+    numbers = F.sequence(F.lit(1), F.size("lines"))
+    solid = F.transform(
+        F.filter(numbers, lambda i: F.get("lines", i - 1).rlike(r"\S")),
+        lambda i: F.struct(i.alias("at"), F.xxhash64(F.get("lines", i - 1)).alias("hash")),
     )
-    chunks = F.transform(
-        "cuts",
-        lambda last, k: F.struct(
-            k.alias("idx"), (F.coalesce(F.get("cuts", k - 1), F.lit(0)) + 1).alias("first"), last.alias("last")
+    solid = _once(lines, solid, "solid", *keep, "lines")
+    ends = F.transform(
+        F.slice("solid", 1, F.greatest(F.size("solid") - 1, F.lit(0))),
+        lambda a, k: F.struct(
+            a["at"].alias("first"), F.get("solid", k + 1)["at"].alias("last"),
+            F.xxhash64(a["hash"], F.get("solid", k + 1)["hash"]).alias("key"),
         ),
     )
-    return _once(cuts, chunks, "chunks", *keep, "lines")
-
+    return solid.select(*keep, "lines", F.inline(ends))
 
-def _text_of(first: Column, last: Column) -> Column:
-    return F.array_join(F.slice("lines", first, last - first + 1), "\n")
 
+def repeated_lines(documents: DataFrame) -> DataFrame:
+    """``doc_id, version, removed``: the lines of each text in runs that occurred before.
 
-def repeated_chunks(documents: DataFrame) -> DataFrame:
-    """``doc_id, removed``: the chunks of ``documents(doc_id, text)`` that occurred before.
-
-    The first occurrence is that of the smallest ``doc_id`` (null is smallest), in a document
-    the first. Chunks of one line, and of blank lines only, are not looked at.
+    Before is in a smaller ``doc_id`` (null is smallest), in a version of the same with a
+    smaller hash, or further up. Rows with the same id and text are one text.
     """
-    cut = with_chunks(documents, "doc_id")
-    many = F.filter("chunks", lambda c: c["last"] > c["first"])
-    chunks = (
-        cut.select("doc_id", "lines", F.inline(many))
-        .select("doc_id", "idx", _text_of(F.col("first"), F.col("last")).alias("text"))
-        .where(F.col("text").rlike(r"\S")).withColumn("key", F.md5("text"))
-    )
-    place = F.struct("doc_id", "idx")
-    counted = chunks.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    again = materialised(counted.where(~F.col("first").eqNullSafe(F.col("last"))).select("key", "first"), "chunk_keys")
+    texts = documents.select("doc_id", F.xxhash64("text").alias("version"), "text")
+    windows = _windows(texts, "doc_id", "version")
+    keys = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # The lines themselves of marked windows alone.
+    marked = meet(windows, materialised(keys, "window_keys"), "key")
+    place = F.struct("doc_id", "version", "first")
     found = materialised(
-        meet(chunks, again, "key").select("doc_id", "idx", "text", "key", place.eqNullSafe(F.col("first")).alias("kept")),
-        "chunks",
+        marked.select("doc_id", "version", "first", "last", _text_of(F.col("first"), F.col("last")).alias("said")), "windows"
     )
-    # Rows that repeat a doc_id have the same places; of them one text is compared.
-    firsts = found.where("kept").groupBy("key").agg(F.min("text").alias("original"))
-    same = lookup(found.where(~F.col("kept")), firsts, ["key"]).where(F.col("text") == F.col("original"))
-    return materialised(same.groupBy("doc_id").agg(F.collect_set("idx").alias("removed")), "removed")
+    # Grouped and joined by their bytes; a passage that many documents share is summed up per task.
+    firsts = found.groupBy("said").agg(F.min(place).alias("place"))
+    again = lookup(found, materialised(firsts, "window_firsts"), ["said"]).where(~place.eqNullSafe(F.col("place")))
+    removed = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence("first", "last")))))
+    return again.groupBy("doc_id", "version").agg(removed.alias("removed"))
 
 
-def _kept_table(documents: DataFrame, found) -> DataFrame:
-    """``found(doc_id, text)`` as a written table; what it writes on the way is gone."""
-    spark = documents.sparkSession
-    path = scratch_path(spark, "removed")
-    with run_folder(spark, "lines"):
-        found(documents.select("doc_id", "text")).write.parquet(path)
-    return spark.read.parquet(path)
+def _id(doc_id: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), doc_id.cast("string")), F.lit(""))
 
 
-def _touched(documents: DataFrame, key: Column, removed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows that stay as they are, and ``row, text, removed`` of the others.
+def _parted(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows as they are, and ``row, lines, kept, removed`` of those that lose lines.
 
-    Rows stay where they are, unless very many are touched; of those that are, only these are shuffled.
+    Rows stay where they are, unless very many lose some; of those that do, only these are shuffled.
     """
-    rows = whole_rows(documents, "doc_id", "text").select("row", "text", key.alias("doc_id"))
+    spark = documents.sparkSession
+    key = lambda version: F.concat_ws(":", version.cast("string"), _id(F.col("doc_id")))
+    path = scratch_path(spark, "removed")
+    # Whatever else is written on the way goes.
+    with run_folder(spark, "lines"):
+        found = repeated_lines(documents.select("doc_id", "text"))
+        found.select(key(F.col("version")).alias("key"), "removed").write.parquet(path)
+    removed = spark.read.parquet(path)
+    rows = whole_rows(documents, "doc_id", "text").select("row", "text", key(F.xxhash64("text")).alias("doc_id"))
     ids = removed.select(F.col("key").alias("doc_id"))
-    left = rows_with(rows, ids, "left_anti").select("row.*")
-    some = rows_with(rows, ids).withColumnRenamed("doc_id", "key")
-    return left, lookup(some, removed, ["key"]).select("row", "text", "removed")
+    some = lookup(rows_with(rows, ids).withColumnRenamed("doc_id", "key"), removed, ["key"])
+    lines = _once(some, F.split("text", "\n"), "lines", "row", "removed")
+    kept = F.array_except(F.sequence(F.lit(1), F.size("lines")), "removed")
+    return rows_with(rows, ids, "left_anti").select("row"), _once(lines, kept, "kept", "row", "lines", "removed")
+
+
+def _kept_text() -> Column:
+    return F.array_join(F.transform("kept", lambda i: F.get("lines", i - 1)), "\n")
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
-    """``documents`` with all its columns, repeated chunks taken out of ``text``.
+    """``documents`` with all its columns, every run of lines that occurred before taken out of ``text``.
 
-    ``n_chars`` is counted anew where the table has it. Every document stays, one that repeats
-    others whole with what is left of it, maybe an empty text; a null text stays null. Rows
-    that repeat a ``doc_id`` are versions of one document: a chunk is taken out of all of them
-    or none. An empty table gives an empty result.
+    A run has two and more lines that are not blank, and the blank ones between; its first
+    occurrence stays, and so does the first of every line. Lines that repeat alone are not touched. ``n_chars`` is counted anew where the
+    table has it. Every document stays, maybe with an empty text; a null text stays null, and very long texts
+    are texts like any other. Versions of one ``doc_id`` are texts of their own, and rows that repeat id and text lose the same
+    lines. An empty table gives an empty result.
     """
-    key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
-    removed = _kept_table(documents, lambda docs: repeated_chunks(docs).select(key.alias("key"), "removed"))
-    left, joined = _touched(documents, key, removed)
-    changed = with_chunks(joined, "row", "removed")
-    kept = F.filter("chunks", lambda c: ~F.array_contains("removed", c["idx"]))
-    text = F.array_join(F.transform(kept, lambda c: _text_of(c["first"], c["last"])), "\n")
+    left, changed = _parted(documents)
     row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in documents.columns:
         row = row.withField("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    changed = changed.select("row", text.alias("text")).select(row.alias("row")).select("row.*")
-    return left.unionByName(changed)
+    changed = changed.select("row", _kept_text().alias("text")).select(row.alias("row"))
+    return left.select("row.*").unionByName(changed.select("row.*"))
 
 
 def line_dedup_report(documents: DataFrame) -> DataFrame:
     """Per row of ``documents(doc_id, text)``: ``doc_id, n_removed_chunks, n_removed_lines, text``.
 
-    ``text`` is what is left; see ``dedup_lines`` for nulls and repeated rows.
+    A chunk is a run of neighbouring lines that go; ``text`` is what is left. See ``dedup_lines`` for nulls
+    and repeated rows.
     """
-    docs = documents.select("doc_id", "text")
-    removed = repeated_chunks(docs).select(F.col("doc_id").alias("id"), "removed")
-    joined = docs.join(removed, F.col("doc_id").eqNullSafe(F.col("id")), "left").drop("id")
+    left, changed = _parted(documents.select("doc_id", "text"))
     none = F.lit(0).cast("long")
-    left = joined.where("removed is null").select("doc_id", none.alias("n_removed_chunks"), none.alias("n_removed_lines"), "text")
-    changed = with_chunks(joined.where("removed is not null"), "doc_id", "removed")
-    kept = F.filter("chunks", lambda c: ~F.array_contains("removed", c["idx"]))
-    lines = F.aggregate(kept, F.lit(0), lambda n, c: n + c["last"] - c["first"] + 1)
-    text = F.array_join(F.transform(kept, lambda c: _text_of(c["first"], c["last"])), "\n")
+    left = left.select("row.*").select("doc_id", none.alias("n_removed_chunks"), none.alias("n_removed_lines"), "text")
+    opens = F.filter("removed", lambda i, k: (k == 0) | (i - F.get("removed", k - 1) > 1))
     return left.unionByName(changed.select(
-        "doc_id", (F.size("chunks") - F.size(kept)).cast("long").alias("n_removed_chunks"),
-        (F.size("lines") - lines).cast("long").alias("n_removed_lines"), text.alias("text"),
+        "row.doc_id", F.size(opens).cast("long").alias("n_removed_chunks"),
+        F.size("removed").cast("long").alias("n_removed_lines"), _kept_text().alias("text"),
     ))
-
-
-def _windows(texts: DataFrame, *keep: str) -> DataFrame:
-    """``keep, first, last, key``: every line that is not blank, to the next one that is not.
-
-    Any run of lines that has two and more of them, and begins and ends with one, is made of
-    such windows: it occurred before if, and only if, they did in a row.
-    """
-    lines = _once(texts.where("text is not null"), F.split("text", "\n"), "lines", *keep)
-    numbers = F.sequence(F.lit(1), F.size("lines"))
-    solid = _once(lines, F.filter(numbers, lambda i: F.get("lines", i - 1).rlike(r"\S")), "solid", *keep, "lines")
-    ends = F.transform(
-        F.slice("solid", 1, F.greatest(F.size("solid") - 1, F.lit(0))),
-        lambda first, k: F.struct(first.alias("first"), F.get("solid", k + 1).alias("last")),
-    )
-    # No two texts are known to share this hash, so no bytes are compared.
-    key = F.unhex(F.sha2(_text_of(F.col("first"), F.col("last")), 256)).alias("key")
-    return solid.select(*keep, "lines", F.inline(ends)).select(*keep, "first", "last", key)
-
-
-def repeated_windows(documents: DataFrame) -> DataFrame:
-    """``doc_id, version, removed``: the lines of each text in runs that occurred before.
-
-    Before is in a smaller ``doc_id`` (null is smallest), in a version of the same with a
-    smaller hash, or further up. Rows with the same id and text are one text.
-    """
-    texts = documents.select("doc_id", F.xxhash64("text").alias("version"), "text")
-    windows = _windows(texts, "doc_id", "version")
-    keys = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    found = materialised(lookup(windows, materialised(keys, "window_keys"), ["key"]), "windows")
-    place = F.struct("doc_id", "version", "first")
-    firsts = found.groupBy("key").agg(F.min(place).alias("place"))
-    again = lookup(found, materialised(firsts, "window_firsts"), ["key"]).where(~place.eqNullSafe(F.col("place")))
-    removed = F.array_distinct(F.flatten(F.collect_set(F.sequence("first", "last"))))
-    return materialised(again.groupBy("doc_id", "version").agg(removed.alias("removed")), "removed")
-
-
-def dedup_passages(documents: DataFrame) -> DataFrame:
-    """``documents`` with all its columns, every run of lines that occurred before taken out of ``text``.
-
-    A run has two and more lines that are not blank, and the blank ones between; its first
-    occurrence stays, and so does the first of every line. ``n_chars`` is counted anew where the table
-    has it. Every document stays, maybe with an empty text; a null text stays null. Versions
-    of one ``doc_id`` are texts of their own. An empty table gives an empty result.
-    """
-    id_of = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
-    key = lambda version: F.concat_ws(":", version.cast("string"), id_of)
-    removed = _kept_table(documents, lambda docs: repeated_windows(docs).select(key(F.col("version")).alias("key"), "removed"))
-    left, joined = _touched(documents, key(F.xxhash64("text")), removed)
-    lines = _once(joined, F.split("text", "\n"), "lines", "row", "removed")
-    kept = _once(
-        lines, F.array_except(F.sequence(F.lit(1), F.size("lines")), "removed"), "kept", "row", "lines"
-    )
-    text = F.array_join(F.transform("kept", lambda i: F.get("lines", i - 1)), "\n")
-    row = F.col("row").withField("text", F.col("text"))
-    if "n_chars" in documents.columns:
-        row = row.withField("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    changed = kept.select("row", text.alias("text")).select(row.alias("row")).select("row.*")
-    return left.unionByName(changed)

@@ -81,24 +81,24 @@ FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
 LINE_DEDUP = r"""
 WITH l AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
-), h AS (
-  SELECT *, list_transform(lines, lambda x: ('0x' || substr(md5(x), 1, 7))::BIGINT) AS h FROM l
-), c AS (
-  SELECT *, list_filter(range(1, len(h) + 1), lambda i: i = len(h)
-    OR (h[i] + 31 * CASE WHEN i > 1 THEN h[i - 1] ELSE 0 END) % 3 = 0) AS cuts FROM h
-), k AS (
-  SELECT doc_id, lines, k - 1 AS idx, CASE WHEN k > 1 THEN cuts[k - 1] + 1 ELSE 1 END AS a, cuts[k] AS b
-  FROM (SELECT *, unnest(range(1, len(cuts) + 1)) AS k FROM c)
-), t AS (
-  SELECT doc_id, idx, a, b, array_to_string(lines[a:b], chr(10)) AS chunk FROM k
-), f AS (
-  SELECT *, b > a AND regexp_matches(chunk, '\S') AND
-    row_number() OVER (PARTITION BY chunk, b > a ORDER BY doc_id, idx) > 1 AS again FROM t
+), solid AS (
+  SELECT doc_id, lines, list_filter(range(1, len(lines) + 1), lambda i: regexp_matches(lines[i], '\S')) AS spot FROM l
+), w AS (
+  SELECT doc_id, spot[k] AS a, spot[k + 1] AS b, array_to_string(lines[spot[k]:spot[k + 1]], chr(10)) AS said
+  FROM (SELECT *, unnest(range(1, len(spot))) AS k FROM solid)
+), again AS (
+  SELECT doc_id, unnest(range(a, b + 1)) AS i FROM (
+    SELECT *, row_number() OVER (PARTITION BY said ORDER BY doc_id, a) AS n FROM w) WHERE n > 1
+), gone AS (
+  SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM (SELECT DISTINCT doc_id, i FROM again)
+), g AS (
+  SELECT doc_id, list(i) AS gone, count(*) AS n_lines, count(*) FILTER (before IS NULL OR before < i - 1) AS n_chunks
+  FROM gone GROUP BY doc_id
 )
-SELECT d.doc_id, coalesce(count(*) FILTER (again), 0) AS n_removed_chunks,
-       coalesce(sum(b - a + 1) FILTER (again), 0)::BIGINT AS n_removed_lines,
-       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(string_agg(chunk, chr(10) ORDER BY idx) FILTER (NOT again), '') END AS text
-FROM documents d LEFT JOIN f ON d.doc_id = f.doc_id GROUP BY d.doc_id, d.text
+SELECT l.doc_id, coalesce(n_chunks, 0) AS n_removed_chunks, coalesce(n_lines, 0) AS n_removed_lines,
+       CASE WHEN gone IS NULL THEN text ELSE array_to_string(
+         list_transform(list_filter(range(1, len(lines) + 1), lambda i: NOT list_contains(gone, i)), lambda i: lines[i]), chr(10)) END AS text
+FROM l LEFT JOIN g ON l.doc_id = g.doc_id
 """
 
 MIXING = r"""
