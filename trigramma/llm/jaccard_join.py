@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trigramma.llm.common import connected_components, rows_with
-from trigramma.llm.texts import chained, name_of, parts, raw, word_hashes
+from trigramma.llm.texts import chained, name_of, parts, raw, sliced, word_hashes
 from trigramma.operators.joins import lookup
 from trigramma.session import materialised, run_folder, scratch_path
 
@@ -85,11 +85,13 @@ def looked_at(n: int, percent: int = PERCENT) -> int:
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Name and size of every text's set."""
-    for batch in batches:
-        sets = list(shingle_sets(batch["text"].to_pylist(), size))
-        names = [name_of(s) for s in sets]
+    for batch in sliced(batches):
+        names, sizes = [], []
+        for s in shingle_sets(batch["text"].to_pylist(), size):
+            names.append(name_of(s))
+            sizes.append(len(s))
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], pa.array(map(len, sets), pa.int64()), *[pa.array([n[i] for n in names], pa.int64()) for i in range(2)]],
+            [batch["doc_id"], pa.array(sizes, pa.int64()), *[pa.array([n[i] for n in names], pa.int64()) for i in range(2)]],
             ["doc_id", "n", "s1", "s2"],
         )
 
@@ -100,12 +102,13 @@ def _heads(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterat
     Of copies that lie close together only the first has them.
     """
     seen: set[tuple[int, int]] = set()
-    for batch in batches:
+    for batch in sliced(batches):
         names, heads = [], []
         for s in shingle_sets(batch["text"].to_pylist(), size):
             name = name_of(s)
             if len(s) and name not in seen:
-                heads.append(s[: looked_at(len(s), percent)].view(np.int64))
+                # A copy, which does not hold the rest of the set.
+                heads.append(s[: looked_at(len(s), percent)].view(np.int64).copy())
                 names.append(name[0])
             if len(seen) >= NAMES:
                 seen.clear()
@@ -120,7 +123,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _arrays(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         sets = list(shingle_sets(batch["text"].to_pylist(), size))
         # A row repeating the doc_id may have another text.
         right = pa.array([
@@ -133,7 +136,7 @@ def _arrays(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
 
 
 def _named(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         sets = [s for s in shingle_sets(batch["text"].to_pylist(), size) if len(s)]
         names = [name_of(s) for s in sets]
         yield pa.RecordBatch.from_arrays(

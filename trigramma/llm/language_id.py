@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trigramma.llm.common import rows_with, whole_rows
-from trigramma.llm.texts import mixed, parts
+from trigramma.llm.texts import mixed, parts, sliced
 from trigramma.session import materialised
 
 # Bound of what is learned from: whole texts per language.
@@ -32,6 +32,8 @@ ORDERS = (2, 3, 4)
 # Weights of all n-grams and languages together, in bytes: what every task receives.
 WEIGHT_BYTES = 32 << 20
 UNDETERMINED = "und"
+# Characters that a task labels at once, or one longer text.
+PART = 250_000
 BLOCK = 32
 
 
@@ -337,9 +339,9 @@ def label(documents: DataFrame, field: Field | None, keep: str = "doc_id") -> Da
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tables()
         known = held.value
-        for batch in batches:
+        for batch in sliced(batches):
             best, scores = [], []
-            for part in parts(batch["text"].to_pylist()):
+            for part in parts(batch["text"].to_pylist(), PART):
                 words = cut_words(part, tables)
                 if known is None:
                     best += [UNDETERMINED] * len(part)

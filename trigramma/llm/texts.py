@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -34,6 +35,13 @@ def parts(texts: list[str | None], limit: int = 1_000_000) -> Iterator[list[str]
         yield part
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches, a few at a time, so that few of their texts are Python objects at once."""
+    for batch in batches:
+        for start in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(start, rows)
+
+
 def raw(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
