@@ -396,7 +396,7 @@ def brute_score(token):
     r = np.corrcoef(at[:-1], at[1:])[0, 1] if at[:-1].std() and at[1:].std() else 1.0
     total = max(chi, 0) ** 2 + runs**2 + r * r * (n - 1)
     z = ((total / 3) ** (1 / 3) - (1 - 2 / 27)) / (2 / 27) ** 0.5
-    return 20 / (1 + math.exp(min(1.5976 * z + 0.07056 * z**3, 600)))
+    return 1 / (1 + math.exp(min(1.5976 * z + 0.07056 * z**3, 600)))
 
 
 def test_battery_against_plain_python(spark):
@@ -407,23 +407,81 @@ def test_battery_against_plain_python(spark):
     df = spark.createDataFrame([(t,) for t in tokens], "token string")
     for r in df.select("token", secret_scan.randomness(df.token).alias("score")).collect():
         want = brute_score(r.token)
-        assert r.score == min(19, int(want)) or abs(want - round(want)) < 1e-6
+        assert r.score == pytest.approx(want, rel=1e-9)
+
+
+def brute_ordinary(token):
+    pieces = re.split("[/+_=-]+", re.sub("(?<=[a-z]{2})(?=[A-Z][a-z]{2})", "/", token))
+    return all(re.fullmatch("[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}|", piece) for piece in pieces)
+
+
+def brute_random(texts):
+    """Random spans of all texts in plain Python: the step-up over sorted bins."""
+    tested = []
+    for i, text in enumerate(texts):
+        for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text or ""):
+            if not brute_ordinary(m[0]):
+                group = sum(len(m[0]) >= end for end in (32, 48, 96))
+                tested.append((i, m.start(), m.end(), group, min(40, math.floor(-4 * math.log10(brute_score(m[0]))))))
+    first = {}
+    for group in {t[3] for t in tested}:
+        bins = [t[4] for t in tested if t[3] == group]
+        held = [b for b in range(12) if 10 ** (-b / 4) <= 0.05 * sum(x >= b for x in bins) / len(bins)]
+        first[group] = min(held, default=12)
+    spans = {}
+    for i, start, end, group, found in tested:
+        if found < first[group]:
+            spans.setdefault(i, []).append((start, 3, end))
+    return spans
+
+
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+PLAIN = [
+    "/usr/local/share/applications/system", "process_user_request_data_from_queue", "-" * 40, "=" * 25,
+    "getUserAccountBalanceFromCache", "2024-01-31/daily-report/final", "AbstractSingletonProxyFactoryBean", "=-" * 15,
+    "0" * 30, "ab" * 20 + "1", "x1" * 30,
+]
+
+
+def random_spans(spark, texts):
+    rows = [(i, t) for i, t in enumerate(texts)]
+    found = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    return {r.doc_id: [s for s in r.spans.split(",") if s.startswith("random")] for r in found}
 
 
-def test_random_tokens_are_told_from_words(spark):
+def test_random_tokens_are_found_in_small_and_large_tables(spark):
     rnd = random.Random(8)
-    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    secret = lambda n=40: "".join(rnd.choices(BASE64, k=n))
+    alone = [f"the key {secret()} end" for _ in range(10)]
+    few = random_spans(spark, alone)
+    assert sum(map(len, few.values())) >= 9
+    # The same texts among many others: what is clearly random stays found.
+    many = random_spans(spark, alone + [f"see {rnd.choice(PLAIN)} and {secret(24)}" for _ in range(400)])
+    assert sum(few[i] != many[i] for i in range(10)) <= 1
+    assert sum(map(len, many.values())) >= 370
+    assert len(random_spans(spark, alone[:1])[0]) == 1
+
+
+def test_words_names_paths_and_rulers_are_not_random(spark):
     syllables = ["tion", "ing", "er", "en", "th", "and", "schaft", "ment", "un", "ver"]
-    word = lambda: "".join(rnd.choices(syllables, k=9))
-    secret = lambda: "".join(rnd.choices(base64, k=40))
-    rows = [(i, f"{word()} and {word()} key {secret()} end") for i in range(300)]
-    found = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id int, text string")).collect()
-    assert sum(r.n_random for r in found) >= 240
-    text = dict(rows)
-    for r in found:
-        for span in filter(None, r.spans.split(",")):
-            _, a, b = span.split(":")
-            assert re.search(r"[0-9A-Z+/]", text[r.doc_id][int(a) : int(b)])
+    rnd = random.Random(9)
+    texts = [f"{a} {rnd.choice(PLAIN)} {''.join(rnd.choices(syllables, k=9))}" for a in PLAIN for _ in range(4)]
+    assert sum(map(len, random_spans(spark, texts).values())) == 0
+
+
+def test_random_spans_against_plain_python(spark):
+    rnd = random.Random(10)
+    pieces = PLAIN + ["".join(rnd.choices(a, k=k)) for a in (BASE64, BASE64[:40], "0123456789", BASE64[26:62]) for k in (20, 25, 33, 50, 120)]
+    pieces += ["".join(rnd.choices("aabbbbccdefghiJK12", k=24)) for _ in range(30)]
+    texts = [" ".join(rnd.choices(pieces, k=3)) for _ in range(200)] + [None, "", "x" * 50_000 + "1", "\n"]
+    want = brute_random(texts)
+    assert sum(map(len, want.values())) > 50
+    found = random_spans(spark, texts)
+    for i, text in enumerate(texts):
+        base = [tuple(map(int, s.split(":")[1:])) for s in brute_base(text)[1].split(",") if s]
+        new = [(a, e) for a, _, e in want.get(i, []) if not any(x < e and a < y for x, y in base)]
+        assert found[i] == [f"random:{a}:{e}" for a, e in new]
+
 
 
 def likelihood(evidence, counts, gold, moves):

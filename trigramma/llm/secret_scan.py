@@ -3,9 +3,11 @@
 The alphabet of a long token is inferred from its characters, and three tests ask whether
 they were drawn from it at random: chi-squared for uniformity, runs above and below the
 middle of the alphabet, and the serial correlation of neighbours. Their combined
-probability is compared with that of long runs of letters, which are words: in every band
-of lengths the score from which tokens count as secrets is where the words that reach it,
-over all of the corpus, are few against the tokens that do. Everything is DataFrame code.
+probability is that of random characters looking as uneven. Tokens made of words (paths,
+names, rulers) are left out; of the others those are put aside as not random that
+Benjamini and Hochberg's procedure rejects, in every band of lengths over all of the
+corpus, and those below a fixed probability in any case. What stays is random.
+Everything is DataFrame code.
 """
 
 from __future__ import annotations
@@ -40,9 +42,13 @@ LOW = "abcdefghijklmnopqrstuvwxyz"
 UP = LOW.upper()
 # Ends of the bands of lengths.
 BANDS = (32, 48, 96)
-BINS = 20
-# Of the tokens that count as secrets, the share that may be words.
+# Probabilities are counted in this many bins a power of ten, down to the last bin.
+BINS = 4
+LAST = 40
+# Of the tokens put aside as not random, the share that may be random.
 FALSE_SHARE = 0.05
+# Tokens from this bin on (a probability of 0.001 and less) never count as random.
+HOPELESS = 12
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -99,7 +105,8 @@ def runs(token: Column, letters: Column) -> Column:
     sides = F.regexp_replace(marked, "[^\x01]", "0")
 
     def score(bits: Column) -> Column:
-        n = F.length(bits)
+        # As doubles: products of three lengths pass an integer's range.
+        n = F.length(bits).cast("double")
         low = _count(bits, "0")
         high = n - low
         found = 1 + _count(bits, "0\x01") + _count(bits, "\x010")
@@ -133,8 +140,15 @@ def serial(token: Column, letters: Column) -> Column:
     return _let(F.aggregate(places, start, step), score)
 
 
+def is_ordinary(token: Column) -> Column:
+    """Made of words: pieces between separators or humps are letters in the case of a word, or few digits."""
+    humps = F.regexp_replace(token, "(?<=[a-z]{2})(?=[A-Z][a-z]{2})", "/")
+    rest = F.regexp_replace(humps, "(?<![A-Za-z0-9])(?:[A-Z]?[a-z]++|[A-Z]++|[0-9]{1,4})(?![A-Za-z0-9])", "")
+    return ~rest.rlike("[A-Za-z0-9]")
+
+
 def randomness(token: Column) -> Column:
-    """Probability, in ``BINS`` steps from 0, that random characters look as uneven as a token's."""
+    """Probability that random characters look as uneven as a token's."""
 
     def combined(token: Column) -> Column:
         def of(letters: Column) -> Column:
@@ -144,36 +158,43 @@ def randomness(token: Column) -> Column:
                 + F.pow(runs(token, letters), F.lit(2)) + F.pow(serial(token, letters), F.lit(2))
             )
             z = (F.pow(total / 3, F.lit(1 / 3)) - (1 - 2 / 27)) / (2 / 27) ** 0.5
-            p = _let(z, lambda z: 1 / (1 + F.exp(F.least(1.5976 * z + 0.07056 * z * z * z, F.lit(600.0)))))
-            return F.least(F.floor(BINS * p), F.lit(BINS - 1)).cast("int")
+            return _let(z, lambda z: 1 / (1 + F.exp(F.least(1.5976 * z + 0.07056 * z * z * z, F.lit(600.0)))))
 
         return _let(alphabet(token), of)
 
     return _let(plain(token), combined)
 
 
+def binned(p: Column) -> Column:
+    """Bin ``b`` holds probabilities of at most ``10 ** (-b / BINS)``; the higher, the less random."""
+    return F.least(F.floor(-BINS * F.log10(p)), F.lit(LAST)).cast("int")
+
+
 def band(token: Column) -> Column:
     n = F.length(token)
     return sum(((n >= end).cast("int") for end in BANDS[1:]), (n >= BANDS[0]).cast("int"))
 
 
 def thresholds(texts: DataFrame) -> DataFrame:
-    """``band, least``: the score from which tokens of a band of lengths are secrets.
+    """``band, rejected``: the bin from which tokens of a band of lengths are not random.
 
-    Words and tokens of all texts are counted by score. The threshold is the lowest score from
-    which words are ``FALSE_SHARE`` of the tokens at most (one more word than seen is
-    reckoned with); a band without such a score has none.
+    Benjamini and Hochberg's step-up over the counts of the bins: the lowest bin whose
+    probability is at most ``FALSE_SHARE`` times the share of the band's tokens that lie in it or
+    beyond. It holds for one token as for any number; no band goes beyond ``HOPELESS``.
     """
     tokens = texts.select(F.explode(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))).alias("token"))
-    scored = tokens.select(band(F.col("token")).alias("band"), is_word(F.col("token")).alias("word"), randomness(F.col("token")).alias("score"))
-    counts = scored.groupBy("band", "score").agg(
-        F.sum(F.col("word").cast("long")).alias("words"), F.sum((~F.col("word")).cast("long")).alias("tokens")
-    )
-    above = Window.partitionBy("band").orderBy(F.col("score").desc())
-    reached = counts.select(
-        "band", "score", F.sum("words").over(above).alias("words"), F.sum("tokens").over(above).alias("tokens")
+    tested = tokens.where(~is_ordinary(F.col("token")))
+    scored = tested.select(band(F.col("token")).alias("band"), binned(randomness(F.col("token"))).alias("bin"))
+    counts = scored.groupBy("band", "bin").agg(F.count(F.lit(1)).alias("n"))
+    # A row per band and bin, 164 at most.
+    beyond = Window.partitionBy("band").orderBy(F.col("bin").desc())
+    shares = counts.select(
+        "band", "bin", F.sum("n").over(beyond).alias("k"), F.sum("n").over(Window.partitionBy("band")).alias("m")
     )
-    return reached.where(F.col("words") + 1 <= FALSE_SHARE * F.col("tokens")).groupBy("band").agg(F.min("score").alias("least"))
+    # The least bin of which the step holds; those between two counted bins hold what the higher one does.
+    reached = F.ceil(-BINS * F.log10(FALSE_SHARE * F.col("k") / F.col("m"))).cast("int")
+    least = F.min(F.when(reached <= F.col("bin"), F.greatest(reached, F.lit(0))))
+    return shares.groupBy("band").agg(F.least(F.coalesce(least, F.lit(HOPELESS)), F.lit(HOPELESS)).alias("rejected"))
 
 
 def _spans(pieces: str, found: str, kind: int, good: Callable[[Column], Column] | None = None) -> Column:
@@ -203,28 +224,32 @@ def find_secrets(documents: DataFrame) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans`` for ``documents(doc_id, text)``.
 
     A span is ``kind:start:end`` in code points, end exclusive. Random tokens that overlap a
-    span of another kind are not listed again. A null text counts as empty: no spans, and the
-    hash of nothing. Repeated rows are searched, and counted for the thresholds, one by one. A
+    span of another kind are not listed again. Base spans depend on the text alone. So does a
+    random span whose probability is above ``FALSE_SHARE`` or at most 0.001; between them it depends
+    on how many tokens of its band of lengths are put aside over the corpus. Lower-case words
+    without a separator cannot be told from random letters and are never listed. A null or empty
+    text has no spans, and the hash of nothing; very long texts and tokens are tested whole.
+    Repeated rows are searched, and counted for the thresholds, one by one. A
     tie in the start is listed in the order of the kinds. An empty table gives an empty
     result; extra columns are not read.
     """
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     bands = thresholds(docs).groupBy().agg(
-        F.map_from_entries(F.collect_list(F.struct("band", "least"))).alias("least")
+        F.map_from_entries(F.collect_list(F.struct("band", "rejected"))).alias("rejected")
     )
-    least = materialised(bands, "bands").scalar()
+    rejected = materialised(bands, "bands").scalar()
     shapes = dict(zip(KINDS, (ASSIGN, ACCESS, HEX, TOKEN)))
-    found = docs.select("doc_id", "text", least.alias("least")).select("doc_id", "text", "least", F.inline(F.array(F.struct(
+    found = docs.select("doc_id", "text", rejected.alias("rejected")).select("doc_id", "text", "rejected", F.inline(F.array(F.struct(
         *[F.regexp_extract_all("text", F.lit(r), F.lit(0)).alias(k) for k, r in shapes.items()],
         F.transform(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), F.length).alias("values"),
     ))))
     # A text is cut only at shapes it has.
     none = F.array().cast("array<string>")
-    cut = found.select("doc_id", "least", *KINDS, "values", F.inline(F.array(F.struct(
+    cut = found.select("doc_id", "rejected", *KINDS, "values", F.inline(F.array(F.struct(
         *[F.when(F.size(k) > 0, F.split("text", r)).otherwise(none).alias(f"{k}_cut") for k, r in shapes.items()]
     ))))
-    good = lambda i: ~is_word(F.get("random", i)) & F.coalesce(
-        randomness(F.get("random", i)) >= F.element_at("least", band(F.get("random", i))), F.lit(False)
+    good = lambda i: ~is_ordinary(F.get("random", i)) & (
+        binned(randomness(F.get("random", i))) < F.element_at("rejected", band(F.get("random", i)))
     )
     spans = cut.select("doc_id", F.inline(F.array(F.struct(
         _spans("assign_cut", "assign", 0, lambda i: F.get("values", i) >= LEAST_VALUE).alias("assign"),
