@@ -305,6 +305,45 @@ def test_pages_of_the_table(spark):
         assert html_text.main_text(r.html) == "\n".join(p for p in parts if p)
 
 
+PROSE = "A paragraph of the story, long enough, with commas, to count as one that somebody wrote."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        # Title and a short section stay with the long one.
+        (f"<article><h1>Title</h1><section>{f'<p>{PROSE}</p>' * 10}</section><section><p>{PROSE}</p></section></article>",
+         "\n".join(["Title"] + [PROSE] * 11)),
+        (f"<div class='content has-sidebar'><article><p>{PROSE}</p></article></div><div>Copyright, all rights reserved, 2024.</div>", PROSE),
+        # Names that only contain a word are names of something else.
+        (f"<article><p>{PROSE}</p><p class='share-price'>12 points</p><div class='notice-of-meeting'>On Monday.</div></article>",
+         f"{PROSE}\n12 points\nOn Monday."),
+        # Without elements made for it, the article is where the points are.
+        (f"<div>Buy this.</div><div class=post><h2>Head</h2><p>{PROSE}</p><p>{PROSE}</p><ul><li>one</ul></div><div>(c) me</div>",
+         f"Head\n{PROSE}\n{PROSE}\none"),
+        (f"<body><h1>Head</h1><section><p>{PROSE}</p></section><section><p>Short.</p></section><div class='comment-list'><p>{PROSE}</p></div>",
+         f"Head\n{PROSE}\nShort."),
+        # A lowered part that holds the article stays; readers' comments that are longer than it do not.
+        (f"<div class=widget><p>{PROSE}</p><p>{PROSE}</p></div><footer>{PROSE}</footer>", f"{PROSE}\n{PROSE}"),
+        (f"<article><p>{PROSE}</p><div class=comments>{f'<p>{PROSE}</p>' * 5}</div></article>", PROSE),
+    ],
+)
+def test_scoring_finds_the_whole_article(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_scoring_decides_on_the_table(monkeypatch):
+    import pyarrow.parquet as pq
+
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"])["html"].to_pylist()
+    found = [html_text.main_text(p) for p in pages]
+    monkeypatch.setattr(html_text, "LEFT_OUT_WORDS", frozenset())
+    assert sum(html_text.main_text(p) != f for p, f in zip(pages, found)) <= 0.02 * len(pages)
+    monkeypatch.undo()
+    monkeypatch.setattr(html_text, "main_nodes", lambda root: [root])
+    assert sum(html_text.main_text(p) != f for p, f in zip(pages, found)) > 0.9 * len(pages)
+
+
 # --- urls ---------------------------------------------------------------------
 
 

@@ -1,10 +1,10 @@
 """Main text of web pages by scoring the tree of their elements.
 
-Every paragraph earns points for its length and its commas and passes them up: all to
-its parent, half to the grandparent, less to those above. What a container has earned is
-discounted by the share of its text that is inside links. The best container is kept,
-and those of its siblings that did well too; inside them only elements that are never
-part of an article are left out.
+Every block of text earns points for its length and its commas, discounted by the share of
+its text that is inside links, and passes them up to all its ancestors. Names of classes that
+menus, adverts and comments go by lower what is inside; the elements made for articles raise
+it. The smallest container that holds the main share of the page's points is kept, with those of its
+siblings that belong to it, whole but for what has a lowered score inside.
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ INLINE = frozenset(
 )
 # Elements that are never part of an article.
 LEFT_OUT = frozenset("nav header footer aside form button menu dialog head fieldset audio video canvas".split())
-# Words of a class, id or role that say the same.
+# Elements made for the article: these are not looked into for a smaller container.
+ARTICLE = frozenset("article main".split())
+# Words of a class, id or role that lower a score where the whole name consists of them and of `NEUTRAL`.
 LEFT_OUT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising advertorial sponsor sponsored sponsors promo promotion"
     " banner cookie cookies consent gdpr notice notices alert popup modal overlay menu menus nav navbar navigation"
@@ -45,6 +47,18 @@ LEFT_OUT_WORDS = frozenset(
     " newsletter subscribe subscription signup login search pagination pager toolbar toc complementary"
     " contentinfo skip".split()
 )
+NEUTRAL = frozenset(
+    "area bar block bottom box container content footer group inner left link links list main outer page panel right"
+    " section site small top unit wrap wrapper".split()
+)
+WHOLE = frozenset(["html", "body", "main", "article"])
+# What names and elements do to points; the share of all points that the container holds; the share of its
+# points from which a sibling of another kind belongs to it, and from which a lowered part stays.
+LOWERED = 0.1
+RAISED = 4.0
+MAIN_SHARE = 0.6
+SIBLING = 0.2
+PART = 0.5
 # An open element of the first group ends where one of its second group starts.
 ENDS = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
@@ -57,27 +71,22 @@ PARAGRAPHS = frozenset("p td pre li dd blockquote".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "score", "chars", "linked", "out")
+    __slots__ = ("tag", "parent", "parts", "points", "weighted", "factor", "chars", "linked", "out", "names", "lowered")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool = False):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: Node | None, attrs: str = ""):
+        self.tag, self.parent = tag, parent
         self.parts: list[Node | str] = []
-        self.score = 0.0
+        self.points = self.weighted = 0.0
         self.chars = self.linked = 0
+        self.out = tag in LEFT_OUT or tag not in WHOLE and bool(attrs) and bool(_HIDDEN.search(attrs))
+        self.names = [found[1].strip("\"'") for found in _HINT.finditer(attrs)] if attrs else []
+        self.lowered = tag not in WHOLE and any(_lowers(name) for names in self.names for name in names.split())
 
 
-def _left_out(tag: str, attrs: str) -> bool:
-    if tag in LEFT_OUT:
-        return True
-    if not attrs or tag in ("html", "body", "main", "article"):
-        return False
-    if _HIDDEN.search(attrs):
-        return True
-    return any(
-        word in LEFT_OUT_WORDS
-        for found in _HINT.finditer(attrs)
-        for word in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", found[1]).lower())
-    )
+def _lowers(name: str) -> bool:
+    """A name of nothing but words that lower a score, one at least."""
+    words = {w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if w}
+    return not words.isdisjoint(LEFT_OUT_WORDS) and words <= LEFT_OUT_WORDS | NEUTRAL
 
 
 def parse(page: str) -> Node:
@@ -117,7 +126,7 @@ def parse(page: str) -> Node:
                     open_one = open_one.parent
                 if open_one.tag == ended:
                     at = open_one.parent
-        node = Node(tag, at, _left_out(tag, token["attrs"]))
+        node = Node(tag, at, token["attrs"])
         at.parts.append(node)
         if tag not in VOID and not token["attrs"].endswith("/"):
             at = node
@@ -165,39 +174,68 @@ def _own_text(node: Node) -> str:
     return " ".join("".join(pieces).split())
 
 
-def main_nodes(root: Node) -> list[Node]:
-    """The best container and the siblings to keep with it, in page order."""
+def _score(root: Node) -> None:
+    """Points of every subtree, as earned and as weighted by names and elements."""
     order = _measure(root)
-    scored: list[Node] = []
     for node in order:
-        if node.tag in INLINE or node.parent is None:
-            continue
-        text = _own_text(node)
-        if not text:
-            continue
-        points = min(len(text) / 100, 3) + (1 + text.count(",") if len(text) >= 25 else 0)
-        points *= 1 - _density(node)
-        # A container with text of its own is a paragraph in itself.
-        up = node if node.tag not in PARAGRAPHS and not re.fullmatch("h[1-6]", node.tag) else node.parent
-        level = 0
-        while up is not None and up.parent is not None:
-            if up.score == 0:
-                scored.append(up)
-            up.score += points / (1, 2, 6, 9, 12)[min(level, 4)]
-            up, level = up.parent, level + 1
-    candidates = [n for n in dict.fromkeys(scored) if n.tag not in INLINE]
-    if not candidates:
+        above = node.parent.factor if node.parent else 1.0
+        raised = node.tag in ARTICLE and above < RAISED
+        node.factor = above * (LOWERED if node.lowered else 1.0) * (RAISED if raised else 1.0)
+        text = "" if node.tag in INLINE else _own_text(node)
+        if text:
+            points = min(len(text) / 100, 3) + (1 + text.count(",") if len(text) >= 25 else 0)
+            node.points = points * (1 - _own_density(node))
+            node.weighted = node.points * node.factor
+    for node in reversed(order):
+        if node.parent:
+            node.parent.points += node.points
+            node.parent.weighted += node.weighted
+
+
+def _own_density(node: Node) -> float:
+    """Share of a block's own text that is inside links."""
+    own = linked = 0
+    waiting: list[tuple[Node | str, bool]] = [(part, node.tag == "a") for part in node.parts]
+    while waiting:
+        part, link = waiting.pop()
+        if isinstance(part, str):
+            own += len(part.strip())
+            linked += len(part.strip()) * link
+        elif part.tag in INLINE and not part.out:
+            waiting.extend((inner, link or part.tag == "a") for inner in part.parts)
+    return linked / own if own else 0.0
+
+
+def _belongs(part: Node, best: Node) -> bool:
+    """Whether a sibling is kept with the best container."""
+    if part.lowered or _density(part) >= 0.5:
+        return False
+    if part.tag in PARAGRAPHS or re.fullmatch("h[1-6]", part.tag):
+        return best.tag not in ARTICLE
+    alike = part.tag == best.tag and part.names == best.names and bool(best.names or best.tag == "section")
+    return alike and part.points > 0 or part.weighted >= SIBLING * best.weighted
+
+
+def main_nodes(root: Node) -> list[Node]:
+    """The best container and the siblings to keep with it, in page order."""
+    _score(root)
+    if not root.weighted:
         return [root]
-    final = {id(n): n.score * (1 - _density(n)) for n in candidates}
-    best = max(candidates, key=lambda n: final[id(n)])
-    kept = []
-    for part in best.parent.parts:
-        if not isinstance(part, Node) or part.out:
-            continue
-        good = final.get(id(part), 0.0) >= 0.2 * final[id(best)] > 0
-        prose = part.tag == "p" and part.chars > 80 and _density(part) < 0.25
-        if part is best or good or prose:
-            kept.append(part)
+    best = root
+    while best.tag not in ARTICLE:
+        inside = [p for p in best.parts if isinstance(p, Node) and not p.out and p.tag not in INLINE]
+        # Paragraphs, lists and tables are parts of a text, not what holds it.
+        inside = [p for p in inside if p.tag not in PARAGRAPHS and p.tag not in ("ul", "ol", "dl", "table")]
+        largest = max(inside, key=lambda n: n.weighted, default=None)
+        if largest is None or largest.weighted < MAIN_SHARE * root.weighted or re.fullmatch("h[1-6]", largest.tag):
+            break
+        best = largest
+    around = best.parent.parts if best.parent else [best]
+    kept = [p for p in around if p is best or isinstance(p, Node) and not p.out and _belongs(p, best)]
+    for top in kept:
+        for node in _walk(top):
+            if node.lowered and node is not top and node.weighted < PART * top.weighted:
+                node.out = True
     return kept
 
 
@@ -247,6 +285,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages(page_id, url, html)``.
 
+    Inside what is kept, nothing is left out but elements that are never part of an article
+    (`LEFT_OUT`), hidden ones, and those whose lowered score is less than half of its own.
     Character references are decoded, white space inside a block becomes one space, and
     blocks are joined by a line feed. Null and empty pages, and pages without text of
     their own, give an empty text. Of equally good containers the first wins. Cut-off
