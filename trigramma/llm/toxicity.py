@@ -21,16 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bounds of what is learned from: rows per label, characters of each row.
+# Bound of what is learned from: rows per label, whole texts of each.
 SAMPLE_ROWS = 3_000
-SAMPLE_CHARS = 20_000
 # Words on either side that are the context of a match.
 REACH = 8
 # An entry is this many times as frequent in toxic rows, beyond what chance explains (as a
 # logarithm of the likelihood ratio, since some hundred thousand words are tried).
 RATIO = 20.0
 EVIDENCE = 12.0
-ENTRIES = 1_000
 # An entry that this many ordinary words resemble is matched without errors.
 NEIGHBOURS = 2
 # What a spelling error leaves of a match.
@@ -330,7 +328,7 @@ def learn_lexicon(texts: list[str], toxic: list[int]) -> tuple[dict[str, Entry],
     # Stems before words, short before long.
     for (spelling, stem), weight in sorted(able.items(), key=lambda x: (not x[0][1], len(x[0][0]), x[0])):
         within = [e.weight for n in range(4, len(spelling) + 1) if (e := entries.get(spelling[:n])) and e.stem]
-        if (not within or weight > max(within) + 0.5) and len(entries) < ENTRIES:
+        if not within or weight > max(within) + 0.5:
             entries[spelling] = Entry(stem, weight, 0 if stem else errors_allowed(spelling))
     automaton = Automaton(entries)
     alike: dict[str, set[str]] = defaultdict(set)
@@ -406,7 +404,7 @@ def learn(documents: DataFrame, labels: DataFrame) -> Model:
         some = rows.where(F.col("toxic") == value).orderBy(*first).limit(SAMPLE_ROWS)
         chosen = some if chosen is None else chosen.unionByName(some)
     # At most two times SAMPLE_ROWS ids are broadcast.
-    texts = documents.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).where("text is not null")
+    texts = documents.select("doc_id", "text").where("text is not null")
     found = texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic").toArrow()
     return fit(found["text"].to_pylist(), found["toxic"].to_pylist())
 
