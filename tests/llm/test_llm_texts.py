@@ -349,13 +349,16 @@ def test_scoring_decides_on_the_table(monkeypatch):
 
 def test_cascade_is_exact_over_its_universe(spark):
     keys = spark.range(30_000).selectExpr("concat('k', id) AS key", "id % 7 = 0 AS listed")
-    for cascade in (
-        url_filter.build_cascade(keys, bits_per_key=4, hashes=2),
-        url_filter.build_cascade(keys, max_bytes=8),
-    ):
+    one, many = url_filter.build_cascade(keys, bits_per_key=4, hashes=2), url_filter.build_cascade(keys, max_bytes=8)
+    # What does not fit is split, and still looked up in cascades, not by a join.
+    assert len(one.parts) == 1 and len(many.parts) > 1 and all(part.levels for part in many.parts)
+    with_null = keys.select("key").unionByName(keys.sparkSession.sql("SELECT CAST(NULL AS string) AS key"))
+    assert many.mark(with_null, "key", "found").count() == 30_001
+    assert "Join" not in many.mark(keys, "key", "found")._jdf.queryExecution().optimizedPlan().toString()
+    for cascade in (one, many):
         marked = cascade.mark(keys, "key", "found")
         assert marked.where("found <> listed").count() == 0 and marked.count() == 30_000
-    assert len(url_filter.build_cascade(keys, bits_per_key=4, hashes=2).levels) > 2
+    assert len(one.parts[0].levels) > 2
     empty = url_filter.build_cascade(keys.where("not listed"))
     assert empty.mark(keys, "key", "found").where("found").count() == 0
     every = url_filter.build_cascade(keys.where("listed"))

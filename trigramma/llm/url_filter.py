@@ -10,7 +10,9 @@ with ``substring``.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,11 +69,10 @@ def _bit(bitmaps: Column, position: Column) -> Column:
 
 @dataclass(frozen=True)
 class Cascade:
-    """Levels as one-row tables of an array of bitmaps; ``listed`` if it outgrew the bound."""
+    """Levels as one-row tables of an array of bitmaps."""
 
     levels: list[tuple[DataFrame, int]]
     hashes: int
-    listed: DataFrame | None = None
 
     def passes(self, key: Column, level: int) -> Column:
         bitmaps, words = self.levels[level]
@@ -91,33 +92,56 @@ class Cascade:
         return answer
 
     def mark(self, df: DataFrame, key: str, name: str) -> DataFrame:
-        """``df`` with a boolean column; by a join only where the bits outgrew the bound."""
-        if self.listed is None:
-            return df.withColumn(name, self.contains(F.col(key)))
-        hit = self.listed.select(F.col("key").alias("_cascade_key")).distinct()
-        joined = df.join(hit, F.col(key) == F.col("_cascade_key"), "left")
-        return joined.withColumn(name, F.col("_cascade_key").isNotNull()).drop("_cascade_key")
+        """``df`` with a boolean column."""
+        return df.withColumn(name, self.contains(F.col(key)))
+
+
+@dataclass(frozen=True)
+class SplitCascade:
+    """A cascade for every part of the keys, probed one after the other by the rows of its part."""
+
+    parts: list[Cascade]
+
+    def mark(self, df: DataFrame, key: str, name: str) -> DataFrame:
+        """``df`` with a boolean column; with several parts ``df`` is read once for each."""
+        if len(self.parts) == 1:
+            return self.parts[0].mark(df, key, name)
+        part = part_of(F.col(key), len(self.parts))
+        marked = [cascade.mark(df.where(part == i), key, name) for i, cascade in enumerate(self.parts)]
+        return reduce(DataFrame.unionByName, marked)
+
+
+def part_of(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit("part")), F.lit(parts))
 
 
 def build_cascade(
     keys: DataFrame, bits_per_key: int = 12, hashes: int = 4, max_bytes: int = 64 << 20
-) -> Cascade:
+) -> SplitCascade:
     """A cascade over ``keys(key, listed)``: the whole universe, distinct keys.
 
-    Every level is sized by a count of what it holds. The bits of all levels
-    together are held to ``max_bytes``, since every task receives them; a list
-    that needs more is looked up by a join instead, with the same answers. Null
-    keys are not part of the universe.
+    Every task receives the bits of a cascade, so they are held to about ``max_bytes`` (a bitmap
+    of ``WORD`` bits for each level at least): a universe that is expected to need more is split by a hash of the
+    keys into as many parts as it takes, each with a cascade of its own. ``keys`` is a written
+    table, read once for a part and level. Null keys are not part of the universe.
     """
     keys = keys.where(F.col("key").isNotNull())
+    sizes = keys.agg(F.count_if("listed").alias("listed"), F.count_if(~F.col("listed")).alias("others")).first()
+    # Levels hold, in turns, what is left of the others and of the listed after so many filters.
+    wrong = (1 - math.exp(-hashes / bits_per_key)) ** hashes
+    bits = (sizes.listed + wrong * sizes.others) / (1 - wrong) * bits_per_key if sizes.listed else 0
+    parts = max(1, math.ceil(bits / max(8 * max_bytes, WORD)))
+    part = part_of(F.col("key"), parts)
+    several = [keys.where(part == i) for i in range(parts)] if parts > 1 else [keys]
+    return SplitCascade([_levels(some, bits_per_key, hashes) for some in several])
+
+
+def _levels(keys: DataFrame, bits_per_key: int, hashes: int) -> Cascade:
+    """The levels of one cascade, each sized by a count of what it holds."""
     inside, outside = keys.where("listed").select("key"), keys.where(~F.col("listed")).select("key")
     levels: list[tuple[DataFrame, int]] = []
-    spent = 0
     while (count := inside.count()) > 0:
         words = -(-count * bits_per_key // WORD)
-        spent += words * WORD // 8
-        if spent > max_bytes:
-            return Cascade([], hashes, keys.where("listed").select("key"))
         level = len(levels)
         bits = inside.select(
             F.explode(F.array(*_positions(F.col("key"), level, hashes, words))).alias("bit")
