@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from odd_tables import ROWS, SF
@@ -57,6 +58,39 @@ def test_mix_keeps_all_and_follows_the_targets(spark):
         assert all(abs(seen[s] - w * k / 8) < 1 for s, w in (("big", 4), ("mid", 2), ("low", 1), (None, 1)))
 
 
+@pytest.mark.parametrize("stretch", [7, 50])
+def test_stretches_make_one_round(spark, monkeypatch, stretch):
+    weights = [5, 3, 2, 7, 1, 1, 1, 3, 13]
+    df = spark.createDataFrame([(f"s{i:02}", w) for i, w in enumerate(weights)], "source string, weight long")
+    monkeypatch.setattr(mixing, "STRETCH", stretch)
+    rows = mixing.timetable(df).orderBy("slot").collect()
+    assert [int(r.source[1:]) for r in rows] == brute_round(weights)
+    assert all(r.turn == sum(x.source == r.source for x in rows[: r.slot]) for r in rows)
+
+
+def test_any_number_of_sources(spark):
+    name = F.when(F.col("doc_id") < 3, F.lit("big")).otherwise(F.concat(F.lit("h"), F.col("doc_id").cast("string")))
+    docs = spark.range(200_003).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")).withColumn("source", name)
+    found = mixing.mix_sources(docs, {"big": 5}, block=1).select("source", "mix_position").toPandas()
+    assert len(found) == 200_003 and found["mix_position"].nunique() == 200_003
+    places = sorted(found.loc[found["source"] == "big", "mix_position"])
+    # Three of its five blocks of a round of 200,005 slots, each between release and deadline.
+    assert all(k * 40_001 <= at < (k + 1) * 40_001 for k, at in enumerate(places))
+
+
+def test_rows_without_id_are_spread(spark):
+    docs = spark.range(3000).select(
+        F.lit(None).cast("bigint").alias("doc_id"), F.col("id").cast("string").alias("text"),
+        F.lit("a").alias("source"), F.lit(7).alias("mix_position"),
+    )
+    found = mixing.mix_sources(docs, {}, block=4).toPandas()
+    assert sorted(found["mix_position"]) == list(range(3000))
+    weights = spark.createDataFrame([("a", 1)], "source string, weight long")
+    ranks = mixing.numbered_rows(docs, weights).select("row.text", "rank").toPandas().sort_values("rank")
+    # In the order of their hashes, not of the rows that came.
+    assert list(ranks["rank"]) == list(range(3000)) and list(ranks["text"]) != sorted(ranks["text"], key=int)
+
+
 def test_mixing_odd_rows(spark, odd, none):
     found = mixing.mix_sources(odd, {"a": 2, "unheard of": 3}, block=2)
     assert found.columns == [*odd.columns, "mix_block", "mix_slot", "mix_position"]
