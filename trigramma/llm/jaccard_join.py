@@ -305,14 +305,15 @@ def keep_one(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     """
     spark = documents.sparkSession
     stay = F.col("component_id").eqNullSafe(F.col("doc_id"))
-    path = scratch_path(spark, "kept")
+    path = scratch_path(spark, "gone")
     with run_folder(spark, "near"):
-        found = near_duplicates(documents, size, percent).where(stay)
-        found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    kept = spark.read.parquet(path)
-    single = rows_with(documents, kept.where("rows = 1 or doc_id is null"))
-    several = rows_with(documents, kept.where("rows > 1 and doc_id is not null"))
-    return single.unionByName(several.dropDuplicates(["doc_id"]))
+        found = near_duplicates(documents, size, percent)
+        stays = found.groupBy("doc_id").agg(F.count_if(stay).alias("rows"))
+        # Few beside those that stay: ids of which all rows go, or all but one of several.
+        stays.where("rows = 0 or (rows > 1 and doc_id is not null)").write.parquet(path)
+    gone = spark.read.parquet(path)
+    several = rows_with(documents, gone.where("rows > 1"))
+    return rows_with(documents, gone, "left_anti").unionByName(several.dropDuplicates(["doc_id"]))
 
 
 def _classes(sets: DataFrame) -> DataFrame:
@@ -374,23 +375,23 @@ def class_links(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> Da
     wide = F.slice("shingles", 1, (n - F.ceil(n * percent / 100) + 1 + F.floor(n * WIDER)).cast("int"))
     again = _shared(members.select("s1", F.explode(wide).alias("hash")))
     clusters = _clusters(_short(again, classes, WIDER, percent))
-    return _cluster_links(members.drop("root", "size").join(clusters, ["s1", "s2"]), percent)
+    return _cluster_links(members.join(clusters, ["s1", "s2"]), percent)
 
 
 def _members(docs: DataFrame, classes: DataFrame, clusters: DataFrame, size: int) -> DataFrame:
-    """``s1, s2, copies, root, size, shingles`` of all classes in clusters.
+    """``s1, s2, copies, shingles`` of all classes in clusters.
 
     A class comes again for every row that repeats its ``doc_id`` and its text.
     """
     asked = materialised(
-        classes.join(clusters, ["s1", "s2"]).select("least", "s1", "s2", "copies", "root", "size"), "asked"
+        classes.join(clusters, ["s1", "s2"], "left_semi").select("least", "s1", "s2", "copies"), "asked"
     )
     by_id = asked.where("least is not null").withColumnRenamed("least", "doc_id")
     # Few names go to the texts, which then stay where they are; many meet them in a shuffle.
     if asked.count() <= FEW:
         by_id = F.broadcast(by_id)
-    kept = "s1 long, s2 long, copies long, root struct<s1:long,s2:long>, size long, shingles array<long>"
-    found = docs.join(by_id, "doc_id").select("text", "s1", "s2", "copies", "root", "size").mapInArrow(
+    kept = "s1 long, s2 long, copies long, shingles array<long>"
+    found = docs.join(by_id, "doc_id").select("text", "s1", "s2", "copies").mapInArrow(
         partial(_arrays, size=size), kept
     )
     # Classes of which no member has an id are looked up by name.

@@ -382,7 +382,9 @@ def keep_determined(documents: DataFrame, least: float = 0.5) -> DataFrame:
     key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.sha2("text", 256))
     docs = documents.select("doc_id", "text", "lang")
     found = label(docs.select(key.alias("doc_id"), "text"), learn(docs))
-    good = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
-    listed = materialised(good.select("doc_id").distinct(), "determined")
+    good = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)
+    # Fewer than those that stay. A row without id and text has no key, and goes.
+    verdicts = found.groupBy("doc_id").agg(F.max(good).alias("good"))
+    rejected = materialised(verdicts.where(~F.col("good") | F.col("doc_id").isNull()).select("doc_id"), "rejected")
     rows = whole_rows(documents, "doc_id", "text").select("row", key.alias("doc_id"))
-    return rows_with(rows, listed).select("row.*")
+    return rows_with(rows, rejected, "left_anti").select("row.*")
