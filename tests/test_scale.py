@@ -186,3 +186,13 @@ def test_positions_follow_the_order_over_many_partitions(spark, conf, hot, order
         assert [w for w, _ in words] == sorted(w for w, _ in words)
     with pytest.raises(ValueError):
         ranking.rank_model(model, "random")
+
+
+def test_pairs_and_partitions_are_counted_where_the_rows_lie(spark, monkeypatch):
+    written = []
+    kept = contract.materialised
+    monkeypatch.setattr(contract, "materialised", lambda df, name: written.append((name, df)) or kept(df, name))
+    found = contract.cluster_by_pair(spark, SF)
+    name, df = written[-1]
+    assert name == "clustered" and df.columns == ["w1", "w2", "part", "count"]
+    assert {r.n_partitions for r in found.collect()} == {1}
