@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from trigramma.operators import counts, joins, ranking
 from trigramma.operators.filters import filter_stopwords
-from trigramma.plans.model import kept_text_rows, model_of
+from trigramma.plans.model import kept_text_rows, model_of, stage_row_counts
 from trigramma.session import materialised
 
 SF = "/root/testdata/sf0.001"
@@ -188,6 +188,20 @@ def test_positions_follow_the_order_over_many_partitions(spark, conf, hot, order
         ranking.rank_model(model, "random")
 
 
+def test_row_counts_ask_pairs_and_words_without_their_sums(spark, conf):
+    rows = spark.createDataFrame(
+        [("a", "b", "c", 1.0), ("a", "b", "c", 2.0), (None, "b", "d", 1.0), ("e", None, "f", 1.0), ("g", "h", None, 1.0)],
+        "w1 string, w2 string, w3 string, cnt double")
+    found = stage_row_counts(rows)
+    # Words without a whole pair count for nothing, as in pair_sums: e and f here.
+    pairs = counts.pair_sums(counts.trigram_sums(rows))
+    words = counts.unigrams_of_pairs(pairs).count()
+    got = {r.stage: r.records for r in found.collect()}
+    assert got["bigrams"] == pairs.count() == 4 and got["unigrams"] == words == 6
+    assert got["kept rows"] == 5 and got["trigrams"] == 4
+    assert "sum(h" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pairs_and_partitions_are_counted_where_the_rows_lie(spark, monkeypatch):
     written = []
     kept = contract.materialised

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trigramma.functions.scalar import HEBREW, ieee_divide, interpolate
 from trigramma.functions.stopwords import HEBREW_STOPWORDS
-from trigramma.operators.counts import WORDS, pair_sums, trigram_sums, unigrams_of_pairs
+from trigramma.operators.counts import WORDS, trigram_sums
 from trigramma.operators.filters import filter_alphabet, filter_arity, filter_stopwords
 from trigramma.operators.joins import trigram_statistics
 from trigramma.operators.ranking import rank_model, top_next_words
@@ -197,12 +197,18 @@ def stage_row_counts(rows: DataFrame) -> DataFrame:
     its share of the total; every distinct trigram asks for four statistics.
     """
     one = F.count(F.lit(1))
-    sums = rows.groupBy(*WORDS).agg(F.sum("cnt").alias("s"), one.alias("kept"))
-    sums = materialised(sums, "trigram_sums")
-    pairs = pair_sums(sums)
+    sums = materialised(rows.groupBy(*WORDS).agg(one.alias("kept")), "trigram_sums")
     totals = sums.agg(F.coalesce(F.sum("kept"), F.lit(0)).alias("kept"), one.alias("trigrams"))
-    totals = totals.withColumn("unigrams", unigrams_of_pairs(pairs).agg(one).scalar())
-    totals = totals.withColumn("bigrams", pairs.agg(one).scalar())
+    # Only numbers are asked for, so pairs and words are looked at without their sums. A word is one of a whole pair.
+    w1, w2, w3 = map(F.col, WORDS)
+    pairs = F.array(F.struct(w1.alias("a"), w2.alias("b")), F.struct(w2.alias("a"), w3.alias("b")))
+    words = F.array(F.when(w2.isNotNull(), w1), F.when(w1.isNotNull() | w3.isNotNull(), w2), F.when(w2.isNotNull(), w3))
+    distinct = {
+        "unigrams": sums.select(F.explode(words).alias("w")).where(F.col("w").isNotNull()),
+        "bigrams": sums.select(F.inline(pairs)).where(F.col("a").isNotNull() & F.col("b").isNotNull()),
+    }
+    for name, keys in distinct.items():
+        totals = totals.withColumn(name, keys.distinct().agg(one).scalar())
     return totals.selectExpr(
         "stack(7, 'kept rows', kept, 'count records', 7 * kept, 'unigrams', unigrams,"
         " 'bigrams', bigrams, 'trigrams', trigrams,"
