@@ -188,6 +188,12 @@ def test_positions_follow_the_order_over_many_partitions(spark, conf, hot, order
         ranking.rank_model(model, "random")
 
 
+def test_hash_of_the_join_key_is_short(spark, conf, hot):
+    merge_joins_only(conf)
+    _, plan = run(joins.trigram_statistics(hot))
+    assert re.search(r"[^x]hash\(w1", plan) and "xxhash64" not in plan
+
+
 def test_row_counts_ask_pairs_and_words_without_their_sums(spark, conf):
     rows = spark.createDataFrame(
         [("a", "b", "c", 1.0), ("a", "b", "c", 2.0), (None, "b", "d", 1.0), ("e", None, "f", 1.0), ("g", "h", None, 1.0)],

@@ -14,6 +14,7 @@ from trigramma.functions.scalar import split_phrase
 from trigramma.functions.stopwords import HEBREW_STOPWORDS
 from trigramma.operators import filters
 from trigramma.operators.ranking import predict
+from trigramma.plans import model
 from trigramma.plans.model import RunCounts, build_model, kept_ngrams, kept_rows, model_of, write_model_text
 from trigramma.session import discard, materialised, scratch_path, shared_folder
 from trigramma.sources import readers, writers
@@ -312,6 +313,38 @@ def test_small_scans_are_dealt_out_and_large_ones_left(spark, conf, tmp_path):
     assert "RoundRobin" not in readers.spread(spark.read.parquet(path))._jdf.queryExecution().toString()
 
 
+def test_dealt_rows_go_to_more_tasks_the_larger_the_table(spark, monkeypatch, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 100_000, 1, 1).selectExpr("id", "concat('text ', id) AS text").write.parquet(path)
+    held = sum(os.path.getsize(f"{path}/{name}") for name in os.listdir(path) if name.startswith("part-"))
+    monkeypatch.setattr(readers, "DEALT", held // 20)
+    dealt = readers.spread(spark.read.parquet(path).select("text"))
+    assert "RoundRobinPartitioning(24)" in dealt._jdf.queryExecution().toString()
+    assert dealt.count() == 100_000
+
+
+def test_files_that_keep_the_cores_busy_are_left_as_they_lie(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 1600, 1, 16).write.parquet(path)
+    assert "RoundRobin" not in readers.spread(spark.read.parquet(path))._jdf.queryExecution().toString()
+    path = str(tmp_path / "few")
+    spark.range(0, 1600, 1, 7).write.parquet(path)
+    assert "RoundRobinPartitioning(8)" in readers.spread(spark.read.parquet(path))._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("stop", [["the", None], []])
+def test_words_are_looked_at_once_with_the_same_trigrams(spark, stop):
+    texts = spark.createDataFrame(
+        [(1, "a b  c\td\x0be the f g h"), (2, " a b c"), (3, "a b c "), (4, "A b c d1 e f g"), (5, None), (6, ""), (7, "a b"),
+         (8, "a b\u00a0c d e f"), (9, "the the the a b c")], "id long, text string")
+    plain = filters.filter_stopwords(filters.filter_alphabet(readers.trigrams_from_text(texts), "a-z"), stop)
+    found = model.kept_text_rows(texts, stop, "a-z")
+    assert found.columns == plain.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect())) != []
+    # Without the filters of every row: one look at a word.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 1
+
+
 def test_formulas_are_the_same_in_columns_and_in_sql(spark):
     from trigramma.functions.scalar import confidence, interpolate
     from trigramma.functions.sql import definitions, register_functions

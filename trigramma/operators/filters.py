@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trigramma.functions.scalar import (
@@ -48,9 +48,18 @@ def filter_stopwords(df: DataFrame, stop: DataFrame | Iterable[str]) -> DataFram
             listed = stop.select(F.col("word").alias(word)).distinct()
             df = lookup(df, listed, [word], "left_anti")
         return df
-    words = sorted({word for word in stop if word is not None})
+    words = stop_list(stop)
     if not words:
         return df
     for word in WORDS:
-        df = df.where(~F.coalesce(F.col(word).isin(words), F.lit(False)))
+        df = df.where(no_stopword(F.col(word), words))
     return df
+
+
+def stop_list(stop: Iterable[str]) -> list[str]:
+    return sorted({word for word in stop if word is not None})
+
+
+def no_stopword(word: Column, words: list[str]) -> Column:
+    """Not one of ``words``; true for NULL."""
+    return ~F.coalesce(word.isin(words), F.lit(False))

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from trigramma.functions.scalar import HEBREW, ieee_divide, interpolate
+from trigramma.functions.scalar import HEBREW, ieee_divide, interpolate, only_letters
 from trigramma.functions.stopwords import HEBREW_STOPWORDS
 from trigramma.operators.counts import WORDS, trigram_sums
-from trigramma.operators.filters import filter_alphabet, filter_arity, filter_stopwords
+from trigramma.operators.filters import filter_alphabet, filter_arity, filter_stopwords, no_stopword, stop_list
 from trigramma.operators.joins import trigram_statistics
 from trigramma.operators.ranking import rank_model, top_next_words
-from trigramma.sources.readers import parse_ngrams, to_trigram, trigrams_from_text
+from trigramma.sources.readers import parse_ngrams, to_trigram, trigrams_of_words
 from trigramma.session import materialised, run_folder
 from trigramma.sources.writers import stage_record, write_ranked_text, write_stage
 
@@ -88,9 +88,18 @@ def kept_ngrams(
 def kept_text_rows(
     texts: DataFrame, stop: DataFrame | Iterable[str] = HEBREW_STOPWORDS, letters: str = HEBREW
 ) -> DataFrame:
-    """Trigrams of a ``text`` column that pass the filters."""
-    rows = trigrams_from_text(texts.select("text"))
-    return filter_stopwords(filter_alphabet(rows, letters), stop)
+    """Trigrams of a ``text`` column that pass the filters.
+
+    The alphabet and a list of stop words are asked of the words of a text, a stop table of the trigrams.
+    """
+    listed = [] if isinstance(stop, DataFrame) else stop_list(stop)
+
+    def wanted(word: Column) -> Column:
+        kept = only_letters(word, letters)
+        return kept & no_stopword(word, listed) if listed else kept
+
+    rows = trigrams_of_words(texts.select("text"), wanted)
+    return filter_stopwords(rows, stop) if isinstance(stop, DataFrame) else rows
 
 
 def add_probability(statistics: DataFrame, undefined: str = "nan") -> DataFrame:

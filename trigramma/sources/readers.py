@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -145,19 +145,36 @@ def convert_ngram_seq(spark: SparkSession, path: str, stage: str, key: str, on_b
     return write_stage(parse_ngrams(read_ngram_seq(spark, path), on_bad), stage, key)
 
 
+# Bytes of a table's files that a task gets, at most, of a scan that is dealt out.
+DEALT = 32 << 20
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Deal the rows of a small scan over all cores.
 
     An input of one file or row group would leave a single task to do the work. One that fills
-    a split per core (``spark.sql.files.maxPartitionBytes``) keeps its own splits and is not shuffled.
+    a split per core (``spark.sql.files.maxPartitionBytes``), or whose files keep the cores busy as they
+    lie, keeps its own splits and is not shuffled. What is dealt out goes to more tasks the larger
+    it is, so that no task's share, nor what it sums up before a shuffle, grows with the table.
     """
     spark = scan.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get("spark.sql.files.maxPartitionBytes")
     )
-    held = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return scan if int(str(held)) >= cores * split else scan.repartition(cores)
+    # Of the files: splits are cut from them, however few columns are read.
+    held = int(str(scan._jdf.queryExecution().optimizedPlan().collectLeaves().head().stats().sizeInBytes()))
+    if held >= cores * split or _busy(scan, cores):
+        return scan
+    return scan.repartition(cores * max(1, -(-held // (cores * DEALT))))
+
+
+def _busy(scan: DataFrame, cores: int) -> bool:
+    """Whether a scan's own files make tasks for all cores, and a last round of tasks that is nearly full."""
+    if len(scan.inputFiles()) < cores:
+        return False
+    splits = scan.rdd.getNumPartitions()
+    return 4 * cores * -(-splits // cores) <= 5 * splits
 
 
 def trigrams_from_text(df: DataFrame, text: str | Column = "text", *keep: str) -> DataFrame:
@@ -168,11 +185,31 @@ def trigrams_from_text(df: DataFrame, text: str | Column = "text", *keep: str) -
     last two positions, which lack a third word, fall out. (A filter on the
     number of words would split every text twice.)
     """
-    words = df.select(*keep, F.split(text, r"\s+").alias("words"))
+    rows = _neighbours(df.select(*keep, _words_of(text).alias("words")), *keep)
+    return rows.where(F.col("w3").isNotNull()).select(*keep, "w1", "w2", "w3", F.lit(1.0).alias("cnt"))
+
+
+def trigrams_of_words(df: DataFrame, wanted: Callable[[Column], Column], text: str = "text") -> DataFrame:
+    """Those of ``trigrams_from_text`` of which all three words are ``wanted``.
+
+    A word is looked at once, where it stands in its text, and not in each of its three trigrams.
+    """
+    words = F.transform(_words_of(text), lambda word: F.when(wanted(word), word))
+    rows = _neighbours(df.select(words.alias("words")))
+    for name in ("w1", "w2", "w3"):
+        rows = rows.where(F.col(name).isNotNull())
+    return rows.select("w1", "w2", "w3", F.lit(1.0).alias("cnt"))
+
+
+def _words_of(text: str | Column) -> Column:
+    return F.split(text, r"\s+")
+
+
+def _neighbours(words: DataFrame, *keep: str) -> DataFrame:
+    """One row per place in ``words``, the last two of them short of words."""
     shifted = F.arrays_zip(
         F.col("words").alias("w1"),
         F.slice("words", F.lit(2), F.size("words")).alias("w2"),
         F.slice("words", F.lit(3), F.size("words")).alias("w3"),
     )
-    rows = words.select(*keep, F.inline(shifted)).where(F.col("w3").isNotNull())
-    return rows.select(*keep, "w1", "w2", "w3", F.lit(1.0).alias("cnt"))
+    return words.select(*keep, F.inline(shifted))
