@@ -566,3 +566,15 @@ def test_rows_without_id_are_kept_by_their_own_text(spark):
     rows += [(None, by["en"] * 2, "en"), (None, "12 34 !!", "en"), (None, None, None)]
     kept = language_id.keep_determined(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
     assert [r.text for r in kept.collect() if r.doc_id is None] == [by["en"] * 2]
+
+
+def test_the_field_is_fitted_in_a_task_not_in_the_driver(spark, monkeypatch):
+    def here(*args):
+        raise AssertionError("fitted in the driver")
+
+    monkeypatch.setattr(language_id, "fit", here)
+    rows = [(i, f"the white house {i}" if i % 2 else f"la maison blanche {i}", "en" if i % 2 else "fr") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    field = language_id.learn(docs)
+    assert field.langs == ["en", "fr"] and field.grams.any()
+    assert language_id.learn(docs.where("doc_id < 0")) is None

@@ -6,12 +6,13 @@ transitions between languages are learned together, from labelled texts of which
 are strung together as code-switched text would be. Forward-backward then gives every
 word its probability of each language, and a document the language with the most words.
 
-The field is fitted on the driver from whole texts of a bounded number of labelled rows; every whole
+The field is fitted in one task from whole texts of a bounded number of labelled rows; every whole
 text is labelled in the tasks, a batch at a time.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -317,17 +318,26 @@ def learn(documents: DataFrame) -> Field | None:
     """The field of the labelled rows of ``documents(doc_id, text, lang)``; None without any.
 
     At most ``SAMPLE_TEXTS`` rows per language, those of the smallest hash of the id; their texts are whole.
+    One task fits it: the driver sees the weights alone, and keeps nothing of what a fit holds on the way.
     """
     rows = documents.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text"))
     chosen = (
         rows.select("doc_id", "lang", "text")
         .withColumn("rank", rank).where(F.col("rank") <= SAMPLE_TEXTS)
-        .select("text", "lang").toArrow()
+        .select("text", "lang")
     )
-    if not chosen.num_rows:
-        return None
-    return fit(chosen["text"].to_pylist(), chosen["lang"].to_pylist())
+    found = chosen.repartition(1).mapInArrow(_fitted, "field binary").collect()
+    return pickle.loads(found[0].field) if found else None
+
+
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    texts, labels = [], []
+    for batch in batches:
+        texts += batch["text"].to_pylist()
+        labels += batch["lang"].to_pylist()
+    if texts:
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, labels))], pa.binary())], ["field"])
 
 
 def label(documents: DataFrame, field: Field | None, keep: str = "doc_id") -> DataFrame:
