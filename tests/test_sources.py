@@ -357,3 +357,26 @@ def test_formulas_are_the_same_in_columns_and_in_sql(spark):
     columns = df.select(confidence(F.col("n2")).alias("k"), interpolate(*map(F.col, names)).alias("p")).collect()
     text = df.selectExpr("confidence(n2) AS k", f"interpolate({', '.join(names)}) AS p").collect()
     assert [repr(tuple(r)) for r in columns] == [repr(tuple(r)) for r in text]
+
+
+def test_fields_of_lines_are_found_without_arrays(spark):
+    lines = {
+        "a b c\t2000\t7": 7.0, "a\t\t5": 5.0, "a\t2000\t7\t8\t9": 7.0, "a\t2000\t1e3\t": 1000.0, "\t\t2": 2.0,
+        "12": None, "a\t12": None, "a\t2000\t": None, "a\t2000\t\t12": None, "": None, "\t": None, "\t\t": None,
+    }
+    table = spark.createDataFrame([(line,) for line in lines], "value string")
+    parsed = readers.parse_ngrams(table, "quarantine")
+    found = parsed.collect()
+    assert [r.cnt for r in found] == list(lines.values())
+    assert [r.ngram for r in found] == [line.split("\t")[0] for line in lines]
+    assert [r.bad_record for r in found] == [None if n is not None else line for line, n in lines.items()]
+    assert readers.parse_ngrams(table, "drop").count() == 5
+    assert "split" not in parsed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_and_bad_lines_are_counted_in_one_pass(spark):
+    seen = RunCounts()
+    rows = kept_rows(spark.createDataFrame([("a b c\t2000\t1",), ("a b c\t2000",), ("x1 b c\t2000\t1",)], "value string"), [], "a-z", "drop", seen)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("CollectMetrics") == 2
+    assert rows.count() == 1
+    assert seen.get() == {"lines": 3, "bad lines": 1, "kept rows": 1}

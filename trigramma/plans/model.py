@@ -30,21 +30,22 @@ class RunCounts:
 
     def __init__(self):
         self.names = ("lines", "bad lines", "kept rows", "trigrams")
-        self.seen = {name: Observation() for name in self.names}
+        self.seen: dict[str, Observation] = {}
         self.used: list[str] = []
         self.kept: dict[str, int] | None = None
 
     def count(self, df: DataFrame, *names: str, bad: str | None = None) -> DataFrame:
-        for name in names:
-            self.used.append(name)
-            which = F.count_if(F.col(bad).isNull()) if name == "bad lines" else F.count(F.lit(1))
-            df = df.observe(self.seen[name], which.alias("records"))
-        return df
+        """``df`` with its rows counted under ``names``, those of one place in one pass."""
+        self.used += names
+        place = Observation()
+        self.seen |= dict.fromkeys(names, place)
+        which = {name: F.count_if(F.col(bad).isNull()) if name == "bad lines" else F.count(F.lit(1)) for name in names}
+        return df.observe(place, *[asked.alias(name) for name, asked in which.items()])
 
     def get(self) -> dict[str, int]:
         if self.kept is None:
             # Only what is counted somewhere in the plan will ever come.
-            self.kept = {name: self.seen[name].get["records"] for name in self.names if name in self.used}
+            self.kept = {name: self.seen[name].get[name] for name in self.names if name in self.used}
         return self.kept
 
     def restore(self, kept: dict[str, int]) -> None:
