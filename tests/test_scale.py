@@ -216,3 +216,19 @@ def test_pairs_and_partitions_are_counted_where_the_rows_lie(spark, monkeypatch)
     name, df = written[-1]
     assert name == "clustered" and df.columns == ["w1", "w2", "part", "count"]
     assert {r.n_partitions for r in found.collect()} == {1}
+
+
+def test_only_words_and_probability_are_written_for_text(spark, monkeypatch):
+    written = []
+    kept = ranking.materialised
+    monkeypatch.setattr(ranking, "materialised", lambda df, name: written.append((name, df.columns)) or kept(df, name))
+    contract.text_round_trip(spark, SF)
+    assert written == [("unranked", ["w1", "w2", "w3", "p"])]
+
+
+@pytest.mark.parametrize("k", [5, 1001])
+def test_ranks_are_sorted_by_a_number_first(spark, conf, hot, k):
+    merge_joins_only(conf)
+    model = hot.select("w1", "w2", "w3", (F.hash("w3") % 1000 / 1000.0).alias("p"))
+    sorts = re.findall(r"Sort \[(\w+)#", ranking.top_next_words(model, k)._jdf.queryExecution().executedPlan().toString())
+    assert len(sorts) >= 2 and not {"w1", "w2", "w3"} & set(sorts)

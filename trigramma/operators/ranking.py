@@ -84,12 +84,14 @@ def top_next_words(model: DataFrame, k: int = 5) -> DataFrame:
     """
     defined = F.nanvl("p", F.lit(None).cast("double"))
     order = [defined.desc_nulls_last(), F.asc("w3")]
+    # The sorts before and after the shuffle compare a number first, not words that begin alike.
+    pair = [F.hash("w1", "w2"), F.col("w1"), F.col("w2")]
     if k > LIMITED:
         part = F.pmod(F.xxhash64("w3"), F.lit(PARTS))
-        parts = Window.partitionBy("w1", "w2", part).orderBy(*order)
+        parts = Window.partitionBy(*pair, part).orderBy(*order)
         ranked = model.withColumn("rank", F.row_number().over(parts))
         model = ranked.where(F.col("rank") <= k).drop("rank")
-    best = Window.partitionBy("w1", "w2").orderBy(*order)
+    best = Window.partitionBy(*pair).orderBy(*order)
     return (
         model.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
