@@ -5,9 +5,11 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from odd_tables import ROWS, wide, SCHEMA
 from trigramma.llm import decontaminate, jaccard_join, line_dedup
+from trigramma.llm import common
 from trigramma.llm.common import connected_components
 
 
@@ -145,6 +147,37 @@ def test_components(spark):
     assert found == {n: min(reach(links, n)) for n in nodes}
 
 
+@pytest.mark.parametrize("most", [3, 500_000])
+def test_components_of_names_by_steps_and_in_a_task(spark, monkeypatch, most):
+    """Names of two numbers, some below zero; a star, a chain in odd order and pairs; repeats and loops."""
+    monkeypatch.setattr(common, "EDGES", most)
+    rnd = random.Random(4)
+    names = [(rnd.randrange(-5, 5) << 58, rnd.randrange(-(2**62), 2**62)) for _ in range(60)]
+    edges = [(0, i) for i in range(1, 20)] + [(i, i + 1) for i in range(20, 45)] + [(50, 51), (51, 50), (51, 50), (55, 55)]
+    rows = [(*names[a], *names[b]) for a, b in edges]
+    frame = spark.createDataFrame(rows, "p long, q long, r long, s long").selectExpr(
+        "struct(p AS s1, q AS s2) AS a", "struct(r AS s1, s AS s2) AS b"
+    )
+    found = {tuple(node): tuple(root) for node, root in connected_components(frame).collect()}
+    links = [set() for _ in names]
+    for a, b in edges:
+        links[a].add(b)
+        links[b].add(a)
+    nodes = {x for a, b in edges if a != b for x in (a, b)}
+    assert found == {names[n]: min(names[m] for m in reach(links, n)) for n in nodes}
+
+
+def test_components_of_a_small_graph_take_few_jobs(spark):
+    """The driver keeps a record of every job and plan; steps took some ten jobs each, and a chain several steps."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a int, b int")
+    spark.sparkContext.setJobGroup("small components", "")
+    try:
+        assert connected_components(edges).where("root = 0").count() == 301
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("small components")) <= 10
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
 def test_decontamination_against_brute_force(spark, odd):
     import re
 
