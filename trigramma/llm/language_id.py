@@ -13,6 +13,7 @@ text is labelled in the tasks, a batch at a time.
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -315,10 +316,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(documents: DataFrame) -> Field | None:
-    """The field of the labelled rows of ``documents(doc_id, text, lang)``; None without any.
+    """The field of the labelled rows of ``documents(doc_id, text, lang)``; None without any."""
+    return _unpacked(learn_packed(documents))
+
+
+def learn_packed(documents: DataFrame) -> bytes | None:
+    """What ``learn`` finds, packed: most weights are zeros, so that it takes a fraction of their bytes.
 
     At most ``SAMPLE_TEXTS`` rows per language, those of the smallest hash of the id; their texts are whole.
-    One task fits it: the driver sees the weights alone, and keeps nothing of what a fit holds on the way.
+    One task fits it: the driver passes it on as it is, and keeps nothing of what a fit holds on the way.
     """
     rows = documents.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text"))
@@ -328,7 +334,7 @@ def learn(documents: DataFrame) -> Field | None:
         .select("text", "lang")
     )
     found = chosen.repartition(1).mapInArrow(_fitted, "field binary").collect()
-    return pickle.loads(found[0].field) if found else None
+    return bytes(found[0].field) if found else None
 
 
 def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,18 +343,23 @@ def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts += batch["text"].to_pylist()
         labels += batch["lang"].to_pylist()
     if texts:
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, labels))], pa.binary())], ["field"])
+        packed = zlib.compress(pickle.dumps(fit(texts, labels)), 1)
+        yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], ["field"])
+
+
+def _unpacked(packed: bytes | None) -> Field | None:
+    return None if packed is None else pickle.loads(zlib.decompress(packed))
 
 
-def label(documents: DataFrame, field: Field | None, keep: str = "doc_id") -> DataFrame:
-    """``keep, lang_pred, score`` for ``documents(keep, text)``."""
+def label(documents: DataFrame, packed: bytes | None, keep: str = "doc_id") -> DataFrame:
+    """``keep, lang_pred, score`` for ``documents(keep, text)``, by the field that ``learn_packed`` found."""
     kind = documents.schema[keep].dataType.simpleString()
     names = [keep, "lang_pred", "score"]
-    held = documents.sparkSession.sparkContext.broadcast(field)
+    held = documents.sparkSession.sparkContext.broadcast(packed)
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tables()
-        known = held.value
+        known = _unpacked(held.value)
         for batch in sliced(batches):
             best, scores = [], []
             for part in parts(batch["text"].to_pylist(), PART):
@@ -378,7 +389,7 @@ def predict_language(documents: DataFrame) -> DataFrame:
     columns are not read.
     """
     docs = documents.select("doc_id", "text", "lang")
-    found = label(docs, learn(docs))
+    found = label(docs, learn_packed(docs))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
@@ -391,7 +402,7 @@ def keep_determined(documents: DataFrame, least: float = 0.5) -> DataFrame:
     """
     key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.sha2("text", 256))
     docs = documents.select("doc_id", "text", "lang")
-    found = label(docs.select(key.alias("doc_id"), "text"), learn(docs))
+    found = label(docs.select(key.alias("doc_id"), "text"), learn_packed(docs))
     good = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)
     # Fewer than those that stay. A row without id and text has no key, and goes.
     verdicts = found.groupBy("doc_id").agg(F.max(good).alias("good"))
