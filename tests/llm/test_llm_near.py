@@ -285,3 +285,22 @@ def test_lines_count_as_seen_by_their_bytes(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     monkeypatch.setattr(line_dedup, "F", Same())
     assert sorted(map(tuple, line_dedup.line_dedup_report(df).collect())) == brute_runs(rows)
+
+
+@pytest.mark.parametrize("few", [0, 3])
+def test_many_repeated_lines_move_no_texts(spark, monkeypatch, few):
+    """Beyond the number of keys or rows that are sent to the texts: same result, and windows do not carry their text's lines."""
+    passage = [f"shared line {i} " + "x" * 200 for i in range(6)]
+    rows = [(i, "\n".join([f"own {i} {k} " + "y" * 200 for k in range(40)] + passage[i % 4 :])) for i in range(30)]
+    rows += [(30, None), (31, ""), (32, "a\nb\na\nb")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(common, "FEW", few)
+    met = []
+    monkeypatch.setattr(line_dedup, "meet", lambda left, right, on: met.append(left) or common.meet(left, right, on))
+    want = brute_runs(rows)
+    assert sorted(map(tuple, line_dedup.line_dedup_report(df).collect())) == want
+    assert sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(df).collect()) == [(w[0], w[3]) for w in want]
+    assert "lines" not in met[0].columns and not any("array" in kind for _, kind in met[0].dtypes)
+    # A row of a few numbers and a digest, whatever the length of the texts.
+    sizes = [sum(len(v) if isinstance(v, (bytes, bytearray, str)) else 8 for v in r) for r in met[0].collect()]
+    assert len(sizes) > 1200 and max(sizes) < 100

@@ -6,7 +6,8 @@ shared lines, and the places where marks begin and end are the boundaries of chu
 longest run of lines that occurred before, whatever its length from two lines on. (Boundaries
 set by the hash value alone, one in three lines, leave the ends of most passages in chunks
 with foreign lines; measured, they found half of the repeated lines.) Two lines
-count as seen before only if their bytes are. Everything is DataFrame code.
+count as seen before only if their bytes are, which go by their SHA-256: texts stay where they
+are, and what moves of a line is a few numbers and 32 bytes. Everything is DataFrame code.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trigramma.llm import common
 from trigramma.llm.common import meet, rows_with, whole_rows
 from trigramma.operators.joins import lookup
 from trigramma.session import materialised, run_folder, scratch_path
@@ -29,11 +31,12 @@ def _text_of(first: Column, last: Column) -> Column:
 
 
 def _windows(texts: DataFrame, *keep: str) -> DataFrame:
-    """``keep, lines, first, last, key``: every line that is not blank, to the next one that is not.
+    """``keep, first, last, key, said``: every line that is not blank, to the next one that is not.
 
     Any run of lines that has two and more of them, and begins and ends with one, is made of
     such windows: it occurred before if, and only if, they did in a row. ``key`` is the rolling
-    hash of the two lines; blank lines between do not enter it.
+    hash of the two lines; blank lines between do not enter it. ``said`` is the SHA-256 of the
+    window's bytes: a window never carries lines, of which its text may have any number.
     """
     lines = _once(texts.where("text is not null"), F.split("text", "\n"), "lines", *keep)
     numbers = F.sequence(F.lit(1), F.size("lines"))
@@ -49,7 +52,9 @@ def _windows(texts: DataFrame, *keep: str) -> DataFrame:
             F.xxhash64(a["hash"], F.get("solid", k + 1)["hash"]).alias("key"),
         ),
     )
-    return solid.select(*keep, "lines", F.inline(ends))
+    windows = solid.select(*keep, "lines", F.inline(ends))
+    said = F.unhex(F.sha2(_text_of(F.col("first"), F.col("last")), 256)).alias("said")
+    return windows.select(*keep, "first", "last", "key", said)
 
 
 def repeated_lines(documents: DataFrame) -> DataFrame:
@@ -61,13 +66,10 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     texts = documents.select("doc_id", F.xxhash64("text").alias("version"), "text")
     windows = _windows(texts, "doc_id", "version")
     keys = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    # The lines themselves of marked windows alone.
     marked = meet(windows, materialised(keys, "window_keys"), "key")
     place = F.struct("doc_id", "version", "first")
-    found = materialised(
-        marked.select("doc_id", "version", "first", "last", _text_of(F.col("first"), F.col("last")).alias("said")), "windows"
-    )
-    # Grouped and joined by their bytes; a passage that many documents share is summed up per task.
+    found = materialised(marked.select("doc_id", "version", "first", "last", "said"), "windows")
+    # A passage that many documents share is summed up per task.
     firsts = found.groupBy("said").agg(F.min(place).alias("place"))
     again = lookup(found, materialised(firsts, "window_firsts"), ["said"]).where(~place.eqNullSafe(F.col("place")))
     removed = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence("first", "last")))))
@@ -78,10 +80,11 @@ def _id(doc_id: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), doc_id.cast("string")), F.lit(""))
 
 
-def _parted(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows as they are, and ``row, lines, kept, removed`` of those that lose lines.
+def _parted(documents: DataFrame) -> DataFrame:
+    """``row, removed, lines, kept`` of every row; the last three are null where no line goes.
 
-    Rows stay where they are, unless very many lose some; of those that do, only these are shuffled.
+    Rows stay where they are and of those that lose lines only these are shuffled, unless very many
+    do: then each row is shuffled once.
     """
     spark = documents.sparkSession
     key = lambda version: F.concat_ws(":", version.cast("string"), _id(F.col("doc_id")))
@@ -91,12 +94,17 @@ def _parted(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         found = repeated_lines(documents.select("doc_id", "text"))
         found.select(key(F.col("version")).alias("key"), "removed").write.parquet(path)
     removed = spark.read.parquet(path)
-    rows = whole_rows(documents, "doc_id", "text").select("row", "text", key(F.xxhash64("text")).alias("doc_id"))
-    ids = removed.select(F.col("key").alias("doc_id"))
-    some = lookup(rows_with(rows, ids).withColumnRenamed("doc_id", "key"), removed, ["key"])
-    lines = _once(some, F.split("text", "\n"), "lines", "row", "removed")
-    kept = F.array_except(F.sequence(F.lit(1), F.size("lines")), "removed")
-    return rows_with(rows, ids, "left_anti").select("row"), _once(lines, kept, "kept", "row", "lines", "removed")
+    rows = whole_rows(documents, "doc_id", "text").select("row", key(F.xxhash64("text")).alias("key"))
+    if removed.count() <= common.FEW:
+        by_id, ids = rows.withColumnRenamed("key", "doc_id"), removed.select(F.col("key").alias("doc_id"))
+        some = lookup(rows_with(by_id, ids).withColumnRenamed("doc_id", "key"), removed, ["key"])
+        every = some.unionByName(rows_with(by_id, ids, "left_anti").select("row"), allowMissingColumns=True)
+    else:
+        every = lookup(rows, removed, ["key"], "left")
+    changed = F.col("removed").isNotNull()
+    lines = _once(every, F.when(changed, F.split("row.text", "\n")), "lines", "row", "removed")
+    kept = F.when(changed, F.array_except(F.sequence(F.lit(1), F.size("lines")), "removed"))
+    return _once(lines, kept, "kept", "row", "removed", "lines")
 
 
 def _kept_text() -> Column:
@@ -112,12 +120,11 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     are texts like any other. Versions of one ``doc_id`` are texts of their own, and rows that repeat id and text lose the same
     lines. An empty table gives an empty result.
     """
-    left, changed = _parted(documents)
     row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in documents.columns:
         row = row.withField("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    changed = changed.select("row", _kept_text().alias("text")).select(row.alias("row"))
-    return left.select("row.*").unionByName(changed.select("row.*"))
+    parted = _parted(documents).select("row", "removed", _kept_text().alias("text"))
+    return parted.select(F.when(F.col("removed").isNull(), F.col("row")).otherwise(row).alias("row")).select("row.*")
 
 
 def line_dedup_report(documents: DataFrame) -> DataFrame:
@@ -126,11 +133,10 @@ def line_dedup_report(documents: DataFrame) -> DataFrame:
     A chunk is a run of neighbouring lines that go; ``text`` is what is left. See ``dedup_lines`` for nulls
     and repeated rows.
     """
-    left, changed = _parted(documents.select("doc_id", "text"))
-    none = F.lit(0).cast("long")
-    left = left.select("row.*").select("doc_id", none.alias("n_removed_chunks"), none.alias("n_removed_lines"), "text")
     opens = F.filter("removed", lambda i, k: (k == 0) | (i - F.get("removed", k - 1) > 1))
-    return left.unionByName(changed.select(
-        "row.doc_id", F.size(opens).cast("long").alias("n_removed_chunks"),
-        F.size("removed").cast("long").alias("n_removed_lines"), _kept_text().alias("text"),
-    ))
+    unchanged = F.col("removed").isNull()
+    return _parted(documents.select("doc_id", "text")).select(
+        "row.doc_id", F.when(unchanged, F.lit(0)).otherwise(F.size(opens)).cast("long").alias("n_removed_chunks"),
+        F.when(unchanged, F.lit(0)).otherwise(F.size("removed")).cast("long").alias("n_removed_lines"),
+        F.when(unchanged, F.col("row.text")).otherwise(_kept_text()).alias("text"),
+    )
