@@ -304,3 +304,24 @@ def test_many_repeated_lines_move_no_texts(spark, monkeypatch, few):
     # A row of a few numbers and a digest, whatever the length of the texts.
     sizes = [sum(len(v) if isinstance(v, (bytes, bytearray, str)) else 8 for v in r) for r in met[0].collect()]
     assert len(sizes) > 1200 and max(sizes) < 100
+
+
+def test_shingles_met_by_chance_break_up_a_cluster(spark, monkeypatch):
+    """Sets in a ring, each with passages of the next one and the one before and some words of its own, do not stay together."""
+    rnd = random.Random(9)
+    passages = [[f"w{i}x{k}" for k in range(24)] for i in range(60)]
+    texts = [" ".join(passages[i] + [f"own{i}x{k}" for k in range(12)] + passages[(i + 1) % 60]) for i in range(60)]
+    # Real near copies among them, by one word at the end.
+    texts += [texts[i] + " more" for i in range(0, 60, 12)]
+    rows = list(enumerate(texts))
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(jaccard_join, "WIDER", 0.0)
+    monkeypatch.setattr(jaccard_join, "TILE", 8)
+    met = []
+    links = jaccard_join._cluster_links
+    monkeypatch.setattr(jaccard_join, "_cluster_links", lambda members, percent: met.append(members.count()) or links(members, percent))
+    _, near = brute_links(texts)
+    got = {r.doc_id: r.n_links for r in jaccard_join.near_duplicates(df).collect()}
+    assert got == {i: len(near[i]) for i in range(len(texts))} and sum(got.values()) == 10
+    assert met == [10]

@@ -7,7 +7,8 @@
    at least ``t`` times. Of these lists the ``n - T + 1`` shortest must hold it at least
    once: short lists decide who can meet whom, the long ones are left for probing.
    Classes that meet in short lists form clusters. Most sets drop out with a small ``t``;
-   the others are sifted once more with a large one.
+   the others are sifted once more with a large one, and large clusters, among themselves, by
+   all their hashes.
 3. A cluster is cut into tiles, and a task gets two tiles: for each set of the one it
    merges the short lists of the other's inverted index on a heap and probes the long
    ones by binary search (DivideSkip), and keeps the sets that reach the required overlap.
@@ -42,8 +43,12 @@ PERCENT = 85
 # all sets, and for those in clusters.
 SPARE = 0.05
 WIDER = 0.35
-# Sets of a tile.
-TILE = 256
+# Of all lists of a set, all but one of those that must hold a partner.
+WHOLE = 1 - 1e-9
+# Sets of a tile, of which one counts once more for every so many shingles (8 bytes each). A cluster's sets
+# go to a task for every tile the cluster has, so tiles are as large as a task's memory may well hold.
+TILE = 2048
+LONG = 512
 # Rows of names (some 60 bytes each) up to which the texts they ask for are not shuffled.
 FEW = 500_000
 # Names that a task remembers, to leave out copies.
@@ -329,12 +334,13 @@ def _shared(postings: DataFrame) -> DataFrame:
     Half of a name tells the sets of a list apart. Copies come once per task, and add to
     the length of their lists alone.
     """
-    lists = (
-        postings.groupBy("hash")
-        .agg(F.min("s1").alias("low"), F.max("s1").alias("high"), F.count(F.lit(1)).alias("length"))
-        .where("low <> high").select("hash", "length")
+    # The postings are made and shuffled once: a list lies together, and is told what it is on the spot.
+    of = Window.partitionBy("hash")
+    lists = postings.select(
+        "s1", "hash", F.min("s1").over(of).alias("low"), F.max("s1").over(of).alias("high"),
+        F.count(F.lit(1)).over(of).alias("length"),
     )
-    return postings.join(lists, "hash").groupBy("s1", "hash").agg(F.max("length").alias("length"))
+    return lists.where("low <> high").groupBy("s1", "hash").agg(F.max("length").alias("length"))
 
 
 def _short(shared: DataFrame, classes: DataFrame, spare: float, percent: int) -> DataFrame:
@@ -353,31 +359,49 @@ def _short(shared: DataFrame, classes: DataFrame, spare: float, percent: int) ->
     )
 
 
-def _clusters(short: DataFrame) -> DataFrame:
-    """``s1, s2, root, size`` of the classes that meet in short lists."""
+def _clusters(short: DataFrame, classes: DataFrame) -> DataFrame:
+    """``s1, s2, root, size`` of the classes that meet in short lists; the size is in sets as tiles count them."""
     short = materialised(short, "short")
-    heads = short.groupBy("hash").agg(F.min("name").alias("head"), F.max("name").alias("last"))
-    met = short.join(heads.where("head <> last"), "hash").where("name <> head")
+    met = short.select("name", F.min("name").over(Window.partitionBy("hash")).alias("head")).where("name <> head")
     found = connected_components(met.select(F.col("head").alias("a"), F.col("name").alias("b")))
-    sizes = found.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    found = found.select("node.*", "root").join(classes.select("s1", "s2", "n"), ["s1", "s2"])
+    sizes = found.groupBy("root").agg(F.sum(1 + F.floor(F.col("n") / LONG)).alias("size"))
     # A large cluster is cut up, not met in one task.
-    return materialised(lookup(found, sizes, ["root"]).select("node.*", "root", "size"), "clusters")
+    return materialised(lookup(found.drop("n"), sizes, ["root"]).select("s1", "s2", "root", "size"), "clusters")
 
 
 def class_links(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """``name, other, n_links``: partial counts of links, and links that span the components."""
     classes = materialised(_classes(sets), "classes")
-    # Read twice, and made twice: written, the hashes would be nearly as large as the texts.
     heads = docs.select("text").mapInArrow(partial(_heads, size=size, percent=percent), "s1 long, heads array<long>")
     first = _shared(heads.select("s1", F.explode("heads").alias("hash")))
-    members = _members(docs, classes, _clusters(_short(first, classes, SPARE, percent)), size)
+    members = _members(docs, classes, _clusters(_short(first, classes, SPARE, percent), classes), size)
     n = F.size("shingles")
     wide = F.slice("shingles", 1, (n - F.ceil(n * percent / 100) + 1 + F.floor(n * WIDER)).cast("int"))
     again = _shared(members.select("s1", F.explode(wide).alias("hash")))
-    clusters = _clusters(_short(again, classes, WIDER, percent))
+    clusters = _broken_up(members, classes, _clusters(_short(again, classes, WIDER, percent), classes), percent)
     return _cluster_links(members.join(clusters, ["s1", "s2"]), percent)
 
 
+def _broken_up(members: DataFrame, classes: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """``clusters``, those of more than a tile sifted by all of their hashes, as long as that drops a tenth.
+
+    In a large corpus shingles met by chance tie together sets that are not alike, and a cluster
+    costs the square of its tiles. All lists of a set must hold a partner ``T`` times, so the
+    ``n - T + 1`` shortest of them hold it.
+    """
+    done, large = clusters.where(F.col("size") <= TILE), clusters.where(F.col("size") > TILE)
+    sets = large.count()
+    while sets:
+        hashes = members.join(large, ["s1", "s2"], "left_semi").select("s1", F.explode("shingles").alias("hash"))
+        found = _clusters(_short(_shared(hashes), classes, WHOLE, percent), classes)
+        done, large = done.unionByName(found.where(F.col("size") <= TILE)), found.where(F.col("size") > TILE)
+        before, sets = sets, large.count()
+        if 10 * sets > 9 * before:
+            break
+    return done.unionByName(large)
+
+
 def _members(docs: DataFrame, classes: DataFrame, clusters: DataFrame, size: int) -> DataFrame:
     """``s1, s2, copies, shingles`` of all classes in clusters.
 
