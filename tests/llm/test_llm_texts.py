@@ -116,6 +116,35 @@ def test_languages_that_take_turns_score_the_same(spark, monkeypatch):
     assert whole == {r.doc_id: r.perplexity for r in quality.judge_quality(docs).collect()}
 
 
+def test_characters_are_not_folded(spark):
+    """N-grams of any script, case and plane, against plain Python; letters ten code points apart differ."""
+    texts = ["北京 天气", "Abc abc ABC", "абвг клмн", "0123 4567 \U0001f600\U0001f60a", "\u00a0 \t\n", "", None] * 2
+    df = spark.createDataFrame([(t, "x" if i % 2 else None) for i, t in enumerate(texts)], "text string, lang string")
+    want = Counter()
+    for i, t in enumerate(texts):
+        points = [0, 0, 0, *map(ord, t or "")]
+        want.update(("x" if i % 2 else "", *points[k : k + 4]) for k in range(len(points) - 3))
+    got = {
+        (r.lang, r.context >> 42, r.context >> 21 & 0x1FFFFF, r.context & 0x1FFFFF, r.last): r.n
+        for r in quality.count_grams(df).collect()
+    }
+    assert got == want
+    # The same pattern of letters, told apart by their code points alone.
+    letters = ["абвгде" * 20] * 8 + ["клмноп" * 20]
+    docs = spark.createDataFrame([(i, t, "ru") for i, t in enumerate(letters)], "doc_id bigint, text string, lang string")
+    found = {r.doc_id: r.perplexity for r in quality.judge_quality(docs).collect()}
+    assert found[8] > 1.01 * found[0]
+
+
+@pytest.mark.parametrize("grams", [0, 100, 3_000])
+def test_rare_ngrams_beyond_what_tasks_hold_score_the_same(spark, monkeypatch, grams):
+    docs = spark.read.parquet(DOCS).limit(60)
+    whole = {r.doc_id: (r.perplexity, r.kept) for r in quality.judge_quality(docs).collect()}
+    monkeypatch.setattr(quality, "MODEL_BYTES", grams * quality.GRAM_BYTES)
+    monkeypatch.setattr(quality, "HELD", 50)
+    assert whole == {r.doc_id: (r.perplexity, r.kept) for r in quality.judge_quality(docs).collect()}
+
+
 def test_good_documents_are_kept(spark):
     labels = spark.read.parquet(LABELS).where("quality = 1")
     found = quality.judge_quality(spark.read.parquet(DOCS)).join(labels, "doc_id").where("not base_failed").collect()
